@@ -32,6 +32,10 @@ from tidewater.operators.summary import (monthly_team_cost, panel_spend_by_team,
                                          team_cost_summary, top_spenders)
 from tidewater.operators.validate import split_valid
 from tidewater.schemas import AI_COST_PER_CALL_USD, JIRA_EVENT
+from tidewater.session import scratch_path
+from tidewater.sources.stream import read_file_stream
+from tidewater.streaming.ingest import bronze_stream, run_to_completion, start_append
+from tidewater.streaming.silver import silver_streams, stream_sessions
 
 # ---------------------------------------------------------------------------
 # Fixed values of the adapters.
@@ -117,8 +121,12 @@ def _gold(spark: SparkSession, sf_dir: str, keep: str = "events") -> DataFrame:
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kafka-shaped ``(key, value)`` feed: each event as a Jira-shaped JSON
     object, faults injected per :data:`FAULTS`."""
-    e = table(spark, sf_dir, "events")
-    m = members(spark, sf_dir)
+    return messages_of(table(spark, sf_dir, "events"), members(spark, sf_dir))
+
+
+def messages_of(e: DataFrame, m: DataFrame) -> DataFrame:
+    """The message feed of an events frame (batch or streaming) and a static
+    membership frame."""
     k = F.get_json_object("props", "$.k").cast("int")
     uid = F.col("user_id").cast("string")
     payload = F.struct(
@@ -266,6 +274,51 @@ def q_quality_score(spark, sf_dir):
     return quality_report(res, with_results=False, stamp=False)
 
 
+# ---------------------------------------------------------------------------
+# Streaming queries: run to completion with an availableNow trigger into
+# checkpointed sinks below the shared root, then read the sink back.
+# ---------------------------------------------------------------------------
+STREAM_WATERMARK = "10 minutes"
+
+
+def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = table(spark, sf_dir, "events").schema
+    return read_file_stream(spark, f"{sf_dir.rstrip('/')}/events*.parquet", schema)
+
+
+def _drain(spark, name: str, streams: dict) -> dict:
+    base = scratch_path(spark, name)
+    qs, paths = [], {}
+    for label, sdf in streams.items():
+        paths[label] = f"{base}/{label}"
+        qs.append(start_append(sdf, paths[label], f"{base}/_checkpoints/{label}",
+                               trigger={"availableNow": True}))
+    run_to_completion(qs)
+    return paths
+
+
+def q_stream_ingest(spark, sf_dir):
+    msgs = messages_of(events_stream(spark, sf_dir), members(spark, sf_dir))
+    paths = _drain(spark, "stream_ingest", {"bronze": bronze_stream(msgs, JIRA_EVENT)})
+    return spark.read.parquet(paths["bronze"]).drop("ingested_at")
+
+
+def q_stream_silver(spark, sf_dir):
+    msgs = messages_of(events_stream(spark, sf_dir), members(spark, sf_dir))
+    typed = parse_event_time(bronze_stream(msgs, JIRA_EVENT), "event_ts", ntz=True)
+    silver, bad = silver_streams(typed, JIRA_RULES, watermark=STREAM_WATERMARK,
+                                 is_ai=F.col("event_type") == AI_TYPE)
+    paths = _drain(spark, "stream_silver", {"silver": silver, "quarantine": bad})
+    return spark.read.parquet(paths["silver"]).drop("ingested_at", "silver_processed_at")
+
+
+def q_stream_sessions(spark, sf_dir):
+    sessions = stream_sessions(events_stream(spark, sf_dir), ["user_id"], ts="ts",
+                               watermark=STREAM_WATERMARK)
+    paths = _drain(spark, "stream_sessions", {"sessions": sessions})
+    return spark.read.parquet(paths["sessions"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "team_cost_summary": q_team_cost_summary,
     "team_cost_summary_all_teams": q_team_cost_summary_all_teams,
@@ -286,4 +339,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "expectations": q_expectations,
     "expectations_failing": q_expectations_failing,
     "quality_score": q_quality_score,
+    "stream_ingest": q_stream_ingest,
+    "stream_silver": q_stream_silver,
+    "stream_sessions": q_stream_sessions,
 }

@@ -274,6 +274,14 @@ SELECT 'medallion' AS pipeline, 'silver_jira_events_clean' AS "table",
        round(count(*) FILTER (WHERE ok) / count(*) * 100, 1) AS quality_score_pct
 FROM r"""
 
+# Append-mode sessions closed by the final watermark: max event time (at
+# millisecond precision) minus the 10-minute delay; a session is emitted once
+# its end plus the 30-minute gap is at or before it.
+STREAM_SESSIONS = f"""WITH s AS ({_sessions("user_id")})
+SELECT * FROM s
+WHERE session_end + INTERVAL 30 MINUTE
+      <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE FROM events)"""
+
 ORACLE: dict[str, str] = {
     "team_cost_summary": GOLD,
     "team_cost_summary_all_teams": GOLD_ALL_TEAMS,
@@ -294,4 +302,7 @@ ORACLE: dict[str, str] = {
     "expectations": EXPECTATIONS,
     "expectations_failing": EXPECTATIONS_FAILING,
     "quality_score": QUALITY_SCORE,
+    "stream_ingest": DECODE,
+    "stream_silver": VALID,
+    "stream_sessions": STREAM_SESSIONS,
 }
