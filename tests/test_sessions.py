@@ -76,3 +76,11 @@ def test_interval_parser():
     assert interval_micros("1 hour 30 minutes") == 5_400_000_000
     with pytest.raises(ValueError):
         interval_micros("3 fortnights")
+
+
+def test_before_1970_and_across_epoch(spark):
+    e0 = dt.datetime(1970, 1, 1)
+    data = [("a", e0 - dt.timedelta(minutes=50)), ("a", e0 - dt.timedelta(minutes=25)),
+            ("a", e0 + dt.timedelta(minutes=4)), ("a", e0 + dt.timedelta(hours=3)),
+            ("b", dt.datetime(1969, 6, 1, 12, 0)), ("b", dt.datetime(1969, 6, 1, 12, 59, 59))]
+    assert _sessions(_df(spark, data), "1 hour") == _sessions(_df(spark, data), None)

@@ -18,9 +18,10 @@ split is done on *time* instead and repaired exactly:
    one bucket are more than ``gap`` apart, so there are at most two such
    candidates per (key, bucket); every other session is final.
 3. Level 2 re-sessionises the candidates per key (gap rule on consecutive
-   candidates, lag + running sum) and rolls merged chains up. Its input per
-   key is bounded by twice the number of buckets the key spans, whatever the
-   event count.
+   candidates, lag + running sum) and rolls merged chains up, in the same
+   window pass that leaves interior sessions untouched (they keep their
+   bucket as window group). The candidate group of a key holds at most twice
+   as many rows as the key spans buckets, whatever the event count.
 """
 
 from __future__ import annotations
@@ -95,21 +96,23 @@ def sessionize(df: DataFrame, keys: Sequence[str], ts: str = "event_ts",
     edge = ((F.col("_s") < bucket_start + F.lit(g_us))
             | (F.col("_e") >= bucket_start + F.lit(b_us - g_us)))
 
-    final = local.filter(~edge).select(*keys, start_col, end_col, count_col)
-
-    w = Window.partitionBy(*keys).orderBy("_s", "_e")
-    chained = (local.filter(edge)
-               .withColumn("_new", F.when(F.col("_s") - F.lag("_e").over(w) <= F.lit(g_us), 0)
+    # One pass for level 2: interior sessions keep their bucket as window group
+    # (spread like level 1, each its own session), boundary candidates of a key
+    # share the NULL group (buckets before 1970 are negative, so no number is
+    # free to mark it) and are chained by the gap rule.
+    grp = F.when(edge, F.lit(None).cast("long")).otherwise(F.col("_b"))
+    w = Window.partitionBy(*keys, "_g").orderBy("_s", "_e")
+    chained = (local.withColumn("_g", grp)
+               .withColumn("_new", F.when(F.col("_g").isNull()
+                                          & (F.col("_s") - F.lag("_e").over(w) <= F.lit(g_us)), 0)
                            .otherwise(1))
                .withColumn("_sid", F.sum("_new").over(
                    w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
-    merged = (chained.groupBy(*keys, "_sid")
+    merged = (chained.groupBy(*keys, "_g", "_sid")
               .agg(F.min(start_col).alias(start_col), F.max(end_col).alias(end_col),
                    F.sum(count_col).alias(count_col))
               .select(*keys, start_col, end_col, count_col))
-
-    return (final.unionByName(merged)
-            .withColumn(duration_col, duration_minutes(start_col, end_col)))
+    return merged.withColumn(duration_col, duration_minutes(start_col, end_col))
 
 
 def average_session_by(sessions: DataFrame, members: DataFrame, member_key: str,
