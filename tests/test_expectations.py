@@ -2,7 +2,7 @@ import pytest
 
 from conftest import SF_SMALL, rows
 from tidewater.operators.expectations import (QualityGateError, enforce, quality_report,
-                                              run_suite, silver_suite)
+                                              run_suite, score_history, silver_suite)
 from tidewater.schemas import JIRA_EVENT_TYPES
 
 COLS = "event_id string, event_type string, response_time_ms int, cost_estimate_usd double, is_ai_event boolean"
@@ -84,3 +84,13 @@ def test_suite_is_one_scan(spark):
     assert plan.count("Scan parquet") == 1
     assert rows(res.select("status")).count(("PASSED",)) == 8
     assert df is not None
+
+
+def test_score_history(spark):
+    good = quality_report(run_suite(spark.createDataFrame(_clean(), COLS),
+                                    silver_suite(JIRA_EVENT_TYPES)), with_results=False)
+    bad = quality_report(run_suite(spark.createDataFrame(_clean(99), COLS),
+                                   silver_suite(JIRA_EVENT_TYPES)), with_results=False)
+    h = score_history(good.unionByName(bad)).collect()
+    assert len(h) == 1 and h[0]["runs"] == 2 and h[0]["min_score_pct"] == 87.5
+    assert h[0]["avg_score_pct"] == 93.8 and h[0]["checks_failed"] == 1

@@ -205,3 +205,14 @@ def silver_suite(event_types: Sequence[str], min_rows: int = 100,
                         f"Silver must have at least {min_rows} rows"),
         expect_flag_cost_consistent(flag, cost),
     ]
+
+
+def score_history(reports: DataFrame, grain: str = "day") -> DataFrame:
+    """Quality score over time from appended reports: runs, average / minimum
+    score and failed checks per ``grain`` (day, week, month) and table."""
+    period = F.date_trunc(grain, F.col("run_timestamp").cast("timestamp")).alias("period")
+    return (reports.groupBy("pipeline", "table", period)
+            .agg(F.count(F.lit(1)).alias("runs"),
+                 F.round(F.avg("quality_score_pct"), 1).alias("avg_score_pct"),
+                 F.min("quality_score_pct").alias("min_score_pct"),
+                 F.sum("checks_failed").alias("checks_failed")))
