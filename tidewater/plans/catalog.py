@@ -246,6 +246,12 @@ def q_user_page_sessions(spark, sf_dir):
     return sessionize(table(spark, sf_dir, "events"), ["user_id", "event_type"], ts="ts")
 
 
+def q_silver_user_sessions(spark, sf_dir):
+    """Sessions of the cleaned, de-duplicated feed keyed like the original job
+    (user, team, team name)."""
+    return sessionize(silver_events(spark, sf_dir), ["user_id", "team_id", "team_name"])
+
+
 def q_avg_session_by_team(spark, sf_dir):
     s = sessionize(table(spark, sf_dir, "events"), ["user_id"], ts="ts")
     return average_session_by(s, members(spark, sf_dir), "user_id", ["team_id", "team_name"])
@@ -336,6 +342,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "user_sessions": q_user_sessions,
     "user_page_sessions": q_user_page_sessions,
     "avg_session_by_team": q_avg_session_by_team,
+    "silver_user_sessions": q_silver_user_sessions,
     "expectations": q_expectations,
     "expectations_failing": q_expectations_failing,
     "quality_score": q_quality_score,

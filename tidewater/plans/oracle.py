@@ -186,12 +186,13 @@ ENRICH = """SELECT *, event_type = 'purchase' AS is_ai_event,
 FROM events"""
 
 
-def _sessions(keys: str) -> str:
-    return f"""WITH g AS (
-  SELECT {keys}, ts,
-         CASE WHEN ts - lag(ts) OVER (PARTITION BY {keys} ORDER BY ts) <= INTERVAL 30 MINUTE
+def _sessions_body(keys: str, src: str = "events", ts: str = "ts") -> str:
+    """CTEs + final SELECT of gap-based sessions (30 minutes, inclusive)."""
+    return f"""g AS (
+  SELECT {keys}, {ts} AS ts,
+         CASE WHEN {ts} - lag({ts}) OVER (PARTITION BY {keys} ORDER BY {ts}) <= INTERVAL 30 MINUTE
               THEN 0 ELSE 1 END AS brk
-  FROM events WHERE ts IS NOT NULL),
+  FROM {src} WHERE {ts} IS NOT NULL),
 x AS (SELECT *, sum(brk) OVER (PARTITION BY {keys} ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid
       FROM g)
 SELECT {keys}, min(ts) AS session_start, max(ts) AS session_end,
@@ -200,6 +201,10 @@ SELECT {keys}, min(ts) AS session_start, max(ts) AS session_end,
 FROM x GROUP BY {keys}, sid"""
 
 
+def _sessions(keys: str) -> str:
+    return "WITH " + _sessions_body(keys)
+
+
 AVG_SESSION = f"""WITH {_MEM}, s AS ({_sessions("user_id")})
 SELECT m.team_id, m.team_name, CAST(count(*) AS BIGINT) AS sessions,
        round(sum(s.session_duration_minutes) / count(*), 2) AS avg_session_minutes
@@ -282,6 +287,10 @@ SELECT * FROM s
 WHERE session_end + INTERVAL 30 MINUTE
       <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE FROM events)"""
 
+SILVER_SESSIONS = (VALID.replace("\nSELECT *, event_type = 'purchase' AS is_ai_event",
+                                  ",\nsilver AS (SELECT *, event_type = 'purchase' AS is_ai_event", 1)
+                   + "),\n" + _sessions_body("user_id, team_id, team_name", "silver", "event_ts"))
+
 ORACLE: dict[str, str] = {
     "team_cost_summary": GOLD,
     "team_cost_summary_all_teams": GOLD_ALL_TEAMS,
@@ -302,6 +311,7 @@ ORACLE: dict[str, str] = {
     "expectations": EXPECTATIONS,
     "expectations_failing": EXPECTATIONS_FAILING,
     "quality_score": QUALITY_SCORE,
+    "silver_user_sessions": SILVER_SESSIONS,
     "stream_ingest": DECODE,
     "stream_silver": VALID,
     "stream_sessions": STREAM_SESSIONS,
