@@ -21,7 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.functions.rules import JIRA_RULES
+from tidewater.functions.rules import CONFLUENCE_RULES, JIRA_RULES
 from tidewater.operators.audit import audit_counts
 from tidewater.operators.decode import decode_messages, parse_event_time, stamp
 from tidewater.operators.dedup import latest_per_key
@@ -31,7 +31,7 @@ from tidewater.operators.sessions import average_session_by, sessionize
 from tidewater.operators.summary import (monthly_team_cost, panel_spend_by_team, panel_totals,
                                          team_cost_summary, top_spenders)
 from tidewater.operators.validate import split_valid
-from tidewater.schemas import AI_COST_PER_CALL_USD, JIRA_EVENT
+from tidewater.schemas import AI_COST_PER_CALL_USD, CONFLUENCE_EVENT, JIRA_EVENT
 from tidewater.session import scratch_path
 from tidewater.sources.stream import read_file_stream
 from tidewater.streaming.ingest import bronze_stream, run_to_completion, start_append
@@ -172,6 +172,60 @@ def silver_events(spark: SparkSession, sf_dir: str, stamp_col: str | None = None
                        rate=AI_COST_PER_CALL_USD, stamp_col=stamp_col).drop("ingested_at")
 
 
+# ---------------------------------------------------------------------------
+# The second feed: Confluence-shaped page events (times carry "+00:00").
+# ---------------------------------------------------------------------------
+# props.k value -> injected fault of the page-event feed
+CONFLUENCE_FAULTS = {
+    0: "payload is not JSON",
+    1: "event_ts is unparsable text",
+    2: "team_id missing",
+    3: "user_id missing",
+    4: "space_key missing",
+    5: "page_id missing",
+    6: "space_key and page_id missing (first reason wins)",
+    9: "message delivered twice",
+}
+
+
+def page_messages_of(e: DataFrame, m: DataFrame) -> DataFrame:
+    """Kafka-shaped page-event feed: space = first four letters of the event
+    type, page = the event's ``props.k``; faults per :data:`CONFLUENCE_FAULTS`."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    uid = F.col("user_id").cast("string")
+    payload = F.struct(
+        F.col("event_id").cast("string").alias("event_id"),
+        F.col("event_type"),
+        F.when(k == 1, F.lit("garbage"))
+        .otherwise(F.concat(F.date_format("ts", TS_TEXT_FORMAT), F.lit("+00:00"))).alias("event_ts"),
+        F.when(k == 2, F.lit(None))
+        .otherwise(F.concat(F.lit("team_"), F.col("team_id").cast("string"))).alias("team_id"),
+        F.col("team_name"),
+        F.when(k == 3, F.lit(None)).otherwise(F.concat(F.lit("user_"), uid)).alias("user_id"),
+        F.concat(F.lit("user"), uid, F.lit("@example.com")).alias("user_email"),
+        F.when(k.isin(4, 6), F.lit(None))
+        .otherwise(F.upper(F.substring("event_type", 1, 4))).alias("space_key"),
+        F.when(k.isin(5, 6), F.lit(None))
+        .otherwise(F.concat(F.lit("PAGE-"), k.cast("string"))).alias("page_id"),
+        F.concat(F.lit("Page "), k.cast("string")).alias("page_title"),
+        response_ms().alias("response_time_ms"),
+        (F.col("event_type") == AI_TYPE).alias("ai_assist_used"),
+        F.lit("confluence").alias("source_app"),
+    )
+    value = F.when(k == 0, F.lit("not json")).otherwise(F.to_json(payload))
+    msgs = e.join(m, "user_id").select(
+        F.col("event_id").cast("string").alias("key"), value.cast("binary").alias("value"),
+        F.when(k == 9, 2).otherwise(1).alias("_copies"))
+    return (msgs.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+            .drop("_copies", "_copy"))
+
+
+def typed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    msgs = page_messages_of(table(spark, sf_dir, "events"), members(spark, sf_dir))
+    bronze = stamp(decode_messages(msgs, CONFLUENCE_EVENT), "ingested_at")
+    return parse_event_time(bronze, "event_ts", ntz=True)
+
+
 # ---------------------------------------------------------------------------
 # Registered queries: (spark, sf_dir) -> DataFrame; no processing-time stamps.
 # ---------------------------------------------------------------------------
@@ -252,6 +306,18 @@ def q_silver_user_sessions(spark, sf_dir):
     return sessionize(silver_events(spark, sf_dir), ["user_id", "team_id", "team_name"])
 
 
+def q_confluence_quarantine(spark, sf_dir):
+    _, bad = split_valid(typed_pages(spark, sf_dir), CONFLUENCE_RULES, stamp_col=None)
+    return bad.drop("ingested_at")
+
+
+def q_confluence_page_sessions(spark, sf_dir):
+    """Sessions per user and page of the cleaned page-event feed."""
+    valid, _ = split_valid(typed_pages(spark, sf_dir), CONFLUENCE_RULES)
+    latest = latest_per_key(valid, ["event_id"], [F.col("ingested_at").desc()])
+    return sessionize(latest, ["user_id", "team_id", "team_name", "space_key", "page_id"])
+
+
 def q_avg_session_by_team(spark, sf_dir):
     s = sessionize(table(spark, sf_dir, "events"), ["user_id"], ts="ts")
     return average_session_by(s, members(spark, sf_dir), "user_id", ["team_id", "team_name"])
@@ -343,6 +409,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "user_page_sessions": q_user_page_sessions,
     "avg_session_by_team": q_avg_session_by_team,
     "silver_user_sessions": q_silver_user_sessions,
+    "confluence_quarantine": q_confluence_quarantine,
+    "confluence_page_sessions": q_confluence_page_sessions,
     "expectations": q_expectations,
     "expectations_failing": q_expectations_failing,
     "quality_score": q_quality_score,

@@ -291,6 +291,47 @@ SILVER_SESSIONS = (VALID.replace("\nSELECT *, event_type = 'purchase' AS is_ai_e
                                   ",\nsilver AS (SELECT *, event_type = 'purchase' AS is_ai_event", 1)
                    + "),\n" + _sessions_body("user_id, team_id, team_name", "silver", "event_ts"))
 
+# Page-event (Confluence-shaped) feed; k = 9 delivered twice.
+_PFEED = f"""WITH {_MEM},
+b AS (
+  SELECT e.*, m.team_id AS nation_id, m.team_name AS nation_name,
+         CAST(json_extract_string(e.props, '$.k') AS INTEGER) AS k
+  FROM events e JOIN mem m ON e.user_id = m.user_id),
+p0 AS (
+  SELECT k,
+    CASE WHEN k = 0 THEN NULL ELSE CAST(event_id AS VARCHAR) END AS event_id,
+    CASE WHEN k = 0 THEN NULL ELSE event_type END AS event_type,
+    CASE WHEN k IN (0, 1) THEN NULL ELSE ts END AS event_ts,
+    CASE WHEN k IN (0, 2) THEN NULL ELSE 'team_' || CAST(nation_id AS VARCHAR) END AS team_id,
+    CASE WHEN k = 0 THEN NULL ELSE nation_name END AS team_name,
+    CASE WHEN k IN (0, 3) THEN NULL ELSE 'user_' || CAST(user_id AS VARCHAR) END AS user_id,
+    CASE WHEN k = 0 THEN NULL ELSE 'user' || CAST(user_id AS VARCHAR) || '@example.com' END
+      AS user_email,
+    CASE WHEN k IN (0, 4, 6) THEN NULL ELSE upper(substr(event_type, 1, 4)) END AS space_key,
+    CASE WHEN k IN (0, 5, 6) THEN NULL ELSE 'PAGE-' || CAST(k AS VARCHAR) END AS page_id,
+    CASE WHEN k = 0 THEN NULL ELSE 'Page ' || CAST(k AS VARCHAR) END AS page_title,
+    CASE WHEN k = 0 THEN NULL ELSE CAST(floor(value * 10) AS INTEGER) END AS response_time_ms,
+    CASE WHEN k = 0 THEN NULL ELSE event_type = 'purchase' END AS ai_assist_used,
+    CASE WHEN k = 0 THEN NULL ELSE 'confluence' END AS source_app
+  FROM b),
+p AS (SELECT * FROM p0 UNION ALL SELECT * FROM p0 WHERE k = 9)"""
+
+_PAGE_COLS = """event_id, event_type, event_ts, team_id, team_name, user_id, user_email,
+  space_key, page_id, page_title, response_time_ms, ai_assist_used, source_app"""
+
+CONFLUENCE_QUARANTINE = f"""{_PFEED}
+SELECT {_PAGE_COLS},
+  CASE WHEN k = 0 THEN 'missing event_id' WHEN k = 1 THEN 'invalid timestamp'
+       WHEN k = 2 THEN 'missing team_id' WHEN k = 3 THEN 'missing user_id'
+       WHEN k IN (4, 6) THEN 'missing space_key' WHEN k = 5 THEN 'missing page_id' END
+    AS quarantine_reason
+FROM p WHERE k BETWEEN 0 AND 6"""
+
+CONFLUENCE_PAGE_SESSIONS = (
+    f"""{_PFEED},
+pv AS (SELECT DISTINCT {_PAGE_COLS} FROM p WHERE k NOT BETWEEN 0 AND 6),
+""" + _sessions_body("user_id, team_id, team_name, space_key, page_id", "pv", "event_ts"))
+
 ORACLE: dict[str, str] = {
     "team_cost_summary": GOLD,
     "team_cost_summary_all_teams": GOLD_ALL_TEAMS,
@@ -312,6 +353,8 @@ ORACLE: dict[str, str] = {
     "expectations_failing": EXPECTATIONS_FAILING,
     "quality_score": QUALITY_SCORE,
     "silver_user_sessions": SILVER_SESSIONS,
+    "confluence_quarantine": CONFLUENCE_QUARANTINE,
+    "confluence_page_sessions": CONFLUENCE_PAGE_SESSIONS,
     "stream_ingest": DECODE,
     "stream_silver": VALID,
     "stream_sessions": STREAM_SESSIONS,
