@@ -48,3 +48,17 @@ def test_sessions_one_scan_two_exchanges(spark):
 def test_dedup_limits_before_exchange(spark):
     plan = _final_plan(q_latest_per_key(spark, SF_SMALL))
     assert plan.count("WindowGroupLimit") == 2               # partial (map side) + final
+
+
+def test_stream_sessions_merge_before_shuffle(spark):
+    from tidewater.plans.catalog import events_stream
+    from tidewater.session import scratch_path
+    from tidewater.streaming.ingest import run_to_completion, start_append
+    from tidewater.streaming.silver import stream_sessions
+    base = scratch_path(spark, "test_stream_plan")
+    s = stream_sessions(events_stream(spark, SF_SMALL), ["user_id"], ts="ts")
+    q = start_append(s, f"{base}/out", f"{base}/ck", trigger={"availableNow": True})
+    run_to_completion([q])
+    plan = q._jsq.streamingQuery().lastExecution().executedPlan().toString()
+    below_exchange = plan.split("Exchange hashpartitioning", 1)[1]
+    assert "MergingSessions" in below_exchange      # map-side merge of a key's events

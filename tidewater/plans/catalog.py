@@ -124,10 +124,17 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages_of(table(spark, sf_dir, "events"), members(spark, sf_dir))
 
 
+def _fault_key():
+    # one JSON read per event; a separate projection that Catalyst does not
+    # inline into the many branches that test it
+    return F.get_json_object("props", "$.k").cast("int")
+
+
 def messages_of(e: DataFrame, m: DataFrame) -> DataFrame:
     """The message feed of an events frame (batch or streaming) and a static
     membership frame."""
-    k = F.get_json_object("props", "$.k").cast("int")
+    e = e.withColumn("_k", _fault_key())
+    k = F.col("_k")
     uid = F.col("user_id").cast("string")
     payload = F.struct(
         F.col("event_id").cast("string").alias("event_id"),
@@ -191,7 +198,8 @@ CONFLUENCE_FAULTS = {
 def page_messages_of(e: DataFrame, m: DataFrame) -> DataFrame:
     """Kafka-shaped page-event feed: space = first four letters of the event
     type, page = the event's ``props.k``; faults per :data:`CONFLUENCE_FAULTS`."""
-    k = F.get_json_object("props", "$.k").cast("int")
+    e = e.withColumn("_k", _fault_key())
+    k = F.col("_k")
     uid = F.col("user_id").cast("string")
     payload = F.struct(
         F.col("event_id").cast("string").alias("event_id"),

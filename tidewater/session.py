@@ -17,6 +17,10 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # streaming session windows: merge a key's events into sessions inside each
+    # input partition before the shuffle (the batch plan always does), so a hot
+    # key ships partial sessions rather than raw events to its state task
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 
