@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from tidewater.sinks import append_table, overwrite_table
 from tidewater.sources.jdbc import conform_types, read_snapshot
-from tidewater.sources.lake import read_table
+from tidewater.sources.lake import read_table, spread_scan
 from tidewater.streaming.ingest import await_all, start_append
 
 
@@ -52,3 +52,13 @@ def test_await_all_raises_when_any_query_fails(spark, tmp_path):
     for q in (ok, bad):
         if q.isActive:
             q.stop()
+
+
+def test_spread_scan_widens_only_narrow_scans(spark):
+    narrow = read_table(spark, f"{SF_SMALL}/events.parquet")
+    assert narrow.rdd.getNumPartitions() == 1              # one row group
+    spread = spread_scan(narrow, ["event_id"], min_partitions=6)
+    assert spread.rdd.getNumPartitions() == 6
+    assert spread.count() == narrow.count()
+    wide = spark.range(0, 100, numPartitions=8)
+    assert spread_scan(wide, min_partitions=6) is wide     # enough splits: no shuffle

@@ -33,6 +33,7 @@ from tidewater.operators.summary import (monthly_team_cost, panel_spend_by_team,
 from tidewater.operators.validate import split_valid
 from tidewater.schemas import AI_COST_PER_CALL_USD, CONFLUENCE_EVENT, JIRA_EVENT
 from tidewater.session import scratch_path
+from tidewater.sources.lake import spread_scan
 from tidewater.sources.stream import read_file_stream
 from tidewater.streaming.ingest import bronze_stream, run_to_completion, start_append
 from tidewater.streaming.silver import silver_streams, stream_sessions
@@ -118,10 +119,16 @@ def _gold(spark: SparkSession, sf_dir: str, keep: str = "events") -> DataFrame:
                              cost_tiers=FLAGSHIP_COST_TIERS, stamp=False)
 
 
+def feed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events a message feed is made of, spread over the cluster like the
+    partitions of a topic (a no-op when the scan already has enough splits)."""
+    return spread_scan(table(spark, sf_dir, "events"), ["event_id"])
+
+
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kafka-shaped ``(key, value)`` feed: each event as a Jira-shaped JSON
     object, faults injected per :data:`FAULTS`."""
-    return messages_of(table(spark, sf_dir, "events"), members(spark, sf_dir))
+    return messages_of(feed_events(spark, sf_dir), members(spark, sf_dir))
 
 
 def _fault_key():
@@ -229,7 +236,7 @@ def page_messages_of(e: DataFrame, m: DataFrame) -> DataFrame:
 
 
 def typed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    msgs = page_messages_of(table(spark, sf_dir, "events"), members(spark, sf_dir))
+    msgs = page_messages_of(feed_events(spark, sf_dir), members(spark, sf_dir))
     bronze = stamp(decode_messages(msgs, CONFLUENCE_EVENT), "ingested_at")
     return parse_event_time(bronze, "event_ts", ntz=True)
 
