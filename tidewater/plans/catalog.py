@@ -26,14 +26,16 @@ from tidewater.operators.audit import audit_counts
 from tidewater.operators.decode import decode_messages, parse_event_time, stamp
 from tidewater.operators.dedup import latest_per_key
 from tidewater.operators.enrich import enrich_cost
-from tidewater.operators.expectations import quality_report, run_suite, silver_suite
+from tidewater.operators.expectations import (quality_report, run_suite, score_history,
+                                              silver_suite)
 from tidewater.operators.sessions import average_session_by, sessionize
 from tidewater.operators.summary import (monthly_team_cost, panel_spend_by_team, panel_totals,
                                          team_cost_summary, top_spenders)
 from tidewater.operators.validate import split_valid
 from tidewater.schemas import AI_COST_PER_CALL_USD, CONFLUENCE_EVENT, JIRA_EVENT
 from tidewater.session import scratch_path
-from tidewater.sources.lake import spread_scan
+from tidewater.sinks import write_report
+from tidewater.sources.lake import read_table, spread_scan
 from tidewater.sources.stream import read_file_stream
 from tidewater.streaming.ingest import bronze_stream, run_to_completion, start_append
 from tidewater.streaming.silver import silver_streams, stream_sessions
@@ -361,6 +363,18 @@ def q_quality_score(spark, sf_dir):
     return quality_report(res, with_results=False, stamp=False)
 
 
+def q_quality_history(spark, sf_dir):
+    """Quality score over time (EXT-6): two gate runs, one over the clean feed
+    and one over the faulty message feed, append their reports to one report
+    table below the shared root; the history is a ``groupBy`` over the appended
+    reports. The run day (``period``) is left out of the compared output."""
+    path = scratch_path(spark, "quality_history")
+    for feed, suite in ((priced_events(spark, sf_dir), clean_suite()),
+                        (failing_silver(spark, sf_dir), silver_suite(EVENT_TYPES))):
+        write_report(quality_report(run_suite(feed, suite, stamp=True)), path)
+    return score_history(read_table(spark, path, "json")).drop("period")
+
+
 # ---------------------------------------------------------------------------
 # Streaming queries: run to completion with an availableNow trigger into
 # checkpointed sinks below the shared root, then read the sink back.
@@ -429,6 +443,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "expectations": q_expectations,
     "expectations_failing": q_expectations_failing,
     "quality_score": q_quality_score,
+    "quality_history": q_quality_history,
     "stream_ingest": q_stream_ingest,
     "stream_silver": q_stream_silver,
     "stream_sessions": q_stream_sessions,

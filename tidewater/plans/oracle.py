@@ -279,6 +279,19 @@ SELECT 'medallion' AS pipeline, 'silver_jira_events_clean' AS "table",
        round(count(*) FILTER (WHERE ok) / count(*) * 100, 1) AS quality_score_pct
 FROM r"""
 
+def _run_score(results_sql: str) -> str:
+    return f"""SELECT round(count(*) FILTER (WHERE status = 'PASSED') / count(*) * 100, 1) AS score,
+       count(*) FILTER (WHERE status <> 'PASSED') AS failed
+FROM ({results_sql})"""
+
+
+QUALITY_HISTORY = f"""WITH runs AS ({_run_score(EXPECTATIONS)}
+  UNION ALL {_run_score(EXPECTATIONS_FAILING)})
+SELECT 'medallion' AS pipeline, 'silver_jira_events_clean' AS "table",
+       CAST(count(*) AS BIGINT) AS runs, {half_up("avg(score)", 1)} AS avg_score_pct,
+       min(score) AS min_score_pct, CAST(sum(failed) AS BIGINT) AS checks_failed
+FROM runs"""
+
 # Append-mode sessions closed by the final watermark: max event time (at
 # millisecond precision) minus the 10-minute delay; a session is emitted once
 # its end plus the 30-minute gap is at or before it.
@@ -352,6 +365,7 @@ ORACLE: dict[str, str] = {
     "expectations": EXPECTATIONS,
     "expectations_failing": EXPECTATIONS_FAILING,
     "quality_score": QUALITY_SCORE,
+    "quality_history": QUALITY_HISTORY,
     "silver_user_sessions": SILVER_SESSIONS,
     "confluence_quarantine": CONFLUENCE_QUARANTINE,
     "confluence_page_sessions": CONFLUENCE_PAGE_SESSIONS,
