@@ -32,9 +32,10 @@ from tidewater.operators.sessions import average_session_by, sessionize
 from tidewater.operators.summary import (monthly_team_cost, panel_spend_by_team, panel_totals,
                                          team_cost_summary, top_spenders)
 from tidewater.operators.validate import split_valid
+from tidewater.plans.medallion import run_medallion
 from tidewater.schemas import AI_COST_PER_CALL_USD, CONFLUENCE_EVENT, JIRA_EVENT
 from tidewater.session import scratch_path
-from tidewater.sinks import write_report
+from tidewater.sinks import overwrite_table, write_report
 from tidewater.sources.lake import read_table, spread_scan
 from tidewater.sources.stream import read_file_stream
 from tidewater.streaming.ingest import bronze_stream, run_to_completion, start_append
@@ -375,6 +376,28 @@ def q_quality_history(spark, sf_dir):
     return score_history(read_table(spark, path, "json")).drop("period")
 
 
+def feed_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The team dimension keyed like the message feed (``team_<n>``)."""
+    return teams(spark, sf_dir).withColumn(
+        "team_id", F.concat(F.lit("team_"), F.col("team_id").cast("string")))
+
+
+def q_medallion_gold(spark, sf_dir):
+    """The whole run (decision D3) on the faulty message feed: Bronze is written,
+    then quarantine, Silver and sessions, the quality gate over Silver, and Gold;
+    the written Gold table is read back (creation stamp excluded). The gate's
+    domain admits the feed's injected unknown type and -1 response time, which
+    no validity rule removes; a failing gate is covered by
+    ``expectations_failing`` and the medallion tests."""
+    base = scratch_path(spark, "medallion")
+    overwrite_table(bronze_events(spark, sf_dir), f"{base}/bronze")
+    suite = silver_suite((*EVENT_TYPES, "unknown"), bounds=(-1, 5000))
+    res = run_medallion(spark, read_table(spark, f"{base}/bronze"), feed_teams(spark, sf_dir),
+                        f"{base}/lake", suite=suite,
+                        silver_options={"is_ai": F.col("event_type") == AI_TYPE, "ntz": True})
+    return read_table(spark, res["gold"]).drop("gold_created_at")
+
+
 # ---------------------------------------------------------------------------
 # Streaming queries: run to completion with an availableNow trigger into
 # checkpointed sinks below the shared root, then read the sink back.
@@ -444,6 +467,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "expectations_failing": q_expectations_failing,
     "quality_score": q_quality_score,
     "quality_history": q_quality_history,
+    "medallion_gold": q_medallion_gold,
     "stream_ingest": q_stream_ingest,
     "stream_silver": q_stream_silver,
     "stream_sessions": q_stream_sessions,

@@ -52,9 +52,10 @@ def run_silver(spark: SparkSession, bronze: DataFrame, out: Layout, rules: RuleS
                rate: float | Column = AI_COST_PER_CALL_USD,
                tie_breakers: Sequence[Column] = (),
                session_keys: Sequence[str] = ("user_id", "team_id", "team_name"),
-               fmt: str = "parquet") -> dict:
-    """Bronze -> quarantine + Silver + sessions; returns the audit counters."""
-    typed = parse_event_time(bronze, ts)
+               fmt: str = "parquet", ntz: bool = False) -> dict:
+    """Bronze -> quarantine + Silver + sessions; returns the audit counters.
+    ``ntz`` types the event time as TIMESTAMP_NTZ instead of TIMESTAMP."""
+    typed = parse_event_time(bronze, ts, ntz=ntz)
     valid, bad = split_valid(typed, rules)
 
     q_obs = Observation("quarantine")

@@ -292,6 +292,23 @@ SELECT 'medallion' AS pipeline, 'silver_jira_events_clean' AS "table",
        min(score) AS min_score_pct, CAST(sum(failed) AS BIGINT) AS checks_failed
 FROM runs"""
 
+# The whole run: Gold over the Silver rows of VALID, teams keyed "team_<n>",
+# the reference's cost tiers (1.0 / 0.5).
+MEDALLION_GOLD = f"""WITH s AS ({VALID}),
+{_TEAMS.replace("SELECT n.n_nationkey AS team_id", "SELECT 'team_' || CAST(n.n_nationkey AS VARCHAR) AS team_id")},
+agg AS (
+  SELECT team_id, team_name, CAST(count(*) AS BIGINT) AS total_events,
+         CAST(count(*) FILTER (WHERE is_ai_event) AS BIGINT) AS ai_api_calls,
+         CAST(round(sum(cost_estimate_usd), 4) AS DOUBLE) AS total_cost_usd,
+         {half_up("avg(response_time_ms)", 1)} AS avg_response_time_ms,
+         min(event_ts) AS period_start, max(event_ts) AS period_end
+  FROM s GROUP BY team_id, team_name),
+g AS (
+  SELECT a.*, t.department, t.plan_tier, t.monthly_budget, t.region
+  FROM agg a LEFT JOIN tm t ON a.team_id = t.team_id),
+p AS (SELECT *, {_PCT} FROM g)
+SELECT {_GOLD_COLS.format(hi=1.0, mid=0.5)} FROM p"""
+
 # Append-mode sessions closed by the final watermark: max event time (at
 # millisecond precision) minus the 10-minute delay; a session is emitted once
 # its end plus the 30-minute gap is at or before it.
@@ -366,6 +383,7 @@ ORACLE: dict[str, str] = {
     "expectations_failing": EXPECTATIONS_FAILING,
     "quality_score": QUALITY_SCORE,
     "quality_history": QUALITY_HISTORY,
+    "medallion_gold": MEDALLION_GOLD,
     "silver_user_sessions": SILVER_SESSIONS,
     "confluence_quarantine": CONFLUENCE_QUARANTINE,
     "confluence_page_sessions": CONFLUENCE_PAGE_SESSIONS,
