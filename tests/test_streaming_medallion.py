@@ -97,3 +97,19 @@ def test_medallion_end_to_end(spark, tmp_path):
     sessions = spark.read.parquet(res["sessions"])
     assert sessions.agg(F.sum("events_in_session")).first()[0] == a["rows_out"]
     assert a["sessions"] == sessions.count()
+
+
+def test_silver_partitioned_by_event_date_prunes(spark, tmp_path):
+    from tidewater.plans.medallion import Layout, run_silver
+    bronze, _ = _bronze_and_teams(spark, tmp_path)
+    out = Layout(str(tmp_path / "lake"))
+    a = run_silver(spark, bronze, out, is_ai=F.col("event_type") == AI_TYPE,
+                   date_partition="event_date")
+    assert any(p.startswith("event_date=") for p in os.listdir(out.silver))
+    silver = read_table(spark, out.silver)
+    assert silver.count() == a["rows_out"]
+    day = silver.select(F.min("event_date")).first()[0]
+    one_day = silver.filter(F.col("event_date") == F.lit(day))
+    plan = one_day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
+    assert one_day.count() == silver.filter(F.to_date("event_ts") == F.lit(day)).count()

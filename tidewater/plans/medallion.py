@@ -52,9 +52,14 @@ def run_silver(spark: SparkSession, bronze: DataFrame, out: Layout, rules: RuleS
                rate: float | Column = AI_COST_PER_CALL_USD,
                tie_breakers: Sequence[Column] = (),
                session_keys: Sequence[str] = ("user_id", "team_id", "team_name"),
-               fmt: str = "parquet", ntz: bool = False) -> dict:
+               fmt: str = "parquet", ntz: bool = False,
+               date_partition: str | None = None) -> dict:
     """Bronze -> quarantine + Silver + sessions; returns the audit counters.
-    ``ntz`` types the event time as TIMESTAMP_NTZ instead of TIMESTAMP."""
+
+    ``ntz`` types the event time as TIMESTAMP_NTZ instead of TIMESTAMP.
+    ``date_partition`` names a column holding the event date by which Silver is
+    partitioned on write, so readers filtering on dates prune whole directories.
+    Rows with an unparsable time never reach Silver, so the date is never NULL."""
     typed = parse_event_time(bronze, ts, ntz=ntz)
     valid, bad = split_valid(typed, rules)
 
@@ -66,7 +71,12 @@ def run_silver(spark: SparkSession, bronze: DataFrame, out: Layout, rules: RuleS
     latest = latest_per_key(valid, [key], [F.col("ingested_at").desc()], tie_breakers)
     silver = enrich_cost(latest, is_ai=is_ai if is_ai is not None
                          else F.col("event_type") == AI_EVENT_TYPE, rate=rate)
-    overwrite_table(silver.observe(s_obs, F.count(F.lit(1)).alias("rows")), out.silver, fmt)
+    parts: list[str] = []
+    if date_partition:
+        silver = silver.withColumn(date_partition, F.to_date(F.col(ts)))
+        parts = [date_partition]
+    overwrite_table(silver.observe(s_obs, F.count(F.lit(1)).alias("rows")), out.silver, fmt,
+                    partition_by=parts)
 
     sess_obs = Observation("sessions")
     sessions = sessionize(read_table(spark, out.silver, fmt), list(session_keys), ts=ts)
