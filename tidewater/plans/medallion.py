@@ -90,9 +90,10 @@ def run_silver(spark: SparkSession, bronze: DataFrame, out: Layout, rules: RuleS
 
 
 def run_gate(spark: SparkSession, out: Layout, suite: Sequence[Expectation] | None = None,
-             fmt: str = "parquet") -> DataFrame:
+             fmt: str = "parquet", enforce_gate: bool = True) -> DataFrame:
     """Expectations over the written Silver table; appends the report, then raises
-    :class:`~tidewater.operators.expectations.QualityGateError` on any failure."""
+    :class:`~tidewater.operators.expectations.QualityGateError` on any failure
+    (``enforce_gate=False``: report only). Returns this run's result rows."""
     silver = read_table(spark, out.silver, fmt)
     results = run_suite(silver, suite or silver_suite(JIRA_EVENT_TYPES), stamp=True)
     run_id = uuid.uuid4().hex
@@ -102,7 +103,8 @@ def run_gate(spark: SparkSession, out: Layout, suite: Sequence[Expectation] | No
                  out.quality_reports)
     reports = read_table(spark, out.quality_reports, "json")
     checks = reports.filter(F.col("run_id") == run_id).select(F.inline("results"))
-    enforce(checks)
+    if enforce_gate:
+        enforce(checks)
     return checks
 
 
@@ -114,11 +116,14 @@ def run_gold(spark: SparkSession, out: Layout, teams: DataFrame, keep: str = "ev
 
 def run_medallion(spark: SparkSession, bronze: DataFrame, teams: DataFrame, root: str,
                   suite: Sequence[Expectation] | None = None, fmt: str = "parquet",
-                  silver_options: dict | None = None, gold_options: dict | None = None) -> dict:
-    """Silver -> gate -> Gold. Returns the audit counters and table locations."""
+                  silver_options: dict | None = None, gold_options: dict | None = None,
+                  enforce_gate: bool = True) -> dict:
+    """Silver -> gate -> Gold. Returns the audit counters, the gate's result rows
+    and the table locations. By default a failed check raises and Gold is not
+    written; ``enforce_gate=False`` records the report and continues."""
     out = Layout(root)
     audit = run_silver(spark, bronze, out, fmt=fmt, **(silver_options or {}))
-    run_gate(spark, out, suite, fmt)
+    checks = run_gate(spark, out, suite, fmt, enforce_gate)
     run_gold(spark, out, teams, fmt=fmt, **(gold_options or {}))
-    return {"audit": audit, "silver": out.silver, "quarantine": out.quarantine,
+    return {"audit": audit, "gate": checks, "silver": out.silver, "quarantine": out.quarantine,
             "sessions": out.sessions, "gold": out.gold, "reports": out.quality_reports}

@@ -309,6 +309,10 @@ g AS (
 p AS (SELECT *, {_PCT} FROM g)
 SELECT {_GOLD_COLS.format(hi=1.0, mid=0.5)} FROM p"""
 
+MEDALLION_QUALITY = f"""WITH s AS ({VALID}), {_suite("s", "response_time_ms", _TYPES)}
+SELECT "check", description, CASE WHEN ok THEN 'PASSED' ELSE 'FAILED' END AS status, details
+FROM r"""
+
 # Append-mode sessions closed by the final watermark: max event time (at
 # millisecond precision) minus the 10-minute delay; a session is emitted once
 # its end plus the 30-minute gap is at or before it.
@@ -384,6 +388,7 @@ ORACLE: dict[str, str] = {
     "quality_score": QUALITY_SCORE,
     "quality_history": QUALITY_HISTORY,
     "medallion_gold": MEDALLION_GOLD,
+    "medallion_quality": MEDALLION_QUALITY,
     "silver_user_sessions": SILVER_SESSIONS,
     "confluence_quarantine": CONFLUENCE_QUARANTINE,
     "confluence_page_sessions": CONFLUENCE_PAGE_SESSIONS,
