@@ -10,6 +10,10 @@ Differences from the batch form, by construction of Structured Streaming:
 * Append-mode sessions are emitted only once the watermark has passed the
   session's end plus the gap; sessions still open at the end of the input stay
   in state until later data advances the watermark.
+* Spark guarantees only that rows within the watermark delay are kept. A row
+  behind the watermark may still join a session or a key that is held in
+  state (``tests/test_golden.py``), so the streaming result can differ from the
+  batch result only for such late rows.
 """
 
 from __future__ import annotations
