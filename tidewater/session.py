@@ -21,6 +21,12 @@ DEFAULT_CONF = {
     # input partition before the shuffle (the batch plan always does), so a hot
     # key ships partial sessions rather than raw events to its state task
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+    # streaming state (dedup keys within the watermark, open sessions) lives in
+    # RocksDB on local disk instead of the executor heap, and each commit
+    # uploads only a changelog; in-memory state would not hold billions of keys
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

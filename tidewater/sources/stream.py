@@ -8,11 +8,16 @@ from pyspark.sql.types import StructType
 
 def read_messages(spark: SparkSession, topic: str, servers: str,
                   starting_offsets: str = "earliest", fail_on_data_loss: bool = True,
+                  max_offsets_per_trigger: int | None = None,
+                  min_partitions: int | None = None,
                   fmt: str = "kafka", options: dict[str, str] | None = None) -> DataFrame:
     """Streaming ``(key, value, topic, partition, offset, timestamp, ...)`` frame.
 
     ``fail_on_data_loss`` defaults to true: a sink with a checkpoint is only
     exactly-once if lost offsets stop the query instead of being skipped.
+    ``max_offsets_per_trigger`` bounds one micro-batch (a large backlog is
+    drained in bounded batches), and ``min_partitions`` splits the offset
+    ranges of a topic with few partitions over more tasks, without a shuffle.
     Needs the Kafka source package on the class path.
     """
     r = (spark.readStream.format(fmt)
@@ -20,6 +25,10 @@ def read_messages(spark: SparkSession, topic: str, servers: str,
          .option("subscribe", topic)
          .option("startingOffsets", starting_offsets)
          .option("failOnDataLoss", str(fail_on_data_loss).lower()))
+    if max_offsets_per_trigger:
+        r = r.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+    if min_partitions:
+        r = r.option("minPartitions", str(min_partitions))
     for k, v in (options or {}).items():
         r = r.option(k, v)
     return r.load()
