@@ -38,7 +38,7 @@ from tidewater.session import scratch_path
 from tidewater.sinks import overwrite_table, write_report
 from tidewater.sources.lake import read_table, spread_scan
 from tidewater.sources.stream import read_file_stream
-from tidewater.streaming.ingest import bronze_stream, run_to_completion, start_append
+from tidewater.streaming.ingest import await_all, bronze_stream, run_to_completion, start_append
 from tidewater.streaming.silver import silver_streams, stream_sessions
 
 # ---------------------------------------------------------------------------
@@ -436,6 +436,22 @@ def q_stream_ingest(spark, sf_dir):
     return spark.read.parquet(paths["bronze"]).drop("ingested_at")
 
 
+def q_stream_ingest_both(spark, sf_dir):
+    """Both feeds ingested by two concurrent checkpointed queries (STR-3);
+    ``await_all`` raises if either of them fails. Returns the page-event Bronze
+    with its time parsed (ingest stamp excluded)."""
+    base = scratch_path(spark, "stream_ingest_both")
+    m = members(spark, sf_dir)
+    feeds = {"jira": bronze_stream(messages_of(events_stream(spark, sf_dir), m), JIRA_EVENT),
+             "confluence": bronze_stream(page_messages_of(events_stream(spark, sf_dir), m),
+                                         CONFLUENCE_EVENT)}
+    await_all(spark, [start_append(sdf, f"{base}/{name}", f"{base}/_checkpoints/{name}",
+                                   trigger={"availableNow": True})
+                      for name, sdf in feeds.items()])
+    pages = parse_event_time(spark.read.parquet(f"{base}/confluence"), "event_ts", ntz=True)
+    return pages.drop("ingested_at")
+
+
 def q_stream_silver(spark, sf_dir):
     msgs = messages_of(events_stream(spark, sf_dir), members(spark, sf_dir))
     typed = parse_event_time(bronze_stream(msgs, JIRA_EVENT), "event_ts", ntz=True)
@@ -479,6 +495,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "medallion_gold": q_medallion_gold,
     "medallion_quality": q_medallion_quality,
     "stream_ingest": q_stream_ingest,
+    "stream_ingest_both": q_stream_ingest_both,
     "stream_silver": q_stream_silver,
     "stream_sessions": q_stream_sessions,
 }

@@ -361,6 +361,9 @@ SELECT {_PAGE_COLS},
     AS quarantine_reason
 FROM p WHERE k BETWEEN 0 AND 6"""
 
+STREAM_INGEST_BOTH = f"""{_PFEED}
+SELECT {_PAGE_COLS} FROM p"""
+
 CONFLUENCE_PAGE_SESSIONS = (
     f"""{_PFEED},
 pv AS (SELECT DISTINCT {_PAGE_COLS} FROM p WHERE k NOT BETWEEN 0 AND 6),
@@ -393,6 +396,7 @@ ORACLE: dict[str, str] = {
     "confluence_quarantine": CONFLUENCE_QUARANTINE,
     "confluence_page_sessions": CONFLUENCE_PAGE_SESSIONS,
     "stream_ingest": DECODE,
+    "stream_ingest_both": STREAM_INGEST_BOTH,
     "stream_silver": VALID,
     "stream_sessions": STREAM_SESSIONS,
 }
