@@ -452,15 +452,28 @@ def q_stream_ingest_both(spark, sf_dir):
     return pages.drop("ingested_at")
 
 
-def q_stream_silver(spark, sf_dir):
+def stream_silver_run(spark: SparkSession, sf_dir: str) -> dict:
+    """Streaming Silver and quarantine of the message feed, drained into their
+    sinks; returns the sink locations."""
     msgs = messages_of(events_stream(spark, sf_dir), members(spark, sf_dir))
     typed = parse_event_time(bronze_stream(msgs, JIRA_EVENT), "event_ts", ntz=True)
     silver, bad = silver_streams(typed, JIRA_RULES, watermark=STREAM_WATERMARK,
                                  is_ai=F.col("event_type") == AI_TYPE)
-    paths = _drain(spark, "stream_silver", {"silver": silver, "quarantine": bad})
+    return _drain(spark, "stream_silver", {"silver": silver, "quarantine": bad})
+
+
+def q_stream_silver(spark, sf_dir):
+    paths = stream_silver_run(spark, sf_dir)
     return spark.read.parquet(paths["silver"]).drop("ingested_at", "silver_processed_at")
 
 
+def q_stream_quarantine(spark, sf_dir):
+    """The stateless quarantine stream: every invalid message with its reason,
+    as in the batch form (stamps excluded)."""
+    paths = stream_silver_run(spark, sf_dir)
+    return spark.read.parquet(paths["quarantine"]).drop("ingested_at", "quarantined_at")
+
+
 def q_stream_sessions(spark, sf_dir):
     sessions = stream_sessions(events_stream(spark, sf_dir), ["user_id"], ts="ts",
                                watermark=STREAM_WATERMARK)
@@ -497,5 +510,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_ingest": q_stream_ingest,
     "stream_ingest_both": q_stream_ingest_both,
     "stream_silver": q_stream_silver,
+    "stream_quarantine": q_stream_quarantine,
     "stream_sessions": q_stream_sessions,
 }

@@ -398,5 +398,6 @@ ORACLE: dict[str, str] = {
     "stream_ingest": DECODE,
     "stream_ingest_both": STREAM_INGEST_BOTH,
     "stream_silver": VALID,
+    "stream_quarantine": QUARANTINE,
     "stream_sessions": STREAM_SESSIONS,
 }
