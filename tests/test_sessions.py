@@ -84,3 +84,18 @@ def test_before_1970_and_across_epoch(spark):
             ("a", e0 + dt.timedelta(minutes=4)), ("a", e0 + dt.timedelta(hours=3)),
             ("b", dt.datetime(1969, 6, 1, 12, 0)), ("b", dt.datetime(1969, 6, 1, 12, 59, 59))]
     assert _sessions(_df(spark, data), "1 hour") == _sessions(_df(spark, data), None)
+
+
+def test_wall_clock_times_across_a_daylight_saving_change(spark):
+    # 01:00-02:00 happens twice in Los Angeles on 2024-11-03; TIMESTAMP_NTZ
+    # values are wall-clock times and must not be shifted by the session zone
+    ts = [dt.datetime(2024, 11, 3, 0, 50), dt.datetime(2024, 11, 3, 1, 10),
+          dt.datetime(2024, 11, 3, 1, 40), dt.datetime(2024, 11, 3, 2, 5)]
+    df = _df(spark, [("u", t) for t in ts])
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        for split in (None, "1 hour", "20 minutes"):
+            assert _sessions(df, split) == [("u", ts[0], ts[-1], 4, 75.0)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

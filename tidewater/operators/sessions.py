@@ -54,9 +54,14 @@ def interval_micros(text: str) -> int:
     return total
 
 
-def _micros(col: str):
-    # epoch microseconds for TIMESTAMP and TIMESTAMP_NTZ alike (session zone UTC)
-    return F.unix_micros(F.col(col).cast("timestamp"))
+def _micros(col: str, ntz: bool):
+    """Epoch microseconds. A TIMESTAMP_NTZ is wall-clock time: it is measured
+    without the session time zone (a cast to TIMESTAMP would shift times across
+    a daylight-saving change and break gaps there), as ``session_window`` does."""
+    if ntz:
+        epoch = F.make_timestamp_ntz(F.lit(1970), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+        return F.timestamp_diff("MICROSECOND", epoch, F.col(col))
+    return F.unix_micros(F.col(col))
 
 
 def sessionize(df: DataFrame, keys: Sequence[str], ts: str = "event_ts",
@@ -79,19 +84,20 @@ def sessionize(df: DataFrame, keys: Sequence[str], ts: str = "event_ts",
                .drop("_sw"))
         return out.withColumn(duration_col, duration_minutes(start_col, end_col))
 
+    ntz = dict(events.dtypes)[ts] == "timestamp_ntz"
     g_us = interval_micros(gap)
     b_us = interval_micros(split)
     if b_us <= 0 or g_us < 0:
         raise ValueError("split must be positive and gap non-negative")
 
     local = (events
-             .withColumn("_b", F.floor(_micros(ts) / F.lit(b_us)))
+             .withColumn("_b", F.floor(_micros(ts, ntz) / F.lit(b_us)))
              .groupBy(*keys, "_b", F.session_window(ts, gap).alias("_sw"))
              .agg(F.min(ts).alias(start_col), F.max(ts).alias(end_col),
                   F.count(F.lit(1)).alias(count_col))
              .drop("_sw")
-             .withColumn("_s", _micros(start_col))
-             .withColumn("_e", _micros(end_col)))
+             .withColumn("_s", _micros(start_col, ntz))
+             .withColumn("_e", _micros(end_col, ntz)))
     bucket_start = F.col("_b") * F.lit(b_us)
     edge = ((F.col("_s") < bucket_start + F.lit(g_us))
             | (F.col("_e") >= bucket_start + F.lit(b_us - g_us)))
