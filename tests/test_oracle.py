@@ -13,10 +13,11 @@ TABLES = ("region nation customer supplier part orders lineitem events").split()
 
 
 def _norm(v):
+    # exact comparison, floats included (decimals compared as their double)
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else float(f"{v:.6g}")
+        return "nan" if math.isnan(v) else v
     if hasattr(v, "as_tuple"):
-        return float(f"{float(v):.6g}")
+        return float(v)
     return v
 
 
