@@ -329,11 +329,22 @@ def q_confluence_quarantine(spark, sf_dir):
     return bad.drop("ingested_at")
 
 
+def clean_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid, de-duplicated page events (still carrying the ingest stamp)."""
+    valid, _ = split_valid(typed_pages(spark, sf_dir), CONFLUENCE_RULES)
+    return latest_per_key(valid, ["event_id"], [F.col("ingested_at").desc()])
+
+
+def q_confluence_valid_events(spark, sf_dir):
+    """Silver of the page-event feed: valid, de-duplicated, flagged and priced."""
+    return enrich_cost(clean_pages(spark, sf_dir), is_ai=F.col("event_type") == AI_TYPE,
+                       rate=AI_COST_PER_CALL_USD, stamp_col=None).drop("ingested_at")
+
+
 def q_confluence_page_sessions(spark, sf_dir):
     """Sessions per user and page of the cleaned page-event feed."""
-    valid, _ = split_valid(typed_pages(spark, sf_dir), CONFLUENCE_RULES)
-    latest = latest_per_key(valid, ["event_id"], [F.col("ingested_at").desc()])
-    return sessionize(latest, ["user_id", "team_id", "team_name", "space_key", "page_id"])
+    return sessionize(clean_pages(spark, sf_dir),
+                      ["user_id", "team_id", "team_name", "space_key", "page_id"])
 
 
 def q_avg_session_by_team(spark, sf_dir):
@@ -500,6 +511,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "avg_session_by_team": q_avg_session_by_team,
     "silver_user_sessions": q_silver_user_sessions,
     "confluence_quarantine": q_confluence_quarantine,
+    "confluence_valid_events": q_confluence_valid_events,
     "confluence_page_sessions": q_confluence_page_sessions,
     "expectations": q_expectations,
     "expectations_failing": q_expectations_failing,

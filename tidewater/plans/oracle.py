@@ -364,6 +364,12 @@ FROM p WHERE k BETWEEN 0 AND 6"""
 STREAM_INGEST_BOTH = f"""{_PFEED}
 SELECT {_PAGE_COLS} FROM p"""
 
+CONFLUENCE_VALID = f"""{_PFEED},
+t AS (SELECT DISTINCT {_PAGE_COLS} FROM p WHERE k NOT BETWEEN 0 AND 6)
+SELECT *, event_type = 'purchase' AS is_ai_event,
+       CASE WHEN event_type = 'purchase' THEN 0.000126 ELSE 0.0 END AS cost_estimate_usd
+FROM t"""
+
 CONFLUENCE_PAGE_SESSIONS = (
     f"""{_PFEED},
 pv AS (SELECT DISTINCT {_PAGE_COLS} FROM p WHERE k NOT BETWEEN 0 AND 6),
@@ -394,6 +400,7 @@ ORACLE: dict[str, str] = {
     "medallion_quality": MEDALLION_QUALITY,
     "silver_user_sessions": SILVER_SESSIONS,
     "confluence_quarantine": CONFLUENCE_QUARANTINE,
+    "confluence_valid_events": CONFLUENCE_VALID,
     "confluence_page_sessions": CONFLUENCE_PAGE_SESSIONS,
     "stream_ingest": DECODE,
     "stream_ingest_both": STREAM_INGEST_BOTH,
