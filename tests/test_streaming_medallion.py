@@ -113,3 +113,16 @@ def test_silver_partitioned_by_event_date_prunes(spark, tmp_path):
     plan = one_day._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan
     assert one_day.count() == silver.filter(F.to_date("event_ts") == F.lit(day)).count()
+
+
+def test_medallion_report_mode_writes_gold_and_records_failures(spark, tmp_path):
+    bronze, teams = _bronze_and_teams(spark, tmp_path)
+    root = str(tmp_path / "lake")
+    res = run_medallion(spark, bronze, teams, root,
+                        suite=silver_suite(("signup", "error", "click", "view", "purchase")),
+                        silver_options={"is_ai": F.col("event_type") == AI_TYPE},
+                        enforce_gate=False)
+    failed = {r["check"] for r in res["gate"].filter(F.col("status") == "FAILED").collect()}
+    assert "event_type_valid_values" in failed            # the injected unknown type
+    assert os.path.exists(f"{root}/gold")
+    assert spark.read.parquet(res["gold"]).count() > 0
