@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from tidewater.llm.packing import op8_pattern_packing
+from tidewater.llm.pfor import op1_pfor_tokens
 from tidewater.llm.repetition import op7_repetition_rules
 from tidewater.llm.sharding import op3_feistel_shards
 from tidewater.llm.snapshots import OP10_SQL, op10_snapshot_chats
 
 QUERIES = {
+    "op1_pfor_tokens": op1_pfor_tokens,
     "op3_feistel_shards": op3_feistel_shards,
     "op7_repetition_rules": op7_repetition_rules,
+    "op8_pattern_packing": op8_pattern_packing,
     "op10_snapshot_chats": op10_snapshot_chats,
 }
 
