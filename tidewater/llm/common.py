@@ -52,9 +52,7 @@ def text_chunks(batch: pa.RecordBatch, column: str, max_chars: int) -> Iterator[
 
 def map_batches(df: DataFrame, fn, schema: str) -> DataFrame:
     """``mapInArrow`` for a function from one record batch to dicts of columns."""
-    from pyspark.sql.types import StructType
-
-    arrow = _arrow_schema(StructType.fromDDL(schema))
+    arrow = arrow_schema(schema)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -65,10 +63,12 @@ def map_batches(df: DataFrame, fn, schema: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
-def _arrow_schema(schema) -> pa.Schema:
+def arrow_schema(ddl: str) -> pa.Schema:
+    """The Arrow schema of a DDL string (on the driver: it needs a session)."""
     from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
 
-    return to_arrow_schema(schema)
+    return to_arrow_schema(StructType.fromDDL(ddl))
 
 
 def crc32_rows(data: np.ndarray, bounds: np.ndarray) -> list[int]:

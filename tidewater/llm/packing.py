@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import crc32_rows, materialize, table, text_chunks
+from tidewater.llm.common import arrow_schema, crc32_rows, materialize, table, text_chunks
 from tidewater.llm.tokens import encode_batch, vocabulary_path
 
 SEQUENCE = 2048
@@ -42,12 +42,9 @@ PIECES = ("doc_id {id}, piece int, start long, length long, ids_crc32 long, part
 def pieces_of(docs: DataFrame, vocabulary: str, size: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
     """One row per piece; ``nth`` counts the pieces of its length within ``part``."""
     kind = PIECES.format(id=docs.schema["doc_id"].dataType.simpleString())
+    schema = arrow_schema(kind)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark.sql.pandas.types import to_arrow_schema
-        from pyspark.sql.types import StructType
-
-        schema = to_arrow_schema(StructType.fromDDL(kind))
         part, seen = TaskContext.get().partitionId(), np.zeros(size + 1, np.int64)
         for b in batches:
             for first, texts in text_chunks(b, "text", CHUNK_CHARS):

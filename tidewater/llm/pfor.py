@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import crc32_rows, map_batches, shuffle_tasks, table, text_chunks
+from tidewater.llm.common import arrow_schema, crc32_rows, map_batches, shuffle_tasks, table, text_chunks
 from tidewater.llm.tokens import encode_batch, vocabulary_path
 from tidewater.session import scratch_path
 
@@ -146,11 +146,9 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int = END_
                .repartitionByRange(shuffle_tasks(spark), "doc_id", "_hash", "_tie")
                .sortWithinPartitions("doc_id", "_hash", "_tie").select("doc_id", "text"))
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark.sql.pandas.types import to_arrow_schema
-        from pyspark.sql.types import StructType
+    schema = arrow_schema(SEGMENT)
 
-        schema = to_arrow_schema(StructType.fromDDL(SEGMENT))
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq, before = TaskContext.get().partitionId(), 0, 0
         for b in batches:
             for first, texts in text_chunks(b, "text", SEGMENT_CHARS):
