@@ -7,10 +7,14 @@ from tidewater.llm.pfor import op1_pfor_tokens
 from tidewater.llm.repetition import op7_repetition_rules
 from tidewater.llm.sharding import op3_feistel_shards
 from tidewater.llm.snapshots import OP10_SQL, op10_snapshot_chats
+from tidewater.llm.templates import op6_template_leaks
+from tidewater.llm.warc import op4_splittable_warc
 
 QUERIES = {
     "op1_pfor_tokens": op1_pfor_tokens,
     "op3_feistel_shards": op3_feistel_shards,
+    "op4_splittable_warc": op4_splittable_warc,
+    "op6_template_leaks": op6_template_leaks,
     "op7_repetition_rules": op7_repetition_rules,
     "op8_pattern_packing": op8_pattern_packing,
     "op10_snapshot_chats": op10_snapshot_chats,
