@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidewater.llm.licenses import OP5_SQL, op5_license_join
 from tidewater.llm.packing import op8_pattern_packing
 from tidewater.llm.pfor import op1_pfor_tokens
 from tidewater.llm.repetition import op7_repetition_rules
@@ -14,6 +15,7 @@ QUERIES = {
     "op1_pfor_tokens": op1_pfor_tokens,
     "op3_feistel_shards": op3_feistel_shards,
     "op4_splittable_warc": op4_splittable_warc,
+    "op5_license_join": op5_license_join,
     "op6_template_leaks": op6_template_leaks,
     "op7_repetition_rules": op7_repetition_rules,
     "op8_pattern_packing": op8_pattern_packing,
@@ -21,5 +23,6 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op5_license_join": OP5_SQL,
     "op10_snapshot_chats": OP10_SQL,
 }
