@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tidewater.llm.licenses import OP5_SQL, op5_license_join
+from tidewater.llm.ngram_join import op9_vertical_jaccard
 from tidewater.llm.packing import op8_pattern_packing
 from tidewater.llm.pfor import op1_pfor_tokens
 from tidewater.llm.repetition import op7_repetition_rules
@@ -19,6 +20,7 @@ QUERIES = {
     "op6_template_leaks": op6_template_leaks,
     "op7_repetition_rules": op7_repetition_rules,
     "op8_pattern_packing": op8_pattern_packing,
+    "op9_vertical_jaccard": op9_vertical_jaccard,
     "op10_snapshot_chats": op10_snapshot_chats,
 }
 
