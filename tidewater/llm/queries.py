@@ -6,6 +6,7 @@ from tidewater.llm.licenses import OP5_SQL, op5_license_join
 from tidewater.llm.ngram_join import op9_vertical_jaccard
 from tidewater.llm.packing import op8_pattern_packing
 from tidewater.llm.pfor import op1_pfor_tokens
+from tidewater.llm.repeats import op2_merged_repeats
 from tidewater.llm.repetition import op7_repetition_rules
 from tidewater.llm.sharding import op3_feistel_shards
 from tidewater.llm.snapshots import OP10_SQL, op10_snapshot_chats
@@ -14,6 +15,7 @@ from tidewater.llm.warc import op4_splittable_warc
 
 QUERIES = {
     "op1_pfor_tokens": op1_pfor_tokens,
+    "op2_merged_repeats": op2_merged_repeats,
     "op3_feistel_shards": op3_feistel_shards,
     "op4_splittable_warc": op4_splittable_warc,
     "op5_license_join": op5_license_join,
