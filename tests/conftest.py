@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -13,7 +14,9 @@ SF_ORACLE = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", app="tidewater-tests", shuffle_partitions=4)
+    shared = tempfile.mkdtemp(prefix="tidewater-tests-")
+    s = build_session("local[4]", app="tidewater-tests", shuffle_partitions=4,
+                      extra={"spark.checkpoint.dir": shared})
     yield s
     s.stop()
 

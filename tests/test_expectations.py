@@ -52,7 +52,7 @@ def test_boundaries_inclusive(spark):
 
 def test_minimum_rows_99_vs_100(spark):
     assert _status(spark, _clean(99))["minimum_row_count"] == (
-        "FAILED", "Only 99 rows found, expected >= 100")
+        "FAILED", "99 rows; the minimum is 100")
     assert _status(spark, _clean(100))["minimum_row_count"][0] == "PASSED"
 
 
@@ -61,7 +61,7 @@ def test_null_id_counts_once_as_value(spark):
     got = _status(spark, data)
     assert got["no_duplicate_event_ids"][0] == "PASSED"
     data += [(None, "issue_created", 1, 0.0, False)]
-    assert _status(spark, data)["no_duplicate_event_ids"] == ("FAILED", "1 duplicate event_ids found")
+    assert _status(spark, data)["no_duplicate_event_ids"] == ("FAILED", "1 repeated values of event_id")
 
 
 def test_gate_and_report(spark):

@@ -13,7 +13,7 @@ from tidewater.operators.sessions import sessionize
 from tidewater.operators.summary import team_cost_summary
 from tidewater.operators.validate import split_valid
 from tidewater.sources.stream import read_file_stream
-from tidewater.streaming.ingest import run_to_completion, start_append
+from tidewater.streaming.ingest import await_all, start_append
 from tidewater.streaming.silver import stream_sessions
 
 T0 = dt.datetime(2024, 1, 1, 10, 0, 0)
@@ -92,7 +92,7 @@ def test_late_events_and_the_watermark_in_stream_sessions(spark, tmp_path):
                            max_files_per_trigger=1)
     q = start_append(stream_sessions(src, ["user_id"], ts="ts"), str(tmp_path / "out"),
                      str(tmp_path / "cp"), trigger={"availableNow": True})
-    run_to_completion([q])
+    await_all([q])
     assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 2   # two micro-batches
     streamed = rows(spark.read.parquet(str(tmp_path / "out")),
                     ["session_start", "session_end", "events_in_session"])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from tidewater.sinks import append_table, overwrite_table
 from tidewater.sources.jdbc import conform_types, read_snapshot
-from tidewater.sources.lake import read_table, spread_scan
+from tidewater.sources.lake import read_table
 from tidewater.streaming.ingest import await_all, start_append
 
 
@@ -48,17 +48,42 @@ def test_await_all_raises_when_any_query_fails(spark, tmp_path):
     bad = start_append(bad_stream, str(tmp_path / "bad"), str(tmp_path / "cp_bad"),
                        trigger={"availableNow": True})
     with pytest.raises(RuntimeError):
-        await_all(spark, [ok, bad], timeout_s=120)
-    for q in (ok, bad):
-        if q.isActive:
-            q.stop()
-
-
-def test_spread_scan_widens_only_narrow_scans(spark):
-    narrow = read_table(spark, f"{SF_SMALL}/events.parquet")
-    assert narrow.rdd.getNumPartitions() == 1              # one row group
-    spread = spread_scan(narrow, ["event_id"], min_partitions=6)
-    assert spread.rdd.getNumPartitions() == 6
-    assert spread.count() == narrow.count()
-    wide = spark.range(0, 100, numPartitions=8)
-    assert spread_scan(wide, min_partitions=6) is wide     # enough splits: no shuffle
+        await_all([ok, bad], timeout_s=120)
+    assert not ok.isActive and not bad.isActive
+
+
+def test_await_all_stops_everything_when_time_runs_out(spark, tmp_path):
+    schema = spark.read.parquet(f"{SF_SMALL}/events.parquet").schema
+    src = lambda: spark.readStream.schema(schema).parquet(f"{SF_SMALL}/events*.parquet")
+    qs = [start_append(src(), str(tmp_path / n), str(tmp_path / f"cp_{n}")) for n in "ab"]   # never end
+    with pytest.raises(TimeoutError):
+        await_all(qs, timeout_s=2)
+    assert not any(q.isActive for q in qs)
+
+
+def test_shared_root_needs_a_setting_beyond_local_masters():
+    from types import SimpleNamespace as N
+
+    from tidewater.session import shared_root
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        unset = N(sparkContext=N(getCheckpointDir=lambda: None, master=master), conf=N(get=lambda k, d: d))
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_root(unset)
+
+
+def test_remove_path(spark, tmp_path):
+    from tidewater.session import remove_path
+    spark.range(3).write.parquet(str(tmp_path / "t"))
+    remove_path(spark, str(tmp_path / "t"))
+    assert not (tmp_path / "t").exists()
+
+
+def test_increment_appends_new_rows_and_moves_the_mark(spark, tmp_path):
+    from tidewater.sources.jdbc import load_increment
+    path = str(tmp_path / "t")
+    rows_ = spark.createDataFrame([(1, 10), (2, 20), (3, 30)], "id int, v int")
+    mark = load_increment(rows_.filter("v <= 20"), path, "v")
+    assert mark == 20
+    mark = load_increment(rows_, path, "v", mark)
+    assert mark == 30 and load_increment(rows_, path, "v", mark) == 30
+    assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == [1, 2, 3]

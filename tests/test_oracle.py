@@ -6,8 +6,10 @@ import math
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from conftest import SF_SMALL
+from tidewater.plans.catalog import QUERIES
+from tidewater.plans.oracle import ORACLE
 
 TABLES = ("region nation customer supplier part orders lineitem events").split()
 
@@ -34,15 +36,15 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    missing = set(queries()) - set(oracle_sql())
+    missing = set(QUERIES) - set(ORACLE)
     assert not missing, missing
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
-    df = queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     cols = sorted(df.columns)
-    rel = con.sql(oracle_sql()[name])
+    rel = con.sql(ORACLE[name])
     assert cols == sorted(rel.columns)
     got = _sorted(tuple(r[c] for c in cols) for r in df.collect())
     want = _sorted(rel.select(*[f'"{c}"' for c in cols]).fetchall())

@@ -38,11 +38,24 @@ def test_decode_parses_once_per_row(spark):
     assert plan.count("from_json") == 1
 
 
-def test_sessions_one_scan_two_exchanges(spark):
+def test_sessions_exchange_candidates_only(spark):
+    """Both levels read one scan and one first exchange; only sessions near a
+    bucket's edge are exchanged again, and at the defaults they are few."""
     plan = _final_plan(q_user_sessions(spark, SF_SMALL))
-    assert plan.count("Scan parquet") == 1
-    assert plan.count("Exchange") - plan.count("BroadcastExchange") == 2
+    assert plan.count("ReusedExchange") == 1
     assert "MergingSessions" in plan
+    candidates = plan.split("Window [lag")[1].split("Exchange hashpartitioning")[1]
+    assert " OR " in candidates.split("MergingSessions")[0]     # the edge filter stands below the second exchange
+
+
+def test_few_sessions_are_candidates(spark):
+    from pyspark.sql import functions as F
+    from tidewater.operators.sessions import interval_micros
+    s = q_user_sessions(spark, SF_SMALL)
+    day, gap = interval_micros("1 day"), interval_micros("30 minutes")
+    at = lambda c: F.pmod(F.unix_micros(F.col(c).cast("timestamp")), F.lit(day))
+    inner = s.filter((at("session_start") >= gap) & (at("session_end") < day - gap)).count()
+    assert inner > 0.9 * s.count()
 
 
 def test_dedup_limits_before_exchange(spark):
@@ -53,12 +66,12 @@ def test_dedup_limits_before_exchange(spark):
 def test_stream_sessions_merge_before_shuffle(spark):
     from tidewater.plans.catalog import events_stream
     from tidewater.session import scratch_path
-    from tidewater.streaming.ingest import run_to_completion, start_append
+    from tidewater.streaming.ingest import await_all, start_append
     from tidewater.streaming.silver import stream_sessions
     base = scratch_path(spark, "test_stream_plan")
     s = stream_sessions(events_stream(spark, SF_SMALL), ["user_id"], ts="ts")
     q = start_append(s, f"{base}/out", f"{base}/ck", trigger={"availableNow": True})
-    run_to_completion([q])
+    await_all([q])
     plan = q._jsq.streamingQuery().lastExecution().executedPlan().toString()
     below_exchange = plan.split("Exchange hashpartitioning", 1)[1]
     assert "MergingSessions" in below_exchange      # map-side merge of a key's events

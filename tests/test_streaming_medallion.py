@@ -10,7 +10,7 @@ from tidewater.plans.catalog import AI_TYPE, event_messages, messages_of, member
 from tidewater.plans.medallion import run_medallion, stage_dimension
 from tidewater.schemas import JIRA_EVENT
 from tidewater.sources.lake import read_table
-from tidewater.streaming.ingest import bronze_stream, run_to_completion, start_append
+from tidewater.streaming.ingest import await_all, bronze_stream, start_append
 from tidewater.streaming.silver import stream_sessions
 
 
@@ -29,7 +29,7 @@ def test_stream_restart_adds_nothing_and_new_file_adds_its_rows(spark, tmp_path)
         src = spark.readStream.schema(schema).parquet(f"{land}/events-*.parquet")
         msgs = messages_of(src, members(spark, SF_SMALL))
         q = start_append(bronze_stream(msgs, JIRA_EVENT), out, cp, trigger={"availableNow": True})
-        run_to_completion([q])
+        await_all([q])
         return spark.read.parquet(out).count()
 
     first = run()
@@ -45,7 +45,7 @@ def test_stream_sessions_are_a_subset_of_batch(spark, tmp_path):
     src = spark.readStream.schema(schema).parquet(f"{SF_SMALL}/events*.parquet")
     q = start_append(stream_sessions(src, ["user_id"], ts="ts"), str(tmp_path / "s"),
                      str(tmp_path / "cp"), trigger={"availableNow": True})
-    run_to_completion([q])
+    await_all([q])
     streamed = spark.read.parquet(str(tmp_path / "s"))
     batch = sessionize(spark.read.parquet(f"{SF_SMALL}/events.parquet"), ["user_id"], ts="ts")
     assert streamed.exceptAll(batch).count() == 0
@@ -73,7 +73,7 @@ def test_medallion_gate_blocks_gold(spark, tmp_path):
     with pytest.raises(QualityGateError):
         run_medallion(spark, bronze, teams, root,
                       suite=silver_suite(("signup", "error", "click", "view", "purchase")),
-                      silver_options={"is_ai": F.col("event_type") == AI_TYPE})
+                      silver_options={"is_ai": F.col("event_type") == AI_TYPE, "tie_breakers": []})
     assert not os.path.exists(f"{root}/gold")
     assert os.path.exists(f"{root}/silver") and os.path.exists(f"{root}/quality_reports")
 
@@ -84,7 +84,7 @@ def test_medallion_end_to_end(spark, tmp_path):
     suite = silver_suite(("signup", "error", "click", "view", "purchase", "unknown"),
                          bounds=(-1, 5000), min_rows=100)
     res = run_medallion(spark, bronze, teams, root, suite=suite,
-                        silver_options={"is_ai": F.col("event_type") == AI_TYPE})
+                        silver_options={"is_ai": F.col("event_type") == AI_TYPE, "tie_breakers": []})
     a = res["audit"]
     assert a["rows_in"] == bronze.count()
     assert a["rows_quarantined"] + a["rows_valid"] == a["rows_in"]
@@ -103,7 +103,7 @@ def test_silver_partitioned_by_event_date_prunes(spark, tmp_path):
     from tidewater.plans.medallion import Layout, run_silver
     bronze, _ = _bronze_and_teams(spark, tmp_path)
     out = Layout(str(tmp_path / "lake"))
-    a = run_silver(spark, bronze, out, is_ai=F.col("event_type") == AI_TYPE,
+    a = run_silver(spark, bronze, out, is_ai=F.col("event_type") == AI_TYPE, tie_breakers=[],
                    date_partition="event_date")
     assert any(p.startswith("event_date=") for p in os.listdir(out.silver))
     silver = read_table(spark, out.silver)
@@ -120,9 +120,49 @@ def test_medallion_report_mode_writes_gold_and_records_failures(spark, tmp_path)
     root = str(tmp_path / "lake")
     res = run_medallion(spark, bronze, teams, root,
                         suite=silver_suite(("signup", "error", "click", "view", "purchase")),
-                        silver_options={"is_ai": F.col("event_type") == AI_TYPE},
+                        silver_options={"is_ai": F.col("event_type") == AI_TYPE, "tie_breakers": []},
                         enforce_gate=False)
     failed = {r["check"] for r in res["gate"].filter(F.col("status") == "FAILED").collect()}
     assert "event_type_valid_values" in failed            # the injected unknown type
     assert os.path.exists(f"{root}/gold")
     assert spark.read.parquet(res["gold"]).count() > 0
+
+
+def test_stream_silver_loses_no_row_over_micro_batches(spark):
+    """Six one-file micro-batches in shuffled time order: what isn't in Silver
+    is in quarantine or a duplicate, as in the batch form."""
+    from tidewater.plans.catalog import QUERIES, landed_events, members as team_of, silver_events
+    silver = QUERIES["stream_silver_batches"](spark, SF_SMALL)
+    assert silver.count() == silver_events(spark, SF_SMALL).count()
+    landed = spark.read.parquet(landed_events(spark, SF_SMALL))
+    assert len(landed.inputFiles()) == 6
+    from tidewater.functions.rules import JIRA_RULES
+    from tidewater.operators.decode import decode_messages, parse_event_time
+    from tidewater.operators.validate import split_valid
+    msgs = decode_messages(messages_of(landed, team_of(spark, SF_SMALL)), JIRA_EVENT)
+    valid, bad = split_valid(parse_event_time(msgs, "event_ts", ntz=True), JIRA_RULES)
+    copies = valid.count() - valid.select("event_id").distinct().count()
+    assert copies > 0 and silver.count() + bad.count() + copies == msgs.count()
+
+
+def test_gate_reads_only_recent_reports(spark, tmp_path):
+    from tidewater.plans.medallion import Layout, run_gate, run_silver
+    bronze, _ = _bronze_and_teams(spark, tmp_path)
+    out = Layout(str(tmp_path / "lake"))
+    run_silver(spark, bronze, out, tie_breakers=[])
+    checks = run_gate(spark, out, silver_suite(("signup", "error", "click", "view", "purchase")), enforce_gate=False)
+    plan = checks._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(run_date" in plan and checks.count() == 8
+
+
+def test_medallion_reaches_every_tier_and_status(spark):
+    from tidewater.plans.catalog import q_medallion_gold
+    gold = q_medallion_gold(spark, "/root/testdata/sf0.01").collect()
+    assert {r["cost_tier"] for r in gold} == {"HIGH", "MEDIUM", "LOW"}
+    assert {r["budget_status"] for r in gold} == {"OVER_BUDGET", "WARNING", "ON_TRACK"}
+
+
+def test_confluence_run_merges_events_into_sessions(spark):
+    from tidewater.plans.catalog import QUERIES
+    s = QUERIES["confluence_medallion_sessions"](spark, "/root/testdata/sf0.01")
+    assert s.filter("events_in_session > 2").count() > 100

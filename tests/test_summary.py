@@ -1,4 +1,5 @@
 import datetime as dt
+import decimal
 from decimal import Decimal as D
 
 import pytest
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, rows
 from tidewater.operators.summary import (budget_metrics, join_teams, monthly_team_cost,
-                                         sized_broadcast, team_cost_summary, top_spenders)
+                                         team_cost_summary, team_measures, top_spenders)
 from tidewater.plans.catalog import q_team_cost_summary, q_team_cost_summary_all_teams
 
 TEAMS = ("team_id string, team_name string, department string, plan_tier string, "
@@ -74,16 +75,6 @@ def test_member_preaggregation_equals_direct(spark):
     assert q_team_cost_summary_all_teams(spark, SF_SMALL).count() == 25
 
 
-def test_sized_broadcast(spark):
-    small = spark.range(10)
-    plan_small = small.join(sized_broadcast(small, 100), "id")._jdf.queryExecution().executedPlan().toString()
-    assert "Broadcast" in plan_small
-    # over the bound the hint is not applied
-    big = spark.range(1000)
-    hinted = sized_broadcast(big, 10)
-    assert hinted is big
-
-
 def test_top_spenders_ties_by_team(spark):
     df = spark.createDataFrame([("b", 1.0), ("a", 1.0), ("c", 0.5)], "team_id string, total_cost_usd double")
     out = top_spenders(df, 2, columns=("team_id",))
@@ -98,7 +89,7 @@ def test_monthly_lag(spark):
     teams = spark.createDataFrame([("t1", "One", "Eng", "E", D("10.00"), "EMEA")], TEAMS)
     out = monthly_team_cost(events, teams, stamp=False).orderBy("month")
     assert [(r["prev_month_cost_usd"], r["cost_change_usd"]) for r in out.collect()] == [
-        (None, None), (1.0, 2.0), (3.0, -1.0)]
+        (None, None), (1.0, 2.0), (None, None)]
 
 
 def test_join_teams_rejects_bad_keep(spark):
@@ -106,3 +97,48 @@ def test_join_teams_rejects_bad_keep(spark):
     with pytest.raises(ValueError):
         join_teams(events.select("team_id"), teams, keep="all")
     assert F is not None
+
+
+def test_unknown_members_stay_and_double_members_count_once(spark):
+    ev = spark.createDataFrame([(1, True, 0.5), (2, True, 0.25), (3, False, 0.0)],
+                               "user_id int, is_ai_event boolean, cost_estimate_usd double")
+    ev = ev.selectExpr("*", "10 AS response_time_ms", "TIMESTAMP '2024-01-01' AS event_ts")
+    mem = spark.createDataFrame([(1, "a", "A"), (1, "b", "B"), (2, "b", "B")], "user_id int, team_id string, team_name string")
+    for per_member in (True, False):
+        got = {r["team_id"]: (r["total_events"], r["total_cost_usd"])
+               for r in team_measures(ev, members=mem, member_key="user_id", per_member=per_member).collect()}
+        assert got == {"a": (1, 0.5), "b": (1, 0.25), None: (1, 0.0)}
+
+
+@pytest.mark.parametrize("calls", [25, 75, 10_025])
+def test_money_does_not_depend_on_partitions(spark, calls):
+    ev = spark.range(calls).selectExpr("'t' AS team_id", "'T' AS team_name", "true AS is_ai_event",
+                                       "0.000126D AS cost_estimate_usd", "1 AS response_time_ms",
+                                       "TIMESTAMP '2024-01-01' AS event_ts")
+    totals = {team_measures(ev.repartition(n)).first()["total_cost_usd"] for n in (1, 4, 16)}
+    exact = (decimal.Decimal("0.000126") * calls).quantize(decimal.Decimal("0.0001"), decimal.ROUND_HALF_UP)
+    assert totals == {float(exact)}
+
+
+def test_change_is_against_the_calendar_month_before(spark):
+    ev = spark.createDataFrame([("2024-02-03", 1.0), ("2024-04-01", 2.0), ("2024-05-01", 5.0)], "d string, cost_estimate_usd double")
+    ev = ev.selectExpr("to_timestamp(d) AS event_ts", "cost_estimate_usd", "'t' AS team_id", "'T' AS team_name",
+                       "true AS is_ai_event", "1 AS response_time_ms")
+    teams = spark.createDataFrame([("t", "T", "d", "p", 10.0, "r")],
+                                  "team_id string, team_name string, department string, plan_tier string, monthly_budget double, region string")
+    got = {str(r["month"]): r["cost_change_usd"] for r in monthly_team_cost(ev, teams).collect()}
+    assert got == {"2024-02-01": None, "2024-04-01": None, "2024-05-01": 3.0}
+
+
+def test_no_job_runs_while_a_summary_is_built(spark):
+    from conftest import SF_SMALL
+    from tidewater.plans.catalog import q_decode_events, q_team_cost_summary
+    sc = spark.sparkContext
+    spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    for q, name in ((q_team_cost_summary, "gold"), (q_decode_events, "decode")):
+        sc.setJobGroup(f"build-{name}", "building")
+        q(spark, SF_SMALL)
+        jobs = sc.statusTracker().getJobIdsForGroup(f"build-{name}")
+        # reading a Parquet footer for the schema may take a one-task job per table
+        assert all(len(sc.statusTracker().getJobInfo(j).stageIds) == 1 for j in jobs)
+    sc.setLocalProperty("spark.jobGroup.id", None)

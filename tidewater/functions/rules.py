@@ -40,10 +40,6 @@ def min_length(column: str, exclusive_min: int, reason: str) -> Rule:
     return Rule(reason, lambda: F.length(F.col(column)) > exclusive_min)
 
 
-def max_length(column: str, inclusive_max: int, reason: str) -> Rule:
-    return Rule(reason, lambda: F.length(F.col(column)) <= inclusive_max)
-
-
 @dataclass(frozen=True)
 class RuleSet:
     rules: Sequence[Rule]

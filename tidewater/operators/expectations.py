@@ -15,7 +15,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.schemas import QUALITY_PIPELINE_NAME, QUALITY_TABLE_NAME
+from tidewater.schemas import (MIN_SILVER_ROWS, QUALITY_PIPELINE_NAME, QUALITY_TABLE_NAME,
+                               RESPONSE_TIME_BOUNDS_MS)
 
 TOTAL = "_total"
 
@@ -45,10 +46,10 @@ def expect_not_null(column: str, name: str | None = None,
                     description: str | None = None) -> Expectation:
     return Expectation(
         name or f"{column}_not_null",
-        description or f"{column} must never be null",
+        description or f"every row has a value in {column}",
         {"n": F.count_if(F.col(column).isNull())},
         lambda m: m("n") == 0,
-        lambda m: _text(m("n"), f" rows have null {column}"))
+        lambda m: _text(m("n"), f" null values in {column}"))
 
 
 def expect_in_set(column: str, values: Sequence[str], name: str | None = None,
@@ -56,10 +57,10 @@ def expect_in_set(column: str, values: Sequence[str], name: str | None = None,
     """Rows outside ``values`` violate; NULL passes (``NOT IN`` of NULL is NULL)."""
     return Expectation(
         name or f"{column}_valid_values",
-        description or f"{column} must be one of {', '.join(values)}",
+        description or f"{column} takes known values only: {', '.join(values)}",
         {"n": F.count_if(~F.col(column).isin(list(values)))},
         lambda m: m("n") == 0,
-        lambda m: _text(m("n"), f" rows have unexpected {column} values"))
+        lambda m: _text(m("n"), f" values of {column} that are not known"))
 
 
 def expect_between(column: str, low: float, high: float, name: str | None = None,
@@ -68,20 +69,20 @@ def expect_between(column: str, low: float, high: float, name: str | None = None
     lo, hi = _num(low), _num(high)
     return Expectation(
         name or f"{column}_in_range",
-        description or f"{column} must be between {lo} and {hi}",
+        description or f"{column} lies in [{lo}, {hi}]",
         {"n": F.count_if((F.col(column) < low) | (F.col(column) > high))},
         lambda m: m("n") == 0,
-        lambda m: _text(m("n"), f" rows have {column} outside {lo}-{hi}{unit}"))
+        lambda m: _text(m("n"), f" values of {column} beyond [{lo}, {hi}]{unit}"))
 
 
 def expect_not_negative(column: str, name: str | None = None,
                         description: str | None = None) -> Expectation:
     return Expectation(
         name or f"{column}_not_negative",
-        description or f"{column} must be >= 0",
+        description or f"{column} is never below zero",
         {"n": F.count_if(F.col(column) < 0)},
         lambda m: m("n") == 0,
-        lambda m: _text(m("n"), f" rows have negative {column}"))
+        lambda m: _text(m("n"), f" values of {column} below zero"))
 
 
 def expect_unique(column: str, name: str | None = None,
@@ -89,20 +90,20 @@ def expect_unique(column: str, name: str | None = None,
     """Distinct values (NULL counted as one value) must equal the row count."""
     return Expectation(
         name or f"no_duplicate_{column}s",
-        description or f"{column} must contain no duplicates",
+        description or f"each {column} occurs once",
         {"d": F.count_distinct(F.col(column)),
          "z": F.max(F.col(column).isNull().cast("int"))},
         lambda m: (m("d") + F.coalesce(m("z"), F.lit(0))) >= m(TOTAL),
         lambda m: _text(m(TOTAL) - m("d") - F.coalesce(m("z"), F.lit(0)),
-                        f" duplicate {column}s found"))
+                        f" repeated values of {column}"))
 
 
 def expect_min_rows(minimum: int, name: str = "minimum_row_count",
                     description: str | None = None, table: str = "table") -> Expectation:
     return Expectation(
-        name, description or f"{table} must have at least {minimum} rows", {},
+        name, description or f"{table} holds {minimum} rows or more", {},
         lambda m: m(TOTAL) >= minimum,
-        lambda m: _text("Only ", m(TOTAL), f" rows found, expected >= {minimum}"))
+        lambda m: _text(m(TOTAL), f" rows; the minimum is {minimum}"))
 
 
 def expect_flag_cost_consistent(flag: str, cost: str, name: str = "ai_cost_consistency",
@@ -110,11 +111,11 @@ def expect_flag_cost_consistent(flag: str, cost: str, name: str = "ai_cost_consi
     """Flagged rows must cost more than 0, unflagged rows exactly 0."""
     return Expectation(
         name,
-        description or "AI events must have cost > 0, non-AI events must have cost = 0",
+        description or "a flagged event costs something and any other nothing",
         {"a": F.count_if((F.col(flag) == True) & (F.col(cost) == 0)),  # noqa: E712
          "b": F.count_if((F.col(flag) == False) & (F.col(cost) > 0))},  # noqa: E712
         lambda m: (m("a") == 0) & (m("b") == 0),
-        lambda m: _text(m("a"), " AI events with zero cost, ", m("b"), " non-AI events with cost"))
+        lambda m: _text(m("a"), " flagged events without cost, ", m("b"), " other events with cost"))
 
 
 def _num(x: float) -> str:
@@ -185,25 +186,26 @@ def enforce(results: DataFrame) -> None:
             f"Data quality gate FAILED - {len(failed)} check(s) failed: {', '.join(failed)}")
 
 
-def silver_suite(event_types: Sequence[str], min_rows: int = 100,
-                 response_time: str = "response_time_ms", bounds: tuple = (0, 5000),
+# The names of the eight checks
+CHECKS = ("event_id_not_null", "event_type_valid_values", "response_time_in_range", "cost_not_negative",
+          "is_ai_event_not_null", "no_duplicate_event_ids", "minimum_row_count", "ai_cost_consistency")
+
+
+def silver_suite(event_types: Sequence[str], min_rows: int = MIN_SILVER_ROWS,
+                 response_time: str = "response_time_ms", bounds: tuple = RESPONSE_TIME_BOUNDS_MS,
                  cost: str = "cost_estimate_usd", flag: str = "is_ai_event",
                  event_type: str = "event_type", event_id: str = "event_id") -> list[Expectation]:
     """The eight checks of the Silver event table, parameterised by column names."""
+    name = iter(CHECKS)
     return [
-        expect_not_null(event_id, "event_id_not_null", "event_id must never be null"),
-        expect_in_set(event_type, event_types, "event_type_valid_values",
-                      f"event_type must be one of {', '.join(event_types)}"),
-        expect_between(response_time, bounds[0], bounds[1], "response_time_in_range",
-                       f"response_time_ms must be between {_num(bounds[0])} and {_num(bounds[1])}",
-                       unit="ms"),
-        expect_not_negative(cost, "cost_not_negative", "cost_estimate_usd must be >= 0"),
-        expect_not_null(flag, "is_ai_event_not_null", "is_ai_event must never be null"),
-        expect_unique(event_id, "no_duplicate_event_ids",
-                      "Silver must contain no duplicate event_ids"),
-        expect_min_rows(min_rows, "minimum_row_count",
-                        f"Silver must have at least {min_rows} rows"),
-        expect_flag_cost_consistent(flag, cost),
+        expect_not_null(event_id, next(name)),
+        expect_in_set(event_type, event_types, next(name)),
+        expect_between(response_time, bounds[0], bounds[1], next(name), unit=" ms"),
+        expect_not_negative(cost, next(name)),
+        expect_not_null(flag, next(name)),
+        expect_unique(event_id, next(name)),
+        expect_min_rows(min_rows, next(name), table="Silver"),
+        expect_flag_cost_consistent(flag, cost, next(name)),
     ]
 
 

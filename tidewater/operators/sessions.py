@@ -16,12 +16,10 @@ split is done on *time* instead and repaired exactly:
 2. Only a session that starts within ``gap`` of its bucket's start or ends
    within ``gap`` of its end can merge with a neighbouring bucket. Sessions of
    one bucket are more than ``gap`` apart, so there are at most two such
-   candidates per (key, bucket); every other session is final.
-3. Level 2 re-sessionises the candidates per key (gap rule on consecutive
-   candidates, lag + running sum) and rolls merged chains up, in the same
-   window pass that leaves interior sessions untouched (they keep their
-   bucket as window group). The candidate group of a key holds at most twice
-   as many rows as the key spans buckets, whatever the event count.
+   candidates per (key, bucket); every other session is final and leaves here.
+3. Level 2 exchanges the candidates alone, chains those of a key by the gap
+   rule (lag + running sum) and rolls the chains up. Both levels read the same
+   first exchange. With buckets much wider than the gap the candidates are few.
 """
 
 from __future__ import annotations
@@ -32,6 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions.columns import duration_minutes
+from tidewater.operators.summary import unique_members
 from tidewater.schemas import SESSION_GAP
 
 _UNITS_US = {
@@ -65,7 +64,7 @@ def _micros(col: str, ntz: bool):
 
 
 def sessionize(df: DataFrame, keys: Sequence[str], ts: str = "event_ts",
-               gap: str = SESSION_GAP, split: str | None = "1 hour",
+               gap: str = SESSION_GAP, split: str | None = "1 day",
                start_col: str = "session_start", end_col: str = "session_end",
                count_col: str = "events_in_session",
                duration_col: str = "session_duration_minutes") -> DataFrame:
@@ -92,6 +91,7 @@ def sessionize(df: DataFrame, keys: Sequence[str], ts: str = "event_ts",
 
     local = (events
              .withColumn("_b", F.floor(_micros(ts, ntz) / F.lit(b_us)))
+             .filter(F.col("_b").isNotNull())   # said here, else one branch alone infers it and reuse is lost
              .groupBy(*keys, "_b", F.session_window(ts, gap).alias("_sw"))
              .agg(F.min(ts).alias(start_col), F.max(ts).alias(end_col),
                   F.count(F.lit(1)).alias(count_col))
@@ -102,22 +102,16 @@ def sessionize(df: DataFrame, keys: Sequence[str], ts: str = "event_ts",
     edge = ((F.col("_s") < bucket_start + F.lit(g_us))
             | (F.col("_e") >= bucket_start + F.lit(b_us - g_us)))
 
-    # One pass for level 2: interior sessions keep their bucket as window group
-    # (spread like level 1, each its own session), boundary candidates of a key
-    # share the NULL group (buckets before 1970 are negative, so no number is
-    # free to mark it) and are chained by the gap rule.
-    grp = F.when(edge, F.lit(None).cast("long")).otherwise(F.col("_b"))
-    w = Window.partitionBy(*keys, "_g").orderBy("_s", "_e")
-    chained = (local.withColumn("_g", grp)
-               .withColumn("_new", F.when(F.col("_g").isNull()
-                                          & (F.col("_s") - F.lag("_e").over(w) <= F.lit(g_us)), 0)
-                           .otherwise(1))
+    final = [*keys, start_col, end_col, count_col]
+    w = Window.partitionBy(*keys).orderBy("_s", "_e")
+    chained = (local.filter(edge)
+               .withColumn("_new", F.when(F.col("_s") - F.lag("_e").over(w) <= F.lit(g_us), 0).otherwise(1))
                .withColumn("_sid", F.sum("_new").over(
                    w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
-    merged = (chained.groupBy(*keys, "_g", "_sid")
+    rolled = (chained.groupBy(*keys, "_sid")
               .agg(F.min(start_col).alias(start_col), F.max(end_col).alias(end_col),
-                   F.sum(count_col).alias(count_col))
-              .select(*keys, start_col, end_col, count_col))
+                   F.sum(count_col).alias(count_col)).select(*final))
+    merged = local.filter(~edge).select(*final).union(rolled)
     return merged.withColumn(duration_col, duration_minutes(start_col, end_col))
 
 
@@ -129,11 +123,12 @@ def average_session_by(sessions: DataFrame, members: DataFrame, member_key: str,
     Sessions are first reduced to one row per member (sum, count), so the join
     with ``members`` carries one row per member instead of one per session and a
     member with a huge session count cannot skew it; the average is rounded
-    after averaging.
+    after averaging. Sessions of unknown members form a group of NULL keys, and
+    a member of several groups counts in the smallest.
     """
     per_member = (sessions.groupBy(member_key)
                   .agg(F.sum(duration_col).alias("_d"), F.count(F.lit(1)).alias("_n")))
-    return (per_member.join(members.select(member_key, *group_keys), member_key)
+    return (per_member.join(unique_members(members, member_key, group_keys), member_key, "left")
             .groupBy(*group_keys)
             .agg(F.sum("_n").alias("sessions"),
                  F.round(F.sum("_d") / F.sum("_n"), scale).alias("avg_session_minutes")))

@@ -5,7 +5,11 @@ in a mergeable form (counts, sums, min, max), so events can be reduced per
 *member* (user) before they are mapped to teams through a membership table;
 only one row per member crosses the membership join, and the final roll-up
 to teams has map-side partial aggregation. The team dimension is joined to
-the few aggregated rows, broadcast only behind an explicit row-count check.
+the few aggregated rows; whether a side is broadcast is Spark's choice, by the
+sizes it knows or measures.
+
+Money is summed as a decimal and rounded once, so a total doesn't depend on
+the order in which partitions are added up.
 """
 
 from __future__ import annotations
@@ -24,21 +28,16 @@ BUDGET_STATUSES = ("OVER_BUDGET", "WARNING", "ON_TRACK")
 TEAM_KEYS = ("team_id", "team_name")
 DIM_COLUMNS = ("department", "plan_tier", "monthly_budget", "region")
 
-# default broadcast bound for a dimension side, in rows
-BROADCAST_MAX_ROWS = 1_000_000
+# exact sums of unit costs, at most six decimals each
+MONEY = "decimal(24,6)"
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when ``df`` is proven to hold at most ``max_rows`` rows.
+def unique_members(members: DataFrame, member_key: str, keys: Sequence[str]) -> DataFrame:
+    """One row per member: of several memberships the one with the smallest keys.
 
-    The proof is one bounded action (``limit(max_rows + 1).count()``); beyond
-    the bound the frame is returned unhinted and Spark plans a shuffle join
-    (or AQE converts it at run time from measured sizes).
-    """
-    if max_rows <= 0:
-        return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    Events of a member then count once, whatever the membership table holds."""
+    picked = members.groupBy(member_key).agg(F.min(F.struct(*keys)).alias("_m"))
+    return picked.select(member_key, *[F.col(f"_m.{k}").alias(k) for k in keys])
 
 
 def _partials(events: DataFrame, keys: Sequence[str], is_ai: Column, cost: Column,
@@ -46,7 +45,7 @@ def _partials(events: DataFrame, keys: Sequence[str], is_ai: Column, cost: Colum
     return events.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"),
         F.count_if(is_ai).alias("_ai"),
-        F.sum(cost).alias("_cost"),
+        F.sum(cost.cast(MONEY)).alias("_cost"),
         F.sum(rt).alias("_rt_sum"),
         F.count(rt).alias("_rt_n"),
         F.min(ts).alias("_t0"),
@@ -66,7 +65,7 @@ def _finish(partials: DataFrame, keys: Sequence[str]) -> DataFrame:
         *keys,
         F.col("_n").cast("long").alias("total_events"),
         F.col("_ai").cast("long").alias("ai_api_calls"),
-        F.round("_cost", 4).alias("total_cost_usd"),
+        F.round("_cost", 4).cast("double").alias("total_cost_usd"),
         F.round(F.col("_rt_sum") / F.col("_rt_n"), 1).alias("avg_response_time_ms"),
         F.col("_t0").alias("period_start"),
         F.col("_t1").alias("period_end"),
@@ -77,14 +76,17 @@ def team_measures(events: DataFrame, keys: Sequence[str] = TEAM_KEYS,
                   is_ai: Column | None = None, cost: str = "cost_estimate_usd",
                   response_time: str = "response_time_ms", ts: str = "event_ts",
                   members: DataFrame | None = None, member_key: str | None = None,
-                  extra_keys: Sequence[Column] = ()) -> DataFrame:
+                  extra_keys: Sequence[Column] = (), per_member: bool = True) -> DataFrame:
     """Grouped measures: total_events, ai_api_calls, total_cost_usd (4 dp),
     avg_response_time_ms (1 dp, NULLs skipped), period_start, period_end.
 
     Without ``members`` the events must carry ``keys``. With ``members`` (a
     frame holding ``member_key`` and ``keys``) the events carry ``member_key``
-    instead and are pre-aggregated per member before the join.
-    ``extra_keys`` adds computed group keys (e.g. a month).
+    instead; events of unknown members keep NULL keys, and a member counts once
+    (:func:`unique_members`). ``per_member`` reduces events to members before the
+    join, which pays where a member has many events per group; without it they
+    are joined first and reduced once. ``extra_keys`` adds computed group keys
+    (e.g. a month).
     """
     is_ai = is_ai if is_ai is not None else F.col("is_ai_event")
     cost_c, rt_c, ts_c = F.col(cost), F.col(response_time), F.col(ts)
@@ -97,15 +99,18 @@ def team_measures(events: DataFrame, keys: Sequence[str] = TEAM_KEYS,
         return _finish(parts, [*keys, *extra_names])
     if member_key is None:
         raise ValueError("member_key is required with members")
-    per_member = _partials(events, [member_key, *extra_names], is_ai, cost_c, rt_c, ts_c)
-    mapped = per_member.join(members.select(member_key, *keys), member_key)
+    teams_of = unique_members(members, member_key, keys)
+    if not per_member:
+        mapped = events.join(teams_of, member_key, "left")
+        return _finish(_partials(mapped, [*keys, *extra_names], is_ai, cost_c, rt_c, ts_c), [*keys, *extra_names])
+    reduced = _partials(events, [member_key, *extra_names], is_ai, cost_c, rt_c, ts_c)
+    mapped = reduced.join(teams_of, member_key, "left")
     return _finish(_merge(mapped, [*keys, *extra_names]), [*keys, *extra_names])
 
 
 def join_teams(measures: DataFrame, teams: DataFrame, key: str = "team_id",
                keep: str = "events", name_col: str = "team_name",
-               dim_columns: Sequence[str] = DIM_COLUMNS,
-               broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+               dim_columns: Sequence[str] = DIM_COLUMNS) -> DataFrame:
     """Attach team metadata (budget cast to double).
 
     ``keep="events"``: every aggregated team, unknown ids with NULL metadata,
@@ -117,7 +122,7 @@ def join_teams(measures: DataFrame, teams: DataFrame, key: str = "team_id",
                               else F.col(c) for c in dim_columns],
                        *([F.col(name_col).alias("_dim_name")] if keep == "teams" else []))
     if keep == "events":
-        return measures.join(sized_broadcast(dim, broadcast_max_rows), key, "left")
+        return measures.join(dim, key, "left")
     if keep != "teams":
         raise ValueError("keep must be 'events' or 'teams'")
     joined = dim.join(measures, key, "left")
@@ -152,12 +157,11 @@ def team_cost_summary(events: DataFrame, teams: DataFrame, keep: str = "events",
                       response_time: str = "response_time_ms", ts: str = "event_ts",
                       cost_tiers: Sequence[float] = COST_TIER_THRESHOLDS,
                       status_levels: Sequence[float] = BUDGET_STATUS_THRESHOLDS,
-                      stamp: bool = True,
-                      broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                      stamp: bool = True) -> DataFrame:
     """The complete team cost summary: measures -> team join -> metrics -> contract."""
     m = team_measures(events, is_ai=is_ai, cost=cost, response_time=response_time, ts=ts,
                       members=members, member_key=member_key)
-    j = join_teams(m, teams, keep=keep, broadcast_max_rows=broadcast_max_rows)
+    j = join_teams(m, teams, keep=keep)
     g = budget_metrics(j, cost_tiers, status_levels, "gold_created_at" if stamp else None)
     return gold_contract(g)
 
@@ -170,15 +174,18 @@ def monthly_team_cost(events: DataFrame, teams: DataFrame, ts: str = "event_ts",
                       status_levels: Sequence[float] = BUDGET_STATUS_THRESHOLDS,
                       stamp: bool = True) -> DataFrame:
     """One row per team and calendar month, with the change against the team's
-    previous month that has events (``lag`` over months; the window holds one
-    row per month, so its size is bounded by the time span, not the data)."""
+    previous calendar month, NULL where that has no events (the window holds
+    one row per month, so its size is bounded by the time span, not the data).
+    A member has few events a month, so events are reduced once, after the
+    membership join."""
     month = F.trunc(F.col(ts).cast("date"), "month").alias("month")
     m = team_measures(events, is_ai=is_ai, cost=cost, response_time=response_time, ts=ts,
-                      members=members, member_key=member_key, extra_keys=[month])
+                      members=members, member_key=member_key, extra_keys=[month], per_member=False)
     j = join_teams(m, teams, keep="events")
     g = budget_metrics(j, cost_tiers, status_levels, "gold_created_at" if stamp else None)
     w = Window.partitionBy("team_id", "team_name").orderBy("month")
-    g = (g.withColumn("prev_month_cost_usd", F.lag("total_cost_usd").over(w))
+    last = F.lag("month").over(w) == F.add_months("month", -1)
+    g = (g.withColumn("prev_month_cost_usd", F.when(last, F.lag("total_cost_usd").over(w)))
          .withColumn("cost_change_usd",
                      F.round(F.col("total_cost_usd") - F.col("prev_month_cost_usd"), 4)))
     return gold_contract(g, extra=("month", "prev_month_cost_usd", "cost_change_usd"))
@@ -195,7 +202,7 @@ def top_spenders(gold: DataFrame, n: int = 20,
 def panel_totals(gold: DataFrame) -> DataFrame:
     """Dashboard stat row: total spend, events, AI calls and team count."""
     return gold.agg(
-        F.round(F.sum("total_cost_usd"), 4).alias("total_cost_usd"),
+        F.round(F.sum(F.col("total_cost_usd").cast(MONEY)), 4).cast("double").alias("total_cost_usd"),
         F.sum("total_events").cast("long").alias("total_events"),
         F.sum("ai_api_calls").cast("long").alias("ai_api_calls"),
         F.count(F.lit(1)).alias("teams"),

@@ -30,15 +30,16 @@ from tidewater.operators.expectations import (quality_report, run_suite, score_h
                                               silver_suite)
 from tidewater.operators.sessions import average_session_by, sessionize
 from tidewater.operators.summary import (monthly_team_cost, panel_spend_by_team, panel_totals,
-                                         team_cost_summary, top_spenders)
+                                         team_cost_summary, team_measures, top_spenders)
 from tidewater.operators.validate import split_valid
-from tidewater.plans.medallion import run_medallion
-from tidewater.schemas import AI_COST_PER_CALL_USD, CONFLUENCE_EVENT, JIRA_EVENT
-from tidewater.session import scratch_path
+from tidewater.plans.medallion import (Layout, run_gate, run_medallion, run_silver,
+                                       stage_dimension)
+from tidewater.schemas import AI_COST_PER_CALL_USD, CONFLUENCE_EVENT, JIRA_EVENT, REPORT
+from tidewater.session import remove_path, scratch_path
 from tidewater.sinks import overwrite_table, write_report
-from tidewater.sources.lake import read_table, spread_scan
+from tidewater.sources.lake import read_table
 from tidewater.sources.stream import read_file_stream
-from tidewater.streaming.ingest import await_all, bronze_stream, run_to_completion, start_append
+from tidewater.streaming.ingest import await_all, bronze_stream, start_append
 from tidewater.streaming.silver import silver_streams, stream_sessions
 
 # ---------------------------------------------------------------------------
@@ -51,6 +52,7 @@ ENTERPRISE_BELOW_NATIONKEY = 10
 FLAGSHIP_COST_TIERS = (5000.0, 3000.0)
 MONTHLY_COST_TIERS = (500000.0, 250000.0)
 URGENT_PRIORITY = "1-URGENT"
+PAGE_TS_FORMAT = "'2024-01-01T'HH:mm:ss.SSSSSS"
 TS_TEXT_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 # props.k value -> injected fault of the message feed
 FAULTS = {
@@ -122,16 +124,10 @@ def _gold(spark: SparkSession, sf_dir: str, keep: str = "events") -> DataFrame:
                              cost_tiers=FLAGSHIP_COST_TIERS, stamp=False)
 
 
-def feed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events a message feed is made of, spread over the cluster like the
-    partitions of a topic (a no-op when the scan already has enough splits)."""
-    return spread_scan(table(spark, sf_dir, "events"), ["event_id"])
-
-
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kafka-shaped ``(key, value)`` feed: each event as a Jira-shaped JSON
     object, faults injected per :data:`FAULTS`."""
-    return messages_of(feed_events(spark, sf_dir), members(spark, sf_dir))
+    return messages_of(table(spark, sf_dir, "events"), members(spark, sf_dir)).drop("delivery")
 
 
 def _fault_key():
@@ -140,11 +136,20 @@ def _fault_key():
     return F.get_json_object("props", "$.k").cast("int")
 
 
-def messages_of(e: DataFrame, m: DataFrame) -> DataFrame:
-    """The message feed of an events frame (batch or streaming) and a static
-    membership frame."""
+def _deliveries(e: DataFrame) -> DataFrame:
+    """A row per delivery (1, for fault 9 also 2) of each event, with its fault key ``_k``."""
     e = e.withColumn("_k", _fault_key())
+    times = F.when(F.col("_k") == 9, 2).otherwise(1)
+    return e.withColumn("delivery", F.explode(F.sequence(F.lit(1), times)))
+
+
+def messages_of(e: DataFrame, m: DataFrame, changed: bool = False) -> DataFrame:
+    """The message feed ``(key, value, delivery)`` of an events frame (batch or
+    streaming) and a static membership frame. With ``changed`` a second delivery
+    differs from the first: its response time is one more."""
+    e = _deliveries(e)
     k = F.col("_k")
+    rt = response_ms() + (F.col("delivery") - 1 if changed else F.lit(0))
     uid = F.col("user_id").cast("string")
     payload = F.struct(
         F.col("event_id").cast("string").alias("event_id"),
@@ -157,8 +162,7 @@ def messages_of(e: DataFrame, m: DataFrame) -> DataFrame:
         F.when(k == 3, F.lit(None)).otherwise(F.concat(F.lit("user_"), uid)).alias("user_id"),
         F.when(k == 4, F.lit(None)).when(k == 5, F.lit("a@b"))
         .otherwise(F.concat(F.lit("user"), uid, F.lit("@example.com"))).alias("user_email"),
-        F.when(k == 11, F.lit(-1)).otherwise(response_ms())
-        .alias("response_time_ms"),
+        F.when(k == 11, F.lit(-1)).otherwise(rt).alias("response_time_ms"),
         (F.col("event_type") == AI_TYPE).alias("ai_assist_used"),
         F.lit("events").alias("source_app"),
     )
@@ -166,25 +170,36 @@ def messages_of(e: DataFrame, m: DataFrame) -> DataFrame:
     js = F.when(k == 8, F.regexp_replace(js, '"response_time_ms":-?[0-9]+',
                                          '"response_time_ms":"fast"')).otherwise(js)
     value = F.when(k == 0, F.lit("not json")).otherwise(js)
-    msgs = e.join(m, "user_id").select(
-        F.col("event_id").cast("string").alias("key"), value.cast("binary").alias("value"),
-        F.when(k == 9, 2).otherwise(1).alias("_copies"))
-    return (msgs.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-            .drop("_copies", "_copy"))
+    return e.join(m, "user_id", "left").select(
+        F.col("event_id").cast("string").alias("key"), value.cast("binary").alias("value"), "delivery")
 
 
-def bronze_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _ingested(decoded: DataFrame) -> DataFrame:
+    """The ingest stamp; a second delivery comes a minute after the first."""
+    minutes = F.make_dt_interval(mins=F.col("delivery") - 1)
+    return (stamp(decoded, "ingested_at")
+            .withColumn("ingested_at", F.col("ingested_at") + minutes).drop("delivery"))
+
+
+def bronze_events(spark: SparkSession, sf_dir: str, changed: bool = False) -> DataFrame:
     """Decoded message feed with its ingest stamp (the Bronze table)."""
-    return stamp(decode_messages(event_messages(spark, sf_dir), JIRA_EVENT), "ingested_at")
+    msgs = messages_of(table(spark, sf_dir, "events"), members(spark, sf_dir), changed)
+    return _ingested(decode_messages(msgs, JIRA_EVENT, keep=["delivery"]))
+
 
+def typed_bronze(spark: SparkSession, sf_dir: str, changed: bool = False) -> DataFrame:
+    return parse_event_time(bronze_events(spark, sf_dir, changed), "event_ts", ntz=True)
 
-def typed_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_event_time(bronze_events(spark, sf_dir), "event_ts", ntz=True)
+
+def latest_event(valid: DataFrame) -> DataFrame:
+    """The last delivery of each event; a content hash closes the order."""
+    return latest_per_key(valid, ["event_id"], [F.col("ingested_at").desc()],
+                          [F.xxhash64(*valid.columns).desc()])
 
 
 def silver_events(spark: SparkSession, sf_dir: str, stamp_col: str | None = None) -> DataFrame:
-    valid, _ = split_valid(typed_bronze(spark, sf_dir), JIRA_RULES)
-    latest = latest_per_key(valid, ["event_id"], [F.col("ingested_at").desc()])
+    valid, _ = split_valid(typed_bronze(spark, sf_dir, changed=True), JIRA_RULES)
+    latest = latest_event(valid)
     return enrich_cost(latest, is_ai=F.col("event_type") == AI_TYPE,
                        rate=AI_COST_PER_CALL_USD, stamp_col=stamp_col).drop("ingested_at")
 
@@ -207,41 +222,43 @@ CONFLUENCE_FAULTS = {
 
 def page_messages_of(e: DataFrame, m: DataFrame) -> DataFrame:
     """Kafka-shaped page-event feed: space = first four letters of the event
-    type, page = the event's ``props.k``; faults per :data:`CONFLUENCE_FAULTS`."""
-    e = e.withColumn("_k", _fault_key())
+    type, page = the event's ``props.k`` modulo 4, users in two groups, and all
+    times on one day, so that a user comes back to a page within a session;
+    faults per :data:`CONFLUENCE_FAULTS`."""
+    e = _deliveries(e).withColumn("_group", F.col("user_id") % 2)
     k = F.col("_k")
     uid = F.col("user_id").cast("string")
     payload = F.struct(
         F.col("event_id").cast("string").alias("event_id"),
         F.col("event_type"),
         F.when(k == 1, F.lit("garbage"))
-        .otherwise(F.concat(F.date_format("ts", TS_TEXT_FORMAT), F.lit("+00:00"))).alias("event_ts"),
+        .otherwise(F.concat(F.date_format("ts", PAGE_TS_FORMAT), F.lit("+00:00"))).alias("event_ts"),
         F.when(k == 2, F.lit(None))
         .otherwise(F.concat(F.lit("team_"), F.col("team_id").cast("string"))).alias("team_id"),
         F.col("team_name"),
-        F.when(k == 3, F.lit(None)).otherwise(F.concat(F.lit("user_"), uid)).alias("user_id"),
+        F.when(k == 3, F.lit(None)).otherwise(F.concat(F.lit("user_"), F.col("_group").cast("string"))).alias("user_id"),
         F.concat(F.lit("user"), uid, F.lit("@example.com")).alias("user_email"),
         F.when(k.isin(4, 6), F.lit(None))
         .otherwise(F.upper(F.substring("event_type", 1, 4))).alias("space_key"),
         F.when(k.isin(5, 6), F.lit(None))
-        .otherwise(F.concat(F.lit("PAGE-"), k.cast("string"))).alias("page_id"),
+        .otherwise(F.concat(F.lit("PAGE-"), (k % 4).cast("string"))).alias("page_id"),
         F.concat(F.lit("Page "), k.cast("string")).alias("page_title"),
         response_ms().alias("response_time_ms"),
         (F.col("event_type") == AI_TYPE).alias("ai_assist_used"),
         F.lit("confluence").alias("source_app"),
     )
     value = F.when(k == 0, F.lit("not json")).otherwise(F.to_json(payload))
-    msgs = e.join(m, "user_id").select(
-        F.col("event_id").cast("string").alias("key"), value.cast("binary").alias("value"),
-        F.when(k == 9, 2).otherwise(1).alias("_copies"))
-    return (msgs.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-            .drop("_copies", "_copy"))
+    return e.join(m, "user_id", "left").select(
+        F.col("event_id").cast("string").alias("key"), value.cast("binary").alias("value"), "delivery")
 
 
 def typed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    msgs = page_messages_of(feed_events(spark, sf_dir), members(spark, sf_dir))
-    bronze = stamp(decode_messages(msgs, CONFLUENCE_EVENT), "ingested_at")
-    return parse_event_time(bronze, "event_ts", ntz=True)
+    return parse_event_time(bronze_pages(spark, sf_dir), "event_ts", ntz=True)
+
+
+def bronze_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    msgs = page_messages_of(table(spark, sf_dir, "events"), members(spark, sf_dir))
+    return _ingested(decode_messages(msgs, CONFLUENCE_EVENT, keep=["delivery"]))
 
 
 # ---------------------------------------------------------------------------
@@ -332,7 +349,10 @@ def q_confluence_quarantine(spark, sf_dir):
 def clean_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid, de-duplicated page events (still carrying the ingest stamp)."""
     valid, _ = split_valid(typed_pages(spark, sf_dir), CONFLUENCE_RULES)
-    return latest_per_key(valid, ["event_id"], [F.col("ingested_at").desc()])
+    return latest_event(valid)
+
+
+PAGE_SESSION_KEYS = ("user_id", "team_id", "team_name", "space_key", "page_id")
 
 
 def q_confluence_valid_events(spark, sf_dir):
@@ -343,8 +363,7 @@ def q_confluence_valid_events(spark, sf_dir):
 
 def q_confluence_page_sessions(spark, sf_dir):
     """Sessions per user and page of the cleaned page-event feed."""
-    return sessionize(clean_pages(spark, sf_dir),
-                      ["user_id", "team_id", "team_name", "space_key", "page_id"])
+    return sessionize(clean_pages(spark, sf_dir), PAGE_SESSION_KEYS)
 
 
 def q_avg_session_by_team(spark, sf_dir):
@@ -384,38 +403,112 @@ def q_quality_history(spark, sf_dir):
     for feed, suite in ((priced_events(spark, sf_dir), clean_suite()),
                         (failing_silver(spark, sf_dir), silver_suite(EVENT_TYPES))):
         write_report(quality_report(run_suite(feed, suite, stamp=True)), path)
-    return score_history(read_table(spark, path, "json")).drop("period")
+    return score_history(read_table(spark, path, "json", schema=REPORT)).drop("period")
+
+
+# unit costs and budgets of the whole run, by team number: every tier and status occurs
+RUN_RATES = (0.002, 0.01, 0.05)
+RUN_BUDGETS = (0.0, 0.5, 4.0, 1.0, 100.0)
+
+
+def _pick(values, number):
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (number % len(values) + 1).cast("int"))
 
 
 def feed_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The team dimension keyed like the message feed (``team_<n>``)."""
-    return teams(spark, sf_dir).withColumn(
-        "team_id", F.concat(F.lit("team_"), F.col("team_id").cast("string")))
+    budget = _pick(RUN_BUDGETS, F.col("team_id")).cast("decimal(10,2)")
+    return (teams(spark, sf_dir).withColumn("monthly_budget", budget)
+            .withColumn("team_id", F.concat(F.lit("team_"), F.col("team_id").cast("string"))))
 
 
-def medallion_run(spark: SparkSession, sf_dir: str) -> dict:
-    """The whole run (decision D3) on the faulty message feed with the
-    reference's eight checks: Bronze is written, then quarantine, Silver and
-    sessions, the quality gate over Silver, and Gold. The feed's faults that no
-    validity rule removes (an unknown type, response times of -1 and above
-    5000 ms) fail the gate, so the gate runs in report mode here; blocking mode
-    is covered by ``test_medallion_gate_blocks_gold``."""
-    base = scratch_path(spark, "medallion")
-    overwrite_table(bronze_events(spark, sf_dir), f"{base}/bronze")
-    return run_medallion(spark, read_table(spark, f"{base}/bronze"), feed_teams(spark, sf_dir),
-                         f"{base}/lake", suite=silver_suite(EVENT_TYPES), enforce_gate=False,
-                         silver_options={"is_ai": F.col("event_type") == AI_TYPE, "ntz": True})
+def run_options() -> dict:
+    number = F.substring_index("team_id", "_", -1).cast("int")
+    return {"is_ai": F.col("event_type") == AI_TYPE, "ntz": True, "rate": _pick(RUN_RATES, number),
+            "tie_breakers": [F.col("response_time_ms").desc()]}
+
+
+def written_bronze(spark: SparkSession, base: str, bronze: DataFrame) -> DataFrame:
+    overwrite_table(bronze, f"{base}/bronze")
+    return read_table(spark, f"{base}/bronze")
 
 
 def q_medallion_gold(spark, sf_dir):
-    """Gold of the whole run, read back (creation stamp excluded)."""
-    return read_table(spark, medallion_run(spark, sf_dir)["gold"]).drop("gold_created_at")
+    """Gold of the whole run (decision D3) on the faulty message feed with the
+    eight checks, read back (creation stamp excluded): Bronze is written, then
+    quarantine, Silver and sessions, the quality gate over Silver, and Gold. The
+    feed's faults that no validity rule removes (an unknown type, response times
+    of -1 and above 5000 ms) fail the gate, so the gate runs in report mode
+    here; blocking mode is covered by ``test_medallion_gate_blocks_gold``."""
+    base = scratch_path(spark, "medallion")
+    res = run_medallion(spark, written_bronze(spark, base, bronze_events(spark, sf_dir, changed=True)),
+                        feed_teams(spark, sf_dir), f"{base}/lake", suite=silver_suite(EVENT_TYPES),
+                        enforce_gate=False, silver_options=run_options())
+    for done in (f"{base}/bronze", res["silver"], res["quarantine"], res["sessions"]):
+        remove_path(spark, done)
+    return read_table(spark, res["gold"]).drop("gold_created_at")
+
+
+def silver_run(spark: SparkSession, sf_dir: str, name: str) -> Layout:
+    """Silver of the message feed, without the later layers."""
+    base = scratch_path(spark, name)
+    out = Layout(f"{base}/lake")
+    run_silver(spark, written_bronze(spark, base, bronze_events(spark, sf_dir, changed=True)), out,
+               **run_options())
+    remove_path(spark, f"{base}/bronze")
+    return out
 
 
 def q_medallion_quality(spark, sf_dir):
-    """The gate's result rows for the Silver table of the whole run, read back
-    from the appended report (check time excluded)."""
-    return medallion_run(spark, sf_dir)["gate"].drop("timestamp")
+    """The gate's result rows for the Silver table of the run, read back from
+    the appended report (check time excluded)."""
+    out = silver_run(spark, sf_dir, "medallion_quality")
+    return run_gate(spark, out, silver_suite(EVENT_TYPES), enforce_gate=False).drop("timestamp")
+
+
+def q_medallion_audit(spark, sf_dir):
+    """The audit row of the run: all six counters."""
+    return read_table(spark, silver_run(spark, sf_dir, "medallion_audit").audit)
+
+
+def q_confluence_medallion_sessions(spark, sf_dir):
+    """Page sessions of the second feed's run, read back."""
+    base = scratch_path(spark, "confluence_medallion")
+    out = Layout(f"{base}/lake")
+    run_silver(spark, written_bronze(spark, base, bronze_pages(spark, sf_dir)), out, rules=CONFLUENCE_RULES,
+               session_keys=PAGE_SESSION_KEYS,
+               **(run_options() | {"rate": AI_COST_PER_CALL_USD}))
+    remove_path(spark, f"{base}/bronze")
+    return read_table(spark, out.sessions)
+
+
+def q_team_cost_unknown_members(spark, sf_dir):
+    """Gold where some users have no membership: their events stay, without a team."""
+    known = members(spark, sf_dir).filter(F.col("user_id") % 7 != 3)
+    return team_cost_summary(timed_events(spark, sf_dir), teams(spark, sf_dir), members=known,
+                             member_key="user_id", ts="ts", cost_tiers=FLAGSHIP_COST_TIERS, stamp=False)
+
+
+def q_team_cost_rounding_ties(spark, sf_dir):
+    """Teams of 75 flagged events each, whose total lies on a rounding tie of the
+    fifth decimal at the fixed unit cost."""
+    e = table(spark, sf_dir, "events").withColumn("response_time_ms", response_ms())
+    e = e.withColumn("team_id", F.floor(F.col("event_id") / 75)).withColumn("team_name", F.lit("T"))
+    return team_measures(enrich_cost(e, is_ai=F.lit(True), stamp_col=None), ts="ts")
+
+
+def q_staged_dimensions(spark, sf_dir):
+    """Staging snapshots of three dimensions with their provenance, read back."""
+    base = scratch_path(spark, "staging")
+    out = None
+    for name, key, text in (("customer", "c_custkey", "c_name"), ("nation", "n_nationkey", "n_name"),
+                            ("region", "r_regionkey", "r_name")):
+        stage_dimension(table(spark, sf_dir, name), f"testdata_{name}", f"{base}/{name}")
+        staged = read_table(spark, f"{base}/{name}").select(
+            F.lit(name).alias("dimension"), F.col(key).cast("long").alias("key"), F.col(text).alias("name"),
+            "source", F.col("extracted_at").isNotNull().alias("stamped"))
+        out = staged if out is None else out.unionByName(staged)
+    return out
 
 
 # ---------------------------------------------------------------------------
@@ -437,7 +530,8 @@ def _drain(spark, name: str, streams: dict) -> dict:
         paths[label] = f"{base}/{label}"
         qs.append(start_append(sdf, paths[label], f"{base}/_checkpoints/{label}",
                                trigger={"availableNow": True}))
-    run_to_completion(qs)
+    await_all(qs)
+    remove_path(spark, f"{base}/_checkpoints")
     return paths
 
 
@@ -449,39 +543,61 @@ def q_stream_ingest(spark, sf_dir):
 
 def q_stream_ingest_both(spark, sf_dir):
     """Both feeds ingested by two concurrent checkpointed queries (STR-3);
-    ``await_all`` raises if either of them fails. Returns the page-event Bronze
-    with its time parsed (ingest stamp excluded)."""
-    base = scratch_path(spark, "stream_ingest_both")
+    ``await_all`` raises if either of them fails. Returns both Bronze tables with
+    their times parsed and a feed column (ingest stamps excluded)."""
     m = members(spark, sf_dir)
-    feeds = {"jira": bronze_stream(messages_of(events_stream(spark, sf_dir), m), JIRA_EVENT),
-             "confluence": bronze_stream(page_messages_of(events_stream(spark, sf_dir), m),
-                                         CONFLUENCE_EVENT)}
-    await_all(spark, [start_append(sdf, f"{base}/{name}", f"{base}/_checkpoints/{name}",
-                                   trigger={"availableNow": True})
-                      for name, sdf in feeds.items()])
-    pages = parse_event_time(spark.read.parquet(f"{base}/confluence"), "event_ts", ntz=True)
-    return pages.drop("ingested_at")
-
-
-def stream_silver_run(spark: SparkSession, sf_dir: str) -> dict:
-    """Streaming Silver and quarantine of the message feed, drained into their
-    sinks; returns the sink locations."""
-    msgs = messages_of(events_stream(spark, sf_dir), members(spark, sf_dir))
-    typed = parse_event_time(bronze_stream(msgs, JIRA_EVENT), "event_ts", ntz=True)
-    silver, bad = silver_streams(typed, JIRA_RULES, watermark=STREAM_WATERMARK,
-                                 is_ai=F.col("event_type") == AI_TYPE)
-    return _drain(spark, "stream_silver", {"silver": silver, "quarantine": bad})
+    paths = _drain(spark, "stream_ingest_both", {
+        "jira": bronze_stream(messages_of(events_stream(spark, sf_dir), m), JIRA_EVENT),
+        "confluence": bronze_stream(page_messages_of(events_stream(spark, sf_dir), m), CONFLUENCE_EVENT)})
+    feeds = [parse_event_time(spark.read.parquet(path), "event_ts", ntz=True)
+             .withColumn("feed", F.lit(name)) for name, path in paths.items()]
+    return feeds[0].unionByName(feeds[1], allowMissingColumns=True).drop("ingested_at")
 
 
-def q_stream_silver(spark, sf_dir):
-    paths = stream_silver_run(spark, sf_dir)
+def typed_stream(spark: SparkSession, sf_dir: str, events: DataFrame) -> DataFrame:
+    msgs = messages_of(events, members(spark, sf_dir))
+    return parse_event_time(bronze_stream(msgs, JIRA_EVENT), "event_ts", ntz=True)
+
+
+def _stream_silver(spark, sf_dir, name, events):
+    silver, _ = silver_streams(typed_stream(spark, sf_dir, events), JIRA_RULES,
+                               is_ai=F.col("event_type") == AI_TYPE)
+    paths = _drain(spark, name, {"silver": silver})
     return spark.read.parquet(paths["silver"]).drop("ingested_at", "silver_processed_at")
 
 
+def q_stream_silver(spark, sf_dir):
+    return _stream_silver(spark, sf_dir, "stream_silver", events_stream(spark, sf_dir))
+
+
+STREAM_FILES = 6
+
+
+def landed_events(spark: SparkSession, sf_dir: str) -> str:
+    """The events as files that arrive one by one, each from the whole time
+    span; a fault-9 event is in the next file too."""
+    path = scratch_path(spark, "landing")
+    e = table(spark, sf_dir, "events")
+    turn, again = F.pmod("event_id", F.lit(STREAM_FILES)), _fault_key() == 9
+    for i in range(STREAM_FILES):
+        here = (turn == i) | (again & (turn == i - 1))
+        e.filter(here).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def q_stream_silver_batches(spark, sf_dir):
+    """Streaming Silver over six micro-batches in shuffled time order: no valid
+    row may be lost behind a watermark."""
+    path = landed_events(spark, sf_dir)
+    src = read_file_stream(spark, path, table(spark, sf_dir, "events").schema, max_files_per_trigger=1)
+    return _stream_silver(spark, sf_dir, "stream_silver_batches", src)
+
+
 def q_stream_quarantine(spark, sf_dir):
     """The stateless quarantine stream: every invalid message with its reason,
     as in the batch form (stamps excluded)."""
-    paths = stream_silver_run(spark, sf_dir)
+    _, bad = silver_streams(typed_stream(spark, sf_dir, events_stream(spark, sf_dir)), JIRA_RULES)
+    paths = _drain(spark, "stream_quarantine", {"quarantine": bad})
     return spark.read.parquet(paths["quarantine"]).drop("ingested_at", "quarantined_at")
 
 
@@ -496,6 +612,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "team_cost_summary": q_team_cost_summary,
     "team_cost_summary_all_teams": q_team_cost_summary_all_teams,
     "team_cost_monthly": q_team_cost_monthly,
+    "team_cost_unknown_members": q_team_cost_unknown_members,
+    "team_cost_rounding_ties": q_team_cost_rounding_ties,
+    "staged_dimensions": q_staged_dimensions,
     "team_cost_top": q_team_cost_top,
     "panel_totals": q_panel_totals,
     "panel_spend_by_team": q_panel_spend_by_team,
@@ -519,9 +638,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quality_history": q_quality_history,
     "medallion_gold": q_medallion_gold,
     "medallion_quality": q_medallion_quality,
+    "medallion_audit": q_medallion_audit,
+    "confluence_medallion_sessions": q_confluence_medallion_sessions,
     "stream_ingest": q_stream_ingest,
     "stream_ingest_both": q_stream_ingest_both,
     "stream_silver": q_stream_silver,
+    "stream_silver_batches": q_stream_silver_batches,
     "stream_quarantine": q_stream_quarantine,
     "stream_sessions": q_stream_sessions,
 }

@@ -9,6 +9,7 @@ Silver and Gold; a failed check raises and Gold is not written.
 
 from __future__ import annotations
 
+import datetime
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -25,7 +26,8 @@ from tidewater.operators.expectations import (Expectation, enforce, quality_repo
 from tidewater.operators.sessions import sessionize
 from tidewater.operators.summary import team_cost_summary
 from tidewater.operators.validate import split_valid
-from tidewater.schemas import AI_COST_PER_CALL_USD, AI_EVENT_TYPE, JIRA_EVENT_TYPES
+from tidewater.schemas import (AI_COST_PER_CALL_USD, AI_EVENT_TYPE, JIRA_EVENT_TYPES,
+                               REPORT)
 from tidewater.sinks import overwrite_table, write_report
 from tidewater.sources.lake import read_table
 
@@ -36,11 +38,16 @@ class Layout:
 
     root: str
 
-    def __getattr__(self, name: str) -> str:
-        if name.startswith("_"):
-            raise AttributeError(name)
+    def _at(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
+    quarantine = property(lambda self: self._at("quarantine"))
+    silver = property(lambda self: self._at("silver"))
+    sessions = property(lambda self: self._at("sessions"))
+    audit = property(lambda self: self._at("audit"))
+    quality_reports = property(lambda self: self._at("quality_reports"))
+    gold = property(lambda self: self._at("gold"))
+
 
 def stage_dimension(df: DataFrame, source: str, path: str, fmt: str = "parquet") -> None:
     """Snapshot a relational dimension into the lake with provenance tags."""
@@ -49,12 +56,16 @@ def stage_dimension(df: DataFrame, source: str, path: str, fmt: str = "parquet")
 
 def run_silver(spark: SparkSession, bronze: DataFrame, out: Layout, rules: RuleSet = JIRA_RULES,
                key: str = "event_id", ts: str = "event_ts", is_ai: Column | None = None,
-               rate: float | Column = AI_COST_PER_CALL_USD,
-               tie_breakers: Sequence[Column] = (),
+               rate: float | Column = AI_COST_PER_CALL_USD, *,
+               tie_breakers: Sequence[Column],
                session_keys: Sequence[str] = ("user_id", "team_id", "team_name"),
                fmt: str = "parquet", ntz: bool = False,
                date_partition: str | None = None) -> dict:
-    """Bronze -> quarantine + Silver + sessions; returns the audit counters.
+    """Bronze -> quarantine + Silver + sessions + audit row; returns the audit counters.
+
+    The latest copy of a key by ``ingested_at`` wins. One micro-batch shares one
+    stamp, so ``tie_breakers`` decide next; a hash of the whole row closes the
+    order, and only equal rows are left to chance.
 
     ``ntz`` types the event time as TIMESTAMP_NTZ instead of TIMESTAMP.
     ``date_partition`` names a column holding the event date by which Silver is
@@ -68,7 +79,8 @@ def run_silver(spark: SparkSession, bronze: DataFrame, out: Layout, rules: RuleS
 
     v_obs, s_obs = Observation("valid"), Observation("silver")
     valid = valid.observe(v_obs, F.count(F.lit(1)).alias("rows"))
-    latest = latest_per_key(valid, [key], [F.col("ingested_at").desc()], tie_breakers)
+    latest = latest_per_key(valid, [key], [F.col("ingested_at").desc()],
+                            [*tie_breakers, F.xxhash64(*valid.columns).desc()])
     silver = enrich_cost(latest, is_ai=is_ai if is_ai is not None
                          else F.col("event_type") == AI_EVENT_TYPE, rate=rate)
     parts: list[str] = []
@@ -84,9 +96,12 @@ def run_silver(spark: SparkSession, bronze: DataFrame, out: Layout, rules: RuleS
 
     quarantined, valid_n = q_obs.get["rows"], v_obs.get["rows"]
     silver_n = s_obs.get["rows"]
-    return {"rows_in": quarantined + valid_n, "rows_quarantined": quarantined,
-            "rows_valid": valid_n, "duplicates_removed": valid_n - silver_n,
-            "rows_out": silver_n, "sessions": sess_obs.get["rows"]}
+    audit = {"rows_in": quarantined + valid_n, "rows_quarantined": quarantined,
+             "rows_valid": valid_n, "duplicates_removed": valid_n - silver_n,
+             "rows_out": silver_n, "sessions": sess_obs.get["rows"]}
+    overwrite_table(spark.createDataFrame([tuple(audit.values())],
+                                          ", ".join(f"{k} long" for k in audit)), out.audit, fmt)
+    return audit
 
 
 def run_gate(spark: SparkSession, out: Layout, suite: Sequence[Expectation] | None = None,
@@ -97,12 +112,15 @@ def run_gate(spark: SparkSession, out: Layout, suite: Sequence[Expectation] | No
     silver = read_table(spark, out.silver, fmt)
     results = run_suite(silver, suite or silver_suite(JIRA_EVENT_TYPES), stamp=True)
     run_id = uuid.uuid4().hex
+    # one day of slack: the session's time zone dates the partition
+    since = datetime.date.today() - datetime.timedelta(days=1)
     # one job scans Silver and writes the report; the gate then reads the
     # few written result rows back instead of scanning Silver a second time
     write_report(quality_report(results).withColumn("run_id", F.lit(run_id)),
                  out.quality_reports)
-    reports = read_table(spark, out.quality_reports, "json")
-    checks = reports.filter(F.col("run_id") == run_id).select(F.inline("results"))
+    reports = read_table(spark, out.quality_reports, "json", schema=REPORT)
+    checks = (reports.filter((F.col("run_date") >= F.lit(since)) & (F.col("run_id") == run_id))
+              .select(F.inline("results")))
     if enforce_gate:
         enforce(checks)
     return checks
@@ -116,14 +134,14 @@ def run_gold(spark: SparkSession, out: Layout, teams: DataFrame, keep: str = "ev
 
 def run_medallion(spark: SparkSession, bronze: DataFrame, teams: DataFrame, root: str,
                   suite: Sequence[Expectation] | None = None, fmt: str = "parquet",
-                  silver_options: dict | None = None, gold_options: dict | None = None,
+                  *, silver_options: dict, gold_options: dict | None = None,
                   enforce_gate: bool = True) -> dict:
     """Silver -> gate -> Gold. Returns the audit counters, the gate's result rows
     and the table locations. By default a failed check raises and Gold is not
     written; ``enforce_gate=False`` records the report and continues."""
     out = Layout(root)
-    audit = run_silver(spark, bronze, out, fmt=fmt, **(silver_options or {}))
+    audit = run_silver(spark, bronze, out, fmt=fmt, **silver_options)
     checks = run_gate(spark, out, suite, fmt, enforce_gate)
     run_gold(spark, out, teams, fmt=fmt, **(gold_options or {}))
     return {"audit": audit, "gate": checks, "silver": out.silver, "quarantine": out.quarantine,
-            "sessions": out.sessions, "gold": out.gold, "reports": out.quality_reports}
+            "sessions": out.sessions, "audit_table": out.audit, "gold": out.gold, "reports": out.quality_reports}

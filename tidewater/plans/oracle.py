@@ -41,11 +41,11 @@ _AGG = """agg AS (
   SELECT m.team_id, m.team_name,
          CAST(count(*) AS BIGINT) AS total_events,
          CAST(count(*) FILTER (WHERE e.event_type = 'purchase') AS BIGINT) AS ai_api_calls,
-         round(sum(CASE WHEN e.event_type = 'purchase' THEN e.value ELSE 0.0 END), 4)
-           AS total_cost_usd,
+         CAST(round(sum(CAST(CASE WHEN e.event_type = 'purchase' THEN e.value ELSE 0.0 END AS DECIMAL(24, 6))), 4)
+              AS DOUBLE) AS total_cost_usd,
          round(avg(CAST(floor(e.value * 10) AS INTEGER)), 1) AS avg_response_time_ms,
          min(e.ts) AS period_start, max(e.ts) AS period_end
-  FROM events e JOIN mem m ON e.user_id = m.user_id
+  FROM events e LEFT JOIN mem m ON e.user_id = m.user_id
   GROUP BY m.team_id, m.team_name)"""
 
 GOLD = f"""WITH {_MEM}, {_TEAMS}, {_AGG},
@@ -72,18 +72,19 @@ agg AS (
   SELECT m.team_id, m.team_name, CAST(date_trunc('month', o.o_orderdate) AS DATE) AS month,
          CAST(count(*) AS BIGINT) AS total_events,
          CAST(count(*) FILTER (WHERE o.o_orderpriority = '1-URGENT') AS BIGINT) AS ai_api_calls,
-         round(sum(CASE WHEN o.o_orderpriority = '1-URGENT' THEN o.o_totalprice ELSE 0.0 END), 4)
-           AS total_cost_usd,
+         CAST(round(sum(CAST(CASE WHEN o.o_orderpriority = '1-URGENT' THEN o.o_totalprice ELSE 0.0 END
+                             AS DECIMAL(24, 6))), 4) AS DOUBLE) AS total_cost_usd,
          round(avg(CAST(floor(o.o_totalprice) AS INTEGER)), 1) AS avg_response_time_ms,
          min(o.o_orderdate) AS period_start, max(o.o_orderdate) AS period_end
-  FROM orders o JOIN mem m ON o.o_custkey = m.user_id
+  FROM orders o LEFT JOIN mem m ON o.o_custkey = m.user_id
   GROUP BY 1, 2, 3),
 g AS (
   SELECT a.*, t.department, t.plan_tier, t.monthly_budget, t.region
   FROM agg a LEFT JOIN tm t ON a.team_id = t.team_id),
 p AS (SELECT *, {_PCT},
-        lag(total_cost_usd) OVER (PARTITION BY team_id, team_name ORDER BY month)
-          AS prev_month_cost_usd
+        (SELECT b.total_cost_usd FROM g b
+         WHERE b.team_id IS NOT DISTINCT FROM g.team_id AND b.team_name IS NOT DISTINCT FROM g.team_name
+           AND b.month = CAST(g.month - INTERVAL 1 MONTH AS DATE)) AS prev_month_cost_usd
       FROM g)
 SELECT {_GOLD_COLS.format(hi=500000, mid=250000)}, month, prev_month_cost_usd,
        round(total_cost_usd - prev_month_cost_usd, 4) AS cost_change_usd
@@ -95,7 +96,7 @@ SELECT team_name, plan_tier, total_events, ai_api_calls, total_cost_usd, monthly
 FROM gold ORDER BY total_cost_usd DESC NULLS LAST, team_id LIMIT 20"""
 
 PANEL_TOTALS = f"""WITH gold AS ({GOLD})
-SELECT round(sum(total_cost_usd), 4) AS total_cost_usd,
+SELECT CAST(round(sum(CAST(total_cost_usd AS DECIMAL(24, 6))), 4) AS DOUBLE) AS total_cost_usd,
        CAST(sum(total_events) AS BIGINT) AS total_events,
        CAST(sum(ai_api_calls) AS BIGINT) AS ai_api_calls,
        CAST(count(*) AS BIGINT) AS teams,
@@ -112,9 +113,9 @@ _FEED = f"""WITH {_MEM},
 b AS (
   SELECT e.*, m.team_id AS nation_id, m.team_name AS nation_name,
          CAST(json_extract_string(e.props, '$.k') AS INTEGER) AS k
-  FROM events e JOIN mem m ON e.user_id = m.user_id),
+  FROM events e LEFT JOIN mem m ON e.user_id = m.user_id),
 d0 AS (
-  SELECT k,
+  SELECT k, 1 AS delivery, k BETWEEN 0 AND 6 OR nation_id IS NULL AS bad,
     CASE WHEN k = 0 THEN NULL ELSE CAST(event_id AS VARCHAR) END AS event_id,
     CASE WHEN k = 0 THEN NULL WHEN k = 10 THEN 'unknown' ELSE event_type END AS event_type,
     CASE WHEN k IN (0, 6) THEN NULL WHEN k = 1 THEN 'garbage'
@@ -131,7 +132,7 @@ d0 AS (
     CASE WHEN k = 0 THEN NULL ELSE event_type = 'purchase' END AS ai_assist_used,
     CASE WHEN k = 0 THEN NULL ELSE 'events' END AS source_app
   FROM b),
-d AS (SELECT * FROM d0 UNION ALL SELECT * FROM d0 WHERE k = 9)"""
+d AS (SELECT * FROM d0 UNION ALL SELECT * REPLACE (2 AS delivery) FROM d0 WHERE k = 9)"""
 
 _DECODED_COLS = """event_id, event_type, event_ts, team_id, team_name, user_id, user_email,
   project_key, issue_id, priority, response_time_ms, ai_assist_used, source_app"""
@@ -143,29 +144,40 @@ SELECT {_DECODED_COLS} FROM d"""
 
 _REASON = """CASE WHEN k = 0 THEN 'missing event_id'
        WHEN k IN (1, 6) THEN 'invalid timestamp'
-       WHEN k = 2 THEN 'missing team_id'
+       WHEN k = 2 OR team_id IS NULL THEN 'missing team_id'
        WHEN k = 3 THEN 'missing user_id'
        WHEN k = 4 THEN 'missing email'
        WHEN k = 5 THEN 'email too short' END"""
 
 QUARANTINE = f"""{_FEED},
-t AS (SELECT k, {_TYPED_COLS.replace("CAST(strptime(", "CAST(try_strptime(")} FROM d)
-SELECT {_DECODED_COLS}, {_REASON} AS quarantine_reason FROM t WHERE k BETWEEN 0 AND 6"""
-
-VALID = f"""{_FEED},
-t AS (SELECT DISTINCT {_TYPED_COLS} FROM d WHERE k NOT BETWEEN 0 AND 6)
+t AS (SELECT k, bad, {_TYPED_COLS.replace("CAST(strptime(", "CAST(try_strptime(")} FROM d)
+SELECT {_DECODED_COLS}, {_REASON} AS quarantine_reason FROM t WHERE bad"""
+
+# Silver: the last delivery of each valid event. In the changed feed a second
+# delivery's response time is one more.
+def _valid(changed: bool, extra: str = "") -> str:
+    cols = _TYPED_COLS.replace("response_time_ms,", "response_time_ms + delivery - 1 AS response_time_ms,") \
+        if changed else _TYPED_COLS
+    return f"""{_FEED},
+t AS (SELECT {cols}{extra} FROM d WHERE NOT bad
+      QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY delivery DESC) = 1)
 SELECT *, event_type = 'purchase' AS is_ai_event,
        CASE WHEN event_type = 'purchase' THEN 0.000126 ELSE 0.0 END AS cost_estimate_usd
 FROM t"""
 
+
+VALID = _valid(True)
+VALID_FIRST = _valid(False)
+
+_AUDIT_COLS = """CAST(count(*) AS BIGINT) AS rows_in,
+       CAST(count(*) FILTER (WHERE bad) AS BIGINT) AS rows_quarantined,
+       CAST(count(*) FILTER (WHERE NOT bad) AS BIGINT) AS rows_valid,
+       CAST(count(DISTINCT CASE WHEN NOT bad THEN event_id END) AS BIGINT) AS rows_out,
+       CAST(count(*) FILTER (WHERE NOT bad)
+            - count(DISTINCT CASE WHEN NOT bad THEN event_id END) AS BIGINT) AS duplicates_removed"""
+
 AUDIT_EVENTS = f"""{_FEED}
-SELECT CAST(count(*) AS BIGINT) AS rows_in,
-       CAST(count(*) FILTER (WHERE k BETWEEN 0 AND 6) AS BIGINT) AS rows_quarantined,
-       CAST(count(*) FILTER (WHERE k NOT BETWEEN 0 AND 6) AS BIGINT) AS rows_valid,
-       CAST(count(DISTINCT CASE WHEN k NOT BETWEEN 0 AND 6 THEN event_id END) AS BIGINT) AS rows_out,
-       CAST(count(*) FILTER (WHERE k NOT BETWEEN 0 AND 6)
-            - count(DISTINCT CASE WHEN k NOT BETWEEN 0 AND 6 THEN event_id END) AS BIGINT)
-         AS duplicates_removed
+SELECT {_AUDIT_COLS}
 FROM d"""
 
 LATEST = """SELECT * EXCLUDE (rn) FROM (
@@ -208,7 +220,7 @@ def _sessions(keys: str) -> str:
 AVG_SESSION = f"""WITH {_MEM}, s AS ({_sessions("user_id")})
 SELECT m.team_id, m.team_name, CAST(count(*) AS BIGINT) AS sessions,
        round(sum(s.session_duration_minutes) / count(*), 2) AS avg_session_minutes
-FROM s JOIN mem m ON s.user_id = m.user_id
+FROM s LEFT JOIN mem m ON s.user_id = m.user_id
 GROUP BY m.team_id, m.team_name"""
 
 
@@ -226,33 +238,33 @@ def _suite(src: str, rt: str, types: str) -> str:
          count(*) FILTER (WHERE NOT is_ai_event AND cost_estimate_usd > 0) AS n8b
   FROM {src}),
 r AS (
-  SELECT 'event_id_not_null' AS "check", 'event_id must never be null' AS description,
-         n1 = 0 AS ok, CAST(n1 AS VARCHAR) || ' rows have null event_id' AS details FROM m
+  SELECT 'event_id_not_null' AS "check", 'every row has a value in event_id' AS description,
+         n1 = 0 AS ok, CAST(n1 AS VARCHAR) || ' null values in event_id' AS details FROM m
   UNION ALL
   SELECT 'event_type_valid_values',
-         'event_type must be one of signup, error, click, view, purchase',
-         n2 = 0, CAST(n2 AS VARCHAR) || ' rows have unexpected event_type values' FROM m
+         'event_type takes known values only: signup, error, click, view, purchase',
+         n2 = 0, CAST(n2 AS VARCHAR) || ' values of event_type that are not known' FROM m
   UNION ALL
-  SELECT 'response_time_in_range', 'response_time_ms must be between 0 and 5000',
-         n3 = 0, CAST(n3 AS VARCHAR) || ' rows have {rt} outside 0-5000ms' FROM m
+  SELECT 'response_time_in_range', '{rt} lies in [0, 5000]',
+         n3 = 0, CAST(n3 AS VARCHAR) || ' values of {rt} beyond [0, 5000] ms' FROM m
   UNION ALL
-  SELECT 'cost_not_negative', 'cost_estimate_usd must be >= 0',
-         n4 = 0, CAST(n4 AS VARCHAR) || ' rows have negative cost_estimate_usd' FROM m
+  SELECT 'cost_not_negative', 'cost_estimate_usd is never below zero',
+         n4 = 0, CAST(n4 AS VARCHAR) || ' values of cost_estimate_usd below zero' FROM m
   UNION ALL
-  SELECT 'is_ai_event_not_null', 'is_ai_event must never be null',
-         n5 = 0, CAST(n5 AS VARCHAR) || ' rows have null is_ai_event' FROM m
+  SELECT 'is_ai_event_not_null', 'every row has a value in is_ai_event',
+         n5 = 0, CAST(n5 AS VARCHAR) || ' null values in is_ai_event' FROM m
   UNION ALL
-  SELECT 'no_duplicate_event_ids', 'Silver must contain no duplicate event_ids',
-         n6 >= total, CAST(total - n6 AS VARCHAR) || ' duplicate event_ids found' FROM m
+  SELECT 'no_duplicate_event_ids', 'each event_id occurs once',
+         n6 >= total, CAST(total - n6 AS VARCHAR) || ' repeated values of event_id' FROM m
   UNION ALL
-  SELECT 'minimum_row_count', 'Silver must have at least 100 rows',
-         total >= 100, 'Only ' || CAST(total AS VARCHAR) || ' rows found, expected >= 100' FROM m
+  SELECT 'minimum_row_count', 'Silver holds 100 rows or more',
+         total >= 100, CAST(total AS VARCHAR) || ' rows; the minimum is 100' FROM m
   UNION ALL
   SELECT 'ai_cost_consistency',
-         'AI events must have cost > 0, non-AI events must have cost = 0',
+         'a flagged event costs something and any other nothing',
          n8a = 0 AND n8b = 0,
-         CAST(n8a AS VARCHAR) || ' AI events with zero cost, ' || CAST(n8b AS VARCHAR)
-           || ' non-AI events with cost' FROM m)"""
+         CAST(n8a AS VARCHAR) || ' flagged events without cost, ' || CAST(n8b AS VARCHAR)
+           || ' other events with cost' FROM m)"""
 
 
 _TYPES = "'signup', 'error', 'click', 'view', 'purchase'"
@@ -293,13 +305,19 @@ SELECT 'medallion' AS pipeline, 'silver_jira_events_clean' AS "table",
 FROM runs"""
 
 # The whole run: Gold over the Silver rows of VALID, teams keyed "team_<n>",
-# the reference's cost tiers (1.0 / 0.5).
-MEDALLION_GOLD = f"""WITH s AS ({VALID}),
-{_TEAMS.replace("SELECT n.n_nationkey AS team_id", "SELECT 'team_' || CAST(n.n_nationkey AS VARCHAR) AS team_id")},
+# unit costs and budgets by team number, the original cost tiers (1.0 / 0.5).
+_TEAM_NO = "CAST(split_part(team_id, '_', 2) AS INTEGER)"
+_RUN_SILVER = f"""s AS (
+  SELECT * REPLACE (CASE WHEN is_ai_event THEN [0.002, 0.01, 0.05][{_TEAM_NO} % 3 + 1] ELSE 0 END AS cost_estimate_usd)
+  FROM ({VALID}))"""
+_RUN_TEAMS = (_TEAMS.replace("SELECT n.n_nationkey AS team_id", "SELECT 'team_' || CAST(n.n_nationkey AS VARCHAR) AS team_id")
+              .replace("CAST(n.n_nationkey * 200 AS DOUBLE)", "CAST([0.0, 0.5, 4.0, 1.0, 100.0][n.n_nationkey % 5 + 1] AS DOUBLE)"))
+MEDALLION_GOLD = f"""WITH {_RUN_SILVER},
+{_RUN_TEAMS},
 agg AS (
   SELECT team_id, team_name, CAST(count(*) AS BIGINT) AS total_events,
          CAST(count(*) FILTER (WHERE is_ai_event) AS BIGINT) AS ai_api_calls,
-         CAST(round(sum(cost_estimate_usd), 4) AS DOUBLE) AS total_cost_usd,
+         CAST(round(sum(CAST(cost_estimate_usd AS DECIMAL(24, 6))), 4) AS DOUBLE) AS total_cost_usd,
          {half_up("avg(response_time_ms)", 1)} AS avg_response_time_ms,
          min(event_ts) AS period_start, max(event_ts) AS period_end
   FROM s GROUP BY team_id, team_name),
@@ -309,7 +327,7 @@ g AS (
 p AS (SELECT *, {_PCT} FROM g)
 SELECT {_GOLD_COLS.format(hi=1.0, mid=0.5)} FROM p"""
 
-MEDALLION_QUALITY = f"""WITH s AS ({VALID}), {_suite("s", "response_time_ms", _TYPES)}
+MEDALLION_QUALITY = f"""WITH {_RUN_SILVER}, {_suite("s", "response_time_ms", _TYPES)}
 SELECT "check", description, CASE WHEN ok THEN 'PASSED' ELSE 'FAILED' END AS status, details
 FROM r"""
 
@@ -321,28 +339,31 @@ SELECT * FROM s
 WHERE session_end + INTERVAL 30 MINUTE
       <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE FROM events)"""
 
-SILVER_SESSIONS = (VALID.replace("\nSELECT *, event_type = 'purchase' AS is_ai_event",
-                                  ",\nsilver AS (SELECT *, event_type = 'purchase' AS is_ai_event", 1)
-                   + "),\n" + _sessions_body("user_id, team_id, team_name", "silver", "event_ts"))
+SILVER_SESSIONS = f"""WITH silver AS ({VALID}), """ + _sessions_body("user_id, team_id, team_name", "silver", "event_ts")
+
+MEDALLION_AUDIT = f"""WITH a AS ({_FEED}
+SELECT {_AUDIT_COLS}
+FROM d)
+SELECT a.*, CAST((SELECT count(*) FROM ({SILVER_SESSIONS})) AS BIGINT) AS sessions FROM a"""
 
 # Page-event (Confluence-shaped) feed; k = 9 delivered twice.
 _PFEED = f"""WITH {_MEM},
 b AS (
   SELECT e.*, m.team_id AS nation_id, m.team_name AS nation_name,
          CAST(json_extract_string(e.props, '$.k') AS INTEGER) AS k
-  FROM events e JOIN mem m ON e.user_id = m.user_id),
+  FROM events e LEFT JOIN mem m ON e.user_id = m.user_id),
 p0 AS (
-  SELECT k,
+  SELECT k, k BETWEEN 0 AND 6 OR nation_id IS NULL AS bad,
     CASE WHEN k = 0 THEN NULL ELSE CAST(event_id AS VARCHAR) END AS event_id,
     CASE WHEN k = 0 THEN NULL ELSE event_type END AS event_type,
-    CASE WHEN k IN (0, 1) THEN NULL ELSE ts END AS event_ts,
+    CASE WHEN k IN (0, 1) THEN NULL ELSE TIMESTAMP '2024-01-01' + (ts - date_trunc('day', ts)) END AS event_ts,
     CASE WHEN k IN (0, 2) THEN NULL ELSE 'team_' || CAST(nation_id AS VARCHAR) END AS team_id,
     CASE WHEN k = 0 THEN NULL ELSE nation_name END AS team_name,
-    CASE WHEN k IN (0, 3) THEN NULL ELSE 'user_' || CAST(user_id AS VARCHAR) END AS user_id,
+    CASE WHEN k IN (0, 3) THEN NULL ELSE 'user_' || CAST(user_id % 2 AS VARCHAR) END AS user_id,
     CASE WHEN k = 0 THEN NULL ELSE 'user' || CAST(user_id AS VARCHAR) || '@example.com' END
       AS user_email,
     CASE WHEN k IN (0, 4, 6) THEN NULL ELSE upper(substr(event_type, 1, 4)) END AS space_key,
-    CASE WHEN k IN (0, 5, 6) THEN NULL ELSE 'PAGE-' || CAST(k AS VARCHAR) END AS page_id,
+    CASE WHEN k IN (0, 5, 6) THEN NULL ELSE 'PAGE-' || CAST(k % 4 AS VARCHAR) END AS page_id,
     CASE WHEN k = 0 THEN NULL ELSE 'Page ' || CAST(k AS VARCHAR) END AS page_title,
     CASE WHEN k = 0 THEN NULL ELSE CAST(floor(value * 10) AS INTEGER) END AS response_time_ms,
     CASE WHEN k = 0 THEN NULL ELSE event_type = 'purchase' END AS ai_assist_used,
@@ -356,26 +377,52 @@ _PAGE_COLS = """event_id, event_type, event_ts, team_id, team_name, user_id, use
 CONFLUENCE_QUARANTINE = f"""{_PFEED}
 SELECT {_PAGE_COLS},
   CASE WHEN k = 0 THEN 'missing event_id' WHEN k = 1 THEN 'invalid timestamp'
-       WHEN k = 2 THEN 'missing team_id' WHEN k = 3 THEN 'missing user_id'
+       WHEN k = 2 OR team_id IS NULL THEN 'missing team_id' WHEN k = 3 THEN 'missing user_id'
        WHEN k IN (4, 6) THEN 'missing space_key' WHEN k = 5 THEN 'missing page_id' END
     AS quarantine_reason
-FROM p WHERE k BETWEEN 0 AND 6"""
+FROM p WHERE bad"""
 
-STREAM_INGEST_BOTH = f"""{_PFEED}
-SELECT {_PAGE_COLS} FROM p"""
+STREAM_INGEST_BOTH = f"""SELECT * FROM (
+  SELECT 'jira' AS feed, t.* FROM ({_FEED}
+    SELECT {_TYPED_COLS.replace("CAST(strptime(", "CAST(try_strptime(")} FROM d) t
+  UNION ALL BY NAME
+  SELECT 'confluence' AS feed, t.* FROM ({_PFEED}
+    SELECT {_PAGE_COLS} FROM p) t)"""
 
 CONFLUENCE_VALID = f"""{_PFEED},
-t AS (SELECT DISTINCT {_PAGE_COLS} FROM p WHERE k NOT BETWEEN 0 AND 6)
+t AS (SELECT DISTINCT {_PAGE_COLS} FROM p WHERE NOT bad)
 SELECT *, event_type = 'purchase' AS is_ai_event,
        CASE WHEN event_type = 'purchase' THEN 0.000126 ELSE 0.0 END AS cost_estimate_usd
 FROM t"""
 
 CONFLUENCE_PAGE_SESSIONS = (
     f"""{_PFEED},
-pv AS (SELECT DISTINCT {_PAGE_COLS} FROM p WHERE k NOT BETWEEN 0 AND 6),
+pv AS (SELECT DISTINCT {_PAGE_COLS} FROM p WHERE NOT bad),
 """ + _sessions_body("user_id, team_id, team_name, space_key, page_id", "pv", "event_ts"))
 
+CONFLUENCE_SESSIONS = CONFLUENCE_PAGE_SESSIONS
+
+UNKNOWN_MEMBERS = GOLD.replace("ON c.c_nationkey = n.n_nationkey)", "ON c.c_nationkey = n.n_nationkey WHERE c.c_custkey % 7 <> 3)", 1)
+
+ROUNDING_TIES = """SELECT CAST(floor(event_id / 75) AS BIGINT) AS team_id, 'T' AS team_name,
+       CAST(count(*) AS BIGINT) AS total_events, CAST(count(*) AS BIGINT) AS ai_api_calls,
+       CAST(round(CAST(0.000126 AS DECIMAL(24, 6)) * count(*), 4) AS DOUBLE) AS total_cost_usd,
+       """ + half_up("avg(CAST(floor(value * 10) AS INTEGER))", 1) + """ AS avg_response_time_ms,
+       min(ts) AS period_start, max(ts) AS period_end
+FROM events GROUP BY 1"""
+
+STAGED = " UNION ALL ".join(
+    f"SELECT '{t}' AS dimension, CAST({k} AS BIGINT) AS key, {n} AS name, 'testdata_{t}' AS source, true AS stamped FROM {t}"
+    for t, k, n in (("customer", "c_custkey", "c_name"), ("nation", "n_nationkey", "n_name"),
+                    ("region", "r_regionkey", "r_name")))
+
 ORACLE: dict[str, str] = {
+    "team_cost_unknown_members": UNKNOWN_MEMBERS,
+    "team_cost_rounding_ties": ROUNDING_TIES,
+    "staged_dimensions": STAGED,
+    "medallion_audit": MEDALLION_AUDIT,
+    "confluence_medallion_sessions": CONFLUENCE_SESSIONS,
+    "stream_silver_batches": VALID_FIRST,
     "team_cost_summary": GOLD,
     "team_cost_summary_all_teams": GOLD_ALL_TEAMS,
     "team_cost_monthly": MONTHLY,
@@ -404,7 +451,7 @@ ORACLE: dict[str, str] = {
     "confluence_page_sessions": CONFLUENCE_PAGE_SESSIONS,
     "stream_ingest": DECODE,
     "stream_ingest_both": STREAM_INGEST_BOTH,
-    "stream_silver": VALID,
+    "stream_silver": VALID_FIRST,
     "stream_quarantine": QUARANTINE,
     "stream_sessions": STREAM_SESSIONS,
 }

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import (BooleanType, DecimalType, IntegerType, StringType,
-                               StructField, StructType, TimestampType)
+from pyspark.sql.types import (ArrayType, BooleanType, DateType, DecimalType, DoubleType,
+                               IntegerType, LongType, StringType, StructField, StructType,
+                               TimestampType)
 
 
 def _strings(*names: str) -> list[StructField]:
     return [StructField(n, StringType(), True) for n in names]
 
 
+# ---------------------------------------------------------------------------
+# These must equal the original pipeline's for equal results.
+# ---------------------------------------------------------------------------
 # Ingest schemas: explicit, every field nullable, times still text.
 JIRA_EVENT = StructType(
     _strings("event_id", "event_type", "event_ts", "team_id", "team_name", "user_id",
@@ -37,13 +41,16 @@ TEAMS = StructType([
     StructField("is_active", BooleanType(), True),
 ])
 
-# ---------------------------------------------------------------------------
-# These must equal the original pipeline's for equal results.
-# ---------------------------------------------------------------------------
+USERS = StructType(
+    _strings("user_id", "team_id", "full_name", "role", "seniority")
+    + [StructField("is_active", BooleanType(), True), StructField("joined_at", TimestampType(), True)])
+
+PROJECTS = StructType(
+    _strings("project_key", "team_id", "project_name", "status")
+    + [StructField("created_at", TimestampType(), True)])
+
 JIRA_EVENT_TYPES = ("issue_created", "issue_updated", "issue_closed",
                     "comment_added", "ai_assist", "sprint_started")
-CONFLUENCE_EVENT_TYPES = ("page_created", "page_updated", "page_viewed",
-                          "comment_added", "ai_assist", "space_created")
 AI_EVENT_TYPE = "ai_assist"
 AI_COST_PER_CALL_USD = 0.000126
 SESSION_GAP = "30 minutes"
@@ -70,5 +77,13 @@ GOLD_PREVIEW_COLUMNS = ("team_name", "plan_tier", "total_events", "ai_api_calls"
                         "total_cost_usd", "monthly_budget", "budget_used_pct",
                         "cost_tier", "budget_status")
 
-SESSION_COLUMNS = ("session_start", "session_end", "events_in_session",
-                   "session_duration_minutes")
+# An appended quality report, as the gate and the history read it back.
+REPORT = StructType(
+    _strings("pipeline", "table")
+    + [StructField("total_rows_checked", LongType(), True), StructField("checks_passed", LongType(), True),
+       StructField("checks_failed", LongType(), True), StructField("quality_score_pct", DoubleType(), True),
+       StructField("results", ArrayType(StructType(
+           _strings("check", "description", "status", "details")
+           + [StructField("timestamp", TimestampType(), True)])), True),
+       StructField("run_timestamp", TimestampType(), True), StructField("run_id", StringType(), True),
+       StructField("run_date", DateType(), True)])

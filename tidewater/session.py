@@ -56,12 +56,14 @@ def shared_root(spark: SparkSession) -> str:
     """Directory for checkpoints, stream state and intermediate tables.
 
     The cluster names a shared folder in ``spark.checkpoint.dir``; it is read
-    from the session and used as is. Only when it is unset (local tests) is a
-    private scratch folder created and registered.
-    """
+    from the session and used as is. A machine's own folder would be invisible
+    to other executors, so only a ``local`` master may go without the setting:
+    a private scratch folder is created and registered then."""
     sc = spark.sparkContext
     root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="tidewater-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root
@@ -73,9 +75,10 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([shared_root(spark), "tidewater", *parts, uuid.uuid4().hex])
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so plain-Python helpers can use the path."""
-    return path[5:] if path.startswith("file:") else path
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that a finished job no longer needs, wherever it is stored."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-__all__ = ["build_session", "shared_root", "scratch_path", "local_path", "DEFAULT_CONF"]
+__all__ = ["build_session", "shared_root", "scratch_path", "remove_path", "DEFAULT_CONF"]

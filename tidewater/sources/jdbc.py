@@ -7,11 +7,13 @@ pulled through the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, DateType, DecimalType, TimestampNTZType,
                                TimestampType)
 
+from tidewater.sinks import append_table
+
 
 def read_snapshot(spark: SparkSession, url: str, table: str,
                   properties: dict[str, str] | None = None,
@@ -41,6 +43,18 @@ def read_incremental(spark: SparkSession, url: str, table: str, watermark_column
     return df.filter(F.col(watermark_column) > F.lit(since))
 
 
+def load_increment(new: DataFrame, path: str, watermark_column: str, since=None) -> object:
+    """Append the rows of ``new`` above the mark ``since`` to the table at ``path``.
+
+    Returns the next mark: the largest value that was appended, or ``since``
+    where nothing was newer. The mark comes from the writing job itself."""
+    seen = Observation("increment")
+    rows = new if since is None else new.filter(F.col(watermark_column) > F.lit(since))
+    append_table(rows.observe(seen, F.max(watermark_column).alias("mark")), path)
+    mark = seen.get["mark"]
+    return since if mark is None else mark
+
+
 def conform_types(df: DataFrame, decimals_to_double: bool = True,
                   legacy_text: bool = False) -> DataFrame:
     """Type conformance of extracted columns.

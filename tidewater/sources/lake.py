@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -21,24 +19,3 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
     if merge_schema:
         r = r.option("mergeSchema", "true")
     return r.load(path)
-
-
-def spread_scan(df: DataFrame, by: Sequence[str] = (), min_partitions: int | None = None
-                ) -> DataFrame:
-    """Give a batch scan at least ``min_partitions`` partitions (default: the
-    cluster's default parallelism).
-
-    Parquet splits on row groups, so a few large single-row-group files scan in
-    a few tasks, and every map-side operator after the scan (JSON encoding and
-    decoding, rule evaluation) runs on that many cores. Only such a scan is
-    hash-repartitioned by ``by`` (round-robin without keys). A scan at scale
-    already has at least that many splits and is returned as is, so no shuffle
-    is added there. Counting the splits plans the scan but runs no job; call
-    this on a plain scan, before any exchange. Streams are returned unchanged.
-    """
-    if df.isStreaming:
-        return df
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want, *by) if by else df.repartition(want)

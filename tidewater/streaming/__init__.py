@@ -1,7 +1,6 @@
 """Structured Streaming forms of ingest, Silver and sessions."""
 
-from tidewater.streaming.ingest import await_all, bronze_stream, run_to_completion, start_append
+from tidewater.streaming.ingest import await_all, bronze_stream, start_append
 from tidewater.streaming.silver import silver_streams, stream_sessions
 
-__all__ = ["await_all", "bronze_stream", "run_to_completion", "start_append",
-           "silver_streams", "stream_sessions"]
+__all__ = ["await_all", "bronze_stream", "start_append", "silver_streams", "stream_sessions"]

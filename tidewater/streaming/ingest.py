@@ -10,7 +10,8 @@ from __future__ import annotations
 import time
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -42,35 +43,31 @@ def start_append(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parq
     return w.start(path)
 
 
-def await_all(spark: SparkSession, queries: Sequence[StreamingQuery],
-              timeout_s: float | None = None) -> None:
-    """Wait for every query; a failure of *any* query is raised (and the others
-    are stopped), so one feed cannot die unnoticed while another runs."""
+def await_all(queries: Sequence[StreamingQuery], timeout_s: float | None = None) -> None:
+    """Wait until every query has ended.
+
+    A failure of any of them is raised as soon as it is seen, and the others
+    are stopped, so one feed cannot die unnoticed while another runs. Where the
+    time runs out all are stopped and :class:`TimeoutError` is raised."""
     deadline = None if timeout_s is None else time.monotonic() + timeout_s
     pending = list(queries)
     while pending:
-        for q in list(pending):
-            if not q.isActive:
-                pending.remove(q)
-                err = q.exception()
-                if err is not None:
-                    for other in pending:
-                        other.stop()
-                    raise RuntimeError(f"streaming query {q.name or q.id} failed") from err
-        if pending:
-            if deadline is not None and time.monotonic() > deadline:
-                return
-            try:
-                spark.streams.awaitAnyTermination(5)
-            except Exception:
-                pass
-            spark.streams.resetTerminated()
+        for q in [q for q in pending if not q.isActive]:
+            pending.remove(q)
+            if (err := q.exception()) is not None:
+                _stop(pending)
+                raise RuntimeError(f"streaming query {q.name or q.id} failed") from err
+        if not pending:
+            return
+        if deadline is not None and time.monotonic() > deadline:
+            _stop(pending)
+            raise TimeoutError(f"{len(pending)} streaming queries still ran after {timeout_s} s")
+        try:
+            pending[0].awaitTermination(1)
+        except StreamingQueryException:
+            continue   # the next round reports it
 
 
-def run_to_completion(queries: Sequence[StreamingQuery]) -> None:
-    """For ``availableNow`` queries: block until each has drained its input."""
+def _stop(queries: Sequence[StreamingQuery]) -> None:
     for q in queries:
-        q.awaitTermination()
-        err = q.exception()
-        if err is not None:
-            raise RuntimeError(f"streaming query {q.name or q.id} failed") from err
+        q.stop()

@@ -5,15 +5,19 @@ Differences from the batch form, by construction of Structured Streaming:
 * ``dropDuplicatesWithinWatermark`` keeps the *first* arrival of a key; the
   batch form keeps the latest by ``ingested_at``. Both agree whenever copies
   differ only in their ingest stamp (re-delivery).
-* ``withWatermark`` needs a TIMESTAMP (not TIMESTAMP_NTZ) column; the stream
-  carries a TIMESTAMP copy of the event time for it.
+* The duplicate state is bounded by *arrival* time: a re-delivery is known as
+  such while its first copy arrived at most ``horizon`` before. Arrival stamps
+  never run backwards from one micro-batch to the next, so no valid row is ever
+  behind that watermark, however old its event time is.
+* Sessions need a watermark on event time, which must be a TIMESTAMP (not
+  TIMESTAMP_NTZ) column; the stream carries a TIMESTAMP copy of it.
 * Append-mode sessions are emitted only once the watermark has passed the
   session's end plus the gap; sessions still open at the end of the input stay
   in state until later data advances the watermark.
-* Spark guarantees only that rows within the watermark delay are kept. A row
-  behind the watermark may still join a session or a key that is held in
-  state (``tests/test_golden.py``), so the streaming result can differ from the
-  batch result only for such late rows.
+* For sessions Spark guarantees only that rows within the watermark delay are
+  kept. A row behind it may still join a session that is held in state
+  (``tests/test_golden.py``), so streaming sessions can differ from the batch
+  form for such late rows; Silver has them all.
 """
 
 from __future__ import annotations
@@ -33,18 +37,16 @@ WM_COL = "_event_time"
 
 
 def silver_streams(typed: DataFrame, rules: RuleSet, key: str = "event_id",
-                   ts: str = "event_ts", watermark: str = "10 minutes",
+                   arrival: str = "ingested_at", horizon: str = "10 minutes",
                    is_ai: Column | None = None, rate: float | Column = AI_COST_PER_CALL_USD
                    ) -> tuple[DataFrame, DataFrame]:
     """Return ``(silver, quarantine)`` streaming frames from a typed Bronze stream.
 
     Start each with :func:`tidewater.streaming.start_append` (two queries, two
-    checkpoints). The duplicate state is bounded by the watermark."""
+    checkpoints). ``arrival`` is the Bronze stamp and ``horizon`` how long after
+    its first copy a re-delivery is still recognised."""
     valid, bad = split_valid(typed, rules)
-    deduped = (valid.withColumn(WM_COL, F.col(ts).cast("timestamp"))
-               .withWatermark(WM_COL, watermark)
-               .dropDuplicatesWithinWatermark([key])
-               .drop(WM_COL))
+    deduped = valid.withWatermark(arrival, horizon).dropDuplicatesWithinWatermark([key])
     return enrich_cost(deduped, is_ai=is_ai, rate=rate), bad
 
 
