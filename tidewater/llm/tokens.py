@@ -15,17 +15,30 @@ from functools import lru_cache
 import numpy as np
 
 VOCABULARY = "word_bpe_49k.json"
-MAX_CHUNKS = 200_000      # known chunks per worker
+MAX_CHUNKS = 600_000      # known chunks per worker
 MAX_PIECES = 700_000      # known words per worker
 MAX_CHUNK_CHARS = 64      # longer chunks aren't remembered
 
 # what the pre-tokeniser makes of lower-case ASCII without apostrophes
 _PIECES = re.compile(r"[a-z]+|[0-9]|[^\sa-z0-9]+")
 _TRAILING = ".,;:!?"
+# letters below are their own NFC form, and a simple lower case away from the normaliser's
+_BEYOND_LATIN = "\u0180"
+_TWO_LOWER = "\u0130"
 # control characters that Python, but not the tokenizer, takes for white space
 _NOT_SPACE = "\x1c\x1d\x1e\x1f"
 
 
+def _byte_symbols() -> list[str]:
+    """The character that stands for each byte: itself if it prints, else the next one from 256 on."""
+    prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = iter(range(256, 512))
+    return [chr(b) if b in prints else chr(next(other)) for b in range(256)]
+
+
+_SYMBOLS = _byte_symbols()
+
+
 def vocabulary_path(name: str = VOCABULARY) -> str:
     import public_tokenizers
 
@@ -66,8 +79,10 @@ class WordEncoder:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        # lower-case ASCII letters pass the normaliser and pre-tokeniser unchanged
-        if piece.isascii() and piece.isalpha() and piece.islower():
+        """A lower-case word of Latin letters goes straight to the model, as the bytes' symbols."""
+        if piece.isalpha() and max(piece) < _BEYOND_LATIN:
+            if not piece.isascii():
+                piece = "".join([_SYMBOLS[b] for b in piece.encode()])
             return np.array([t.id for t in self._model.tokenize(piece)], "<u4").tobytes()
         return self._library(piece)
 
@@ -75,15 +90,15 @@ class WordEncoder:
         if len(chunk) > MAX_CHUNK_CHARS or "'" in chunk or "<|" in chunk:
             return self._library(chunk)
         known = self._pieces
-        if chunk.isascii():
+        if max(chunk) < _BEYOND_LATIN and _TWO_LOWER not in chunk:
             low = chunk.lower()
             if low.isalpha():
                 return known[low]
             if low[-1] in _TRAILING and low[:-1].isalpha():
                 return known[low[:-1]] + known[low[-1]]
-            return b"".join([known[p] for p in _PIECES.findall(low)])
-        word = chunk.rstrip(_TRAILING)
-        return (known[word] if word else b"") + (known[chunk[len(word):]] if len(word) < len(chunk) else b"")
+            if low.isascii():
+                return b"".join([known[p] for p in _PIECES.findall(low)])
+        return self._library(chunk)
 
     def encode(self, text: str | None) -> bytes:
         if not text:
