@@ -1,18 +1,21 @@
-"""The registered queries of this subpackage and their SQL."""
+"""The registered queries of this subpackage; ``ORACLE`` is the SQL of those that SQL can express."""
 
 from __future__ import annotations
 
-from tidewater.llm.licenses import OP5_SQL, op5_license_join
+from tidewater.llm.licenses import op5_license_join
 from tidewater.llm.ngram_join import op9_vertical_jaccard
+from tidewater.llm.oracle import ORACLE
 from tidewater.llm.packing import op8_pattern_packing
 from tidewater.llm.pfor import op1_pfor_tokens
 from tidewater.llm.repeats import op2_merged_repeats
 from tidewater.llm.repetition import op7_repetition_rules
 from tidewater.llm.sharding import op3_feistel_shards
-from tidewater.llm.snapshots import OP10_SQL, op10_snapshot_chats
+from tidewater.llm.snapshots import op10_snapshot_chats
 from tidewater.llm.templates import op6_template_leaks
 from tidewater.llm.warc import op4_splittable_warc
 
+__all__ = ["ORACLE", "QUERIES"]
+
 QUERIES = {
     "op1_pfor_tokens": op1_pfor_tokens,
     "op2_merged_repeats": op2_merged_repeats,
@@ -25,8 +28,3 @@ QUERIES = {
     "op9_vertical_jaccard": op9_vertical_jaccard,
     "op10_snapshot_chats": op10_snapshot_chats,
 }
-
-ORACLE = {
-    "op5_license_join": OP5_SQL,
-    "op10_snapshot_chats": OP10_SQL,
-}
