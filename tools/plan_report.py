@@ -15,7 +15,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from __spark_entry__ import queries  # noqa: E402
+from tidewater.plans.catalog import QUERIES  # noqa: E402
 from tidewater.session import build_session  # noqa: E402
 
 
@@ -39,7 +39,7 @@ def main() -> None:
     cols = ["scans", "shuffles", "broadcasts", "smj", "partial_agg", "group_limit"]
     print("| query | " + " | ".join(cols) + " |")
     print("| --- |" + " --- |" * len(cols))
-    for name, fn in queries().items():
+    for name, fn in QUERIES.items():
         df = fn(spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
         plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
