@@ -9,7 +9,8 @@ in a document with a smaller id.
    met in two documents can hold a match. Hashes are dealt to buckets as packed
    integers, and each slice of documents gets back those that are shared.
 2. Slices deal their distinct fragments of shared hashes, with the smallest id
-   that holds each. A bucket builds the Burrows-Wheeler transforms of shards of
+   that holds each. Equal fragments are counted once, and those that are alone
+   under their hash are done with. Of the others a bucket builds the Burrows-Wheeler transforms of shards of
    its fragments, merges them by interleave refinement to depth ``LENGTH`` and
    takes the intervals of suffixes that share at least so many bytes. The
    smallest id in an interval tells which of its strings are repeats.
@@ -44,7 +45,7 @@ LENGTH = 50
 GRAM = 18
 MAX_WINDOWS = 200         # strings in a fragment; longer runs make several
 CHUNK_BYTES = 1 << 17     # text hashed at once
-FLUSH_CHARS = 8_000_000   # text whose hashes a task deals at once
+FLUSH_BYTES = 8_000_000   # text whose hashes a task deals at once
 MERGE_BYTES = 1 << 18     # fragments merged at once, unless one hash has more
 SHARDS = 4
 NULL_ID = -(1 << 63)
@@ -126,9 +127,9 @@ def sliced(docs: DataFrame, slices: int) -> DataFrame:
 
 
 def owner_blocks(docs: DataFrame, parts: int) -> DataFrame:
-    """(bucket, slice, block): owner hashes of documents; twice if two documents of a deal have it."""
+    """(bucket, block): owner hashes of documents by slice; twice if two documents of a deal have it."""
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
-        for first, texts in text_chunks(batch, "text", FLUSH_CHARS):
+        for first, texts in text_chunks(batch, "text", FLUSH_BYTES):
             raw = [(t or "").encode() for t in texts]
             where = batch.column("_dd_slice").slice(first, len(texts)).to_numpy(zero_copy_only=False).astype(np.int64)
             rows, owners = [], []
@@ -140,7 +141,7 @@ def owner_blocks(docs: DataFrame, parts: int) -> DataFrame:
                 continue
             row, owner = np.concatenate(rows), np.concatenate(owners)
             bucket, key = _keys(owner, parts)
-            name = (where[row] * parts + bucket) << 32 | key
+            name = (bucket * parts + where[row]) << 32 | key
             by = np.argsort(name, kind="stable")
             name, row = name[by], row[by]
             same = np.r_[False, name[1:] == name[:-1]]
@@ -152,13 +153,28 @@ def owner_blocks(docs: DataFrame, parts: int) -> DataFrame:
             keep[again[second]] = True
             name = name[keep]
             place = name >> 32
-            cut = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
+            bucket = place // parts
+            cut = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
             packed = (name & 0xFFFFFFFF).astype("<u4")
-            yield {"bucket": place[cut] % parts, "slice": place[cut] // parts,
-                   "block": [packed[i:j].tobytes() for i, j in zip(cut, [*cut[1:], len(packed)])]}
+            yield {"bucket": bucket[cut], "block": [_pack_keys((place % parts)[i:j], packed[i:j])
+                                                    for i, j in zip(cut, [*cut[1:], len(packed)])]}
 
     slim = docs.select("_dd_slice", F.col("text").cast("string").alias("text"))
-    return map_batches(slim, run, "bucket int, slice int, block binary")
+    return map_batches(slim, run, "bucket int, block binary")
+
+
+def _pack_keys(where: np.ndarray, keys: np.ndarray) -> bytes:
+    """Keys sorted by slice: slices u32, then each slice and its number of keys, then the keys."""
+    cut = np.flatnonzero(np.r_[True, where[1:] != where[:-1]])
+    counts = np.diff(np.r_[cut, len(where)])
+    head = np.r_[len(cut), where[cut], counts].astype("<u4")
+    return head.tobytes() + keys.tobytes()
+
+
+def _unpack_keys(block: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = int(np.frombuffer(block, "<u4", 1)[0])
+    head = np.frombuffer(block, "<u4", 2 * n, 4)
+    return np.repeat(head[:n].astype(np.int64), head[n:]), np.frombuffer(block, "<u4", -1, 4 + 8 * n)
 
 
 def shared_owners(blocks: DataFrame) -> DataFrame:
@@ -167,9 +183,7 @@ def shared_owners(blocks: DataFrame) -> DataFrame:
     schema = arrow_schema(kind)
 
     def run(group: pa.Table) -> pa.Table:
-        parts = [np.frombuffer(x, "<u4") for x in group.column("block").to_pylist()]
-        where = np.repeat(group.column("slice").to_numpy(), [len(x) for x in parts])
-        key = np.concatenate(parts)
+        where, key = (np.concatenate(x) for x in zip(*map(_unpack_keys, group.column("block").to_pylist())))
         by = np.argsort(key, kind="stable")
         key, where = key[by], where[by]
         new = np.r_[True, key[1:] != key[:-1], True]
@@ -309,12 +323,18 @@ def repeated_strings(dealt: DataFrame) -> DataFrame:
         pieces = list(index)
         by = np.argsort(key, kind="stable")
         size = np.array([len(pieces[i]) + 1 for i in by.tolist()], np.int64)
-        # fragments of different hashes share no string, so they needn't be merged together
+        # fragments of different hashes share no string: they needn't be merged together,
+        # and one that is alone under its hash has nothing to be merged with
         new_key = np.r_[True, np.diff(key[by]) != 0]
         low: list[np.ndarray | None] = [None] * len(pieces)
+        alone = new_key & np.r_[new_key[1:], True]
+        for k in by[alone].tolist():
+            low[k] = np.full(len(pieces[k]) - LENGTH + 1, least[k])
+        by, size = by[~alone], size[~alone]
+        new_key = np.r_[True, np.diff(key[by]) != 0]
         begin, held = 0, 0
         for i in range(len(by) + 1):
-            if i == len(by) or (new_key[i] and held >= MERGE_BYTES):
+            if i > begin and (i == len(by) or (new_key[i] and held >= MERGE_BYTES)):
                 some = by[begin:i]
                 for k, v in zip(some.tolist(), interval_minima([pieces[k] for k in some.tolist()], least[some])):
                     low[k] = v
