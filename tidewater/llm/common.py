@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,22 +33,27 @@ def shuffle_tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def text_chunks(batch: pa.RecordBatch, column: str, max_chars: int) -> Iterator[tuple[int, list[str | None]]]:
-    """Cut a record batch into runs of rows of about ``max_chars`` characters.
+def text_chunks(batch: pa.RecordBatch, column: str, max_bytes: int) -> Iterator[tuple[int, list[str | None]]]:
+    """Cut a record batch into runs of rows of about ``max_bytes`` bytes of text.
 
     Bounds what a task holds beside its Arrow batch; a longer text is a chunk
     of its own. Yields (first row, texts).
     """
-    texts = batch.column(column).to_pylist()
-    start, size = 0, 0
-    for i, t in enumerate(texts):
-        n = len(t) if t is not None else 0
-        if i > start and size + n > max_chars:
-            yield start, texts[start:i]
-            start, size = i, 0
-        size += n
-    if start < len(texts):
-        yield start, texts[start:]
+    texts = batch.column(column)
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    first, before = 0, 0
+    while first < len(texts):
+        last = max(first + 1, int(np.searchsorted(ends, before + max_bytes, "right")))
+        yield first, texts.slice(first, last - first).to_pylist()
+        first, before = last, int(ends[last - 1])
+
+
+class Vocabulary(dict):
+    """Numbers words from 0 in the order in which they are first looked up."""
+
+    def __missing__(self, word) -> int:
+        n = self[word] = len(self)
+        return n
 
 
 def map_batches(df: DataFrame, fn, schema: str) -> DataFrame:
@@ -80,6 +86,32 @@ def crc32_rows(data: np.ndarray, bounds: np.ndarray) -> list[int]:
     return [zlib.crc32(raw[a * w:b * w]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
 
 
+MAP_BITS = 1 << 25
+
+
+def hash_bitmap(df: DataFrame, column: str, bits: int = MAP_BITS) -> np.ndarray:
+    """A bit map of fixed size in which the low bits of every hash are set.
+
+    Spark builds it in blocks of 32768 bits; at most ``bits`` of them reach the
+    driver, whatever ``df`` holds. :func:`in_bitmap` reads it.
+    """
+    place = F.col(column).bitwiseAND(bits - 1) + 1
+    rows = (df.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("k"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("block")).collect())
+    out = np.zeros(bits // 8, np.uint8)
+    for r in rows:
+        block = np.frombuffer(r["block"], np.uint8)
+        at = (r["k"] - 1) * 4096
+        out[at:at + len(block)] = block[:len(out) - at]
+    return out
+
+
+def in_bitmap(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes (int64) have their bit set; others are surely not in the map."""
+    place = hashes & (len(bitmap) * 8 - 1)
+    return (bitmap[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
+
+
 def utf8_len(col) -> Column:
     """Bytes of the UTF-8 text; a null text has none."""
     return F.coalesce(F.octet_length(col), F.lit(0)).cast("long")

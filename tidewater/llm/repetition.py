@@ -20,14 +20,13 @@ ignored by ``quality_metrics`` and passed on untouched by ``quality_filter``.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm.common import map_batches, table, text_chunks
+from tidewater.llm.common import Vocabulary, map_batches, table, text_chunks
 
 MIN_WORDS = 10            # fewer words: rejected by the base rule
 WINDOW = 5                # words in a window of the base repetition rule
@@ -35,7 +34,7 @@ MAX_REPEAT_PERCENT = 20   # words in repeated windows, percent of all words
 MIN_REPEAT = 8            # words: shorter repeats don't count as covered
 MAX_COVERED = 0.2         # covered fraction
 MAX_LONGEST = 64          # words in the longest repeat
-CHUNK_CHARS = 6_000_000   # characters whose suffixes are sorted at once
+CHUNK_BYTES = 6_000_000   # bytes of text whose suffixes are sorted at once
 
 _SPACE = b" \t\n\x0b\x0c\r"
 _SYMBOLS = b"#*$%&|<>"
@@ -106,8 +105,7 @@ def covered(longest: np.ndarray, least: int) -> np.ndarray:
 
 def measure(texts: list[str | None]) -> dict[str, list]:
     """Metrics of each text, by the suffix order of all of them at once."""
-    ids: defaultdict = defaultdict()
-    ids.default_factory = ids.__len__
+    ids = Vocabulary()
     out: dict[str, list] = {"n_words": [], "word_chars": [], "n_symbols": [], "n_dup_lines": []}
     flat: list[np.ndarray] = []
     for text in texts:
@@ -147,7 +145,7 @@ def quality_metrics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
-        for first, texts in text_chunks(batch, "text", CHUNK_CHARS):
+        for first, texts in text_chunks(batch, "text", CHUNK_BYTES):
             yield {"id": batch.column("id").slice(first, len(texts)), **measure(texts)}
 
     slim = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
@@ -159,7 +157,7 @@ def quality_filter(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            kept = [measure(texts)["kept"] for _, texts in text_chunks(b, text_col, CHUNK_CHARS)]
+            kept = [measure(texts)["kept"] for _, texts in text_chunks(b, text_col, CHUNK_BYTES)]
             if kept:
                 yield b.filter(pa.array(np.concatenate(kept)))
 

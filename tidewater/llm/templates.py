@@ -24,7 +24,6 @@ Other columns are ignored, or passed on by ``drop_contaminated``.
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,12 +31,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import map_batches, materialize, table, text_chunks
+from tidewater.llm.common import Vocabulary, hash_bitmap, in_bitmap, map_batches, materialize, table, text_chunks
 
 WINDOW = 8
 MIN_LITERALS = 3
 MIN_SHARE = 0.5
-CHUNK_CHARS = 3_000_000
+CHUNK_BYTES = 1_500_000
 MAP_BITS = 1 << 22
 
 # Units of measure that may follow a number
@@ -66,8 +65,7 @@ def canonical(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     """Tokens of all texts: document, hash, is-placeholder, raw vocabulary, vocabulary index."""
     import xxhash
 
-    vocab: defaultdict = defaultdict()
-    vocab.default_factory = vocab.__len__
+    vocab = Vocabulary()
     flat, sizes = [], []
     for t in texts:
         found = _TOKEN.findall(t or "")
@@ -134,19 +132,17 @@ def _slots(start: np.ndarray, size: int, slot: np.ndarray, words: list[str], at:
     return [[words[at[i]].lower() for i in range(s, s + size) if slot[i]] for s in start.tolist()]
 
 
-def document_windows(docs: DataFrame, sizes: list[int], bits: bytes) -> DataFrame:
+def document_windows(docs: DataFrame, sizes: list[int], bits: np.ndarray) -> DataFrame:
     """(doc_id, text_hash, hash, at, slots) of the windows whose bit is set."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
-        allowed = np.frombuffer(bits, np.uint8)
-        for first, texts in text_chunks(batch, "text", CHUNK_CHARS):
+        for first, texts in text_chunks(batch, "text", CHUNK_BYTES):
             doc, code, slot, words, at = canonical(texts)
             before = np.searchsorted(doc, np.arange(len(texts)))
             for size in sizes:
                 start, h = windows(doc, code, slot, size)
-                place = (h % np.uint64(MAP_BITS)).astype(np.int64)
-                hit = np.flatnonzero(allowed[place >> 3] >> (place & 7) & 1)
+                hit = np.flatnonzero(in_bitmap(bits, _signed(h)))
                 if len(hit):
                     start, h = start[hit], h[hit]
                     row = pa.array(first + doc[start])
@@ -162,12 +158,8 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, text_hash, item_id, n_windows, share, changed) for every leaked item of a document."""
     bench = materialize(item_windows(items), "items")
     sizes = sorted(r["size"] for r in bench.select("size").distinct().collect())   # at most WINDOW of them
-    place = F.col("hash").bitwiseAND(MAP_BITS - 1).cast("int")   # MAP_BITS is a power of two
-    bits = np.zeros(MAP_BITS, np.uint8)
-    for r in bench.select(place.alias("p")).distinct().toLocalIterator():          # at most MAP_BITS of them
-        bits[r["p"]] = 1
-    packed = np.packbits(bits, bitorder="little").tobytes()
-    d = document_windows(docs, sizes, packed)
+    bits = hash_bitmap(bench, "hash", MAP_BITS)
+    d = document_windows(docs, sizes, bits)
     b = bench.select("hash", "item_id", F.col("at").alias("item_at"), "n_windows", F.col("slots").alias("item_slots"))
     matched = materialize(
         d.join(b, "hash").where(F.size("slots") == F.size("item_slots"))
