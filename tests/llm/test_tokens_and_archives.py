@@ -65,7 +65,7 @@ def test_narrow_blocks_are_small_and_outliers_are_exceptions():
 
 
 def test_tokens_read_back_equal_the_library(spark, library, monkeypatch):
-    monkeypatch.setattr(pfor, "SEGMENT_CHARS", 2000)     # several segments a task
+    monkeypatch.setattr(pfor, "SEGMENT_BYTES", 2000)     # several segments a task
     rows = corpus()
     path = scratch_path(spark, "test_tokens")
     pfor.write_tokens(frame(spark, rows), path, VOCABULARY)

@@ -37,7 +37,7 @@ from tidewater.session import scratch_path
 BLOCK = 128
 PERCENTILE = 90
 END_ID = 1
-SEGMENT_CHARS = 3_000_000   # characters of text in a segment
+SEGMENT_BYTES = 3_000_000   # bytes of text in a segment
 MAGIC = b"PFR1"
 _HEAD = 6                   # bytes before a block's packed ids
 SEGMENT = "part int, seq int, part_start long, n_ids long, doc_ids array<long>, sizes array<long>, payload binary"
@@ -151,7 +151,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int = END_
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq, before = TaskContext.get().partitionId(), 0, 0
         for b in batches:
-            for first, texts in text_chunks(b, "text", SEGMENT_CHARS):
+            for first, texts in text_chunks(b, "text", SEGMENT_BYTES):
                 ids, bounds = encode_batch(vocabulary, texts, end_id)
                 yield pa.RecordBatch.from_pydict({
                     "part": [part], "seq": [seq], "part_start": [before], "n_ids": [len(ids)],
