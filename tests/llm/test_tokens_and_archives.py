@@ -222,6 +222,22 @@ def test_leaks_of_empty_tables(spark):
     assert templates.drop_contaminated(frame(spark, leak_docs()), items).count() == len(leak_docs())
 
 
+LONG = " ".join(f"{a} {b}" for a in ("green", "old", "small", "warm", "loud", "empty") for b in
+                ("rivers turn", "houses stand", "boats sail", "roads wind", "bells ring"))     # 90 words, 83 windows
+
+
+def found(spark, items, docs):
+    items = spark.createDataFrame(items, "item_id long, text string")
+    return {(r["doc_id"], r["item_id"]) for r in templates.leaks(frame(spark, docs), items).collect()}
+
+
+def test_excerpts_of_long_items(spark):
+    words = LONG.split()
+    docs = [(1, "it says " + " ".join(words[20:33]) + " and ends"), (2, "it says " + " ".join(words[20:32]) + " and ends"),
+            (3, " ".join(words[:11]) + " x " + " ".join(words[60:71])), (4, " ".join(words[:45])), (None, " ".join(words[20:34]))]
+    assert found(spark, [(1, LONG)], docs) == {(1, 1), (4, 1), (None, 1)}
+
+
 def test_units_and_names():
     doc, code, slot, words, at = templates.canonical(["He ran 5 km in Paris. Paris is 5 km wide"])
     seen = [words[i] for i in at]

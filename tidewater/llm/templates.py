@@ -7,7 +7,8 @@ windows of a document that match an item at the same shift are an alignment;
 an alignment in which one value of the item stands for two different values
 of the document is dropped, as its slots aren't a re-parameterisation. An item
 counts as leaked when its remaining windows reach ``MIN_SHARE`` of its usable
-ones.
+ones, or when ``MIN_RUN`` usable windows in a row remain at one shift, so that
+an excerpt of a long item counts whatever its share.
 
 Documents' windows are tested against a bit map of fixed size that the
 benchmark's hashes set, so only few leave the reading task; the join decides.
@@ -28,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import Vocabulary, hash_bitmap, in_bitmap, map_batches, materialize, table, text_chunks
@@ -36,6 +37,7 @@ from tidewater.llm.common import Vocabulary, hash_bitmap, in_bitmap, map_batches
 WINDOW = 8
 MIN_LITERALS = 3
 MIN_SHARE = 0.5
+MIN_RUN = 6   # windows in a row at one shift: 13 tokens where all are usable
 CHUNK_BYTES = 1_500_000
 MAP_BITS = 1 << 22
 
@@ -111,7 +113,7 @@ def _signed(h: np.ndarray) -> np.ndarray:
 
 
 def item_windows(items: DataFrame) -> DataFrame:
-    """(hash, item_id, at, n_windows, size, slots) of every usable window of an item."""
+    """(hash, item_id, at, nth, n_windows, size, slots) of every usable window of an item, the ``nth`` of ``n_windows``."""
     kind = items.schema["item_id"].dataType.simpleString()
 
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -121,11 +123,11 @@ def item_windows(items: DataFrame) -> DataFrame:
             size = min(WINDOW, len(code))
             start, h = windows(doc, code, slot, size) if size >= MIN_LITERALS else (np.zeros(0, np.int64),) * 2
             if len(start):
-                yield {"hash": _signed(h), "item_id": [item] * len(h), "at": start, "n_windows": [len(h)] * len(h),
-                       "size": [size] * len(h), "slots": _slots(start, size, slot, words, at)}
+                yield {"hash": _signed(h), "item_id": [item] * len(h), "at": start, "nth": np.arange(len(h)),
+                       "n_windows": [len(h)] * len(h), "size": [size] * len(h), "slots": _slots(start, size, slot, words, at)}
 
     return map_batches(items.select("item_id", "text").where("item_id IS NOT NULL AND text IS NOT NULL"), run,
-                       f"hash long, item_id {kind}, at long, n_windows long, size int, slots array<string>")
+                       f"hash long, item_id {kind}, at long, nth long, n_windows long, size int, slots array<string>")
 
 
 def _slots(start: np.ndarray, size: int, slot: np.ndarray, words: list[str], at: np.ndarray) -> list[list[str]]:
@@ -154,16 +156,23 @@ def document_windows(docs: DataFrame, sizes: list[int], bits: np.ndarray) -> Dat
     return map_batches(slim, run, f"doc_id {kind}, text_hash long, hash long, at long, slots array<string>")
 
 
+def _runs(df: DataFrame, key: list[str], nth: str, name: str) -> DataFrame:
+    """``df`` with the number of rows of its alignment that follow each other by ``nth`` around each row."""
+    island = df.withColumn("_island", F.col(nth) - F.row_number().over(Window.partitionBy(*key).orderBy(nth)))
+    count = F.count("*").over(Window.partitionBy(*key, "_island"))
+    return island.withColumn(name, F.when(F.col(nth).isNotNull(), count)).drop("_island")
+
+
 def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, text_hash, item_id, n_windows, share, changed) for every leaked item of a document."""
     bench = materialize(item_windows(items), "items")
     sizes = sorted(r["size"] for r in bench.select("size").distinct().collect())   # at most WINDOW of them
     bits = hash_bitmap(bench, "hash", MAP_BITS)
     d = document_windows(docs, sizes, bits)
-    b = bench.select("hash", "item_id", F.col("at").alias("item_at"), "n_windows", F.col("slots").alias("item_slots"))
+    b = bench.select("hash", "item_id", F.col("at").alias("item_at"), "nth", "n_windows", F.col("slots").alias("item_slots"))
     matched = materialize(
         d.join(b, "hash").where(F.size("slots") == F.size("item_slots"))
-        .select("doc_id", "text_hash", "item_id", (F.col("at") - F.col("item_at")).alias("shift"), "item_at", "n_windows",
+        .select("doc_id", "text_hash", "item_id", (F.col("at") - F.col("item_at")).alias("shift"), "item_at", "nth", "n_windows",
                 F.arrays_zip("item_slots", "slots").alias("pairs")), "matched")
     key = ["doc_id", "text_hash", "item_id", "shift"]
     torn = (matched.select(*key, F.explode("pairs").alias("p"))
@@ -173,12 +182,14 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     same = F.lit(True)
     for c in key:
         same = same & F.col(c).eqNullSafe(F.col(f"t_{c}"))
-    return (matched.join(t, same, "left_anti")
+    kept = (matched.join(t, same, "left_anti")
             .withColumn("changed", F.exists("pairs", lambda p: p["item_slots"] != p["slots"]))
-            .groupBy("doc_id", "text_hash", "item_id")
-            .agg(F.countDistinct("item_at").alias("n_windows"), F.max("n_windows").alias("of"),
+            .groupBy(*key, "item_at").agg(F.max("nth").alias("nth"), F.max("n_windows").alias("of"), F.max("changed").alias("changed")))
+    return (_runs(kept, key, "nth", "run").groupBy("doc_id", "text_hash", "item_id")
+            .agg(F.countDistinct("item_at").alias("n_windows"), F.max("of").alias("of"), F.max("run").alias("run"),
                  F.max("changed").alias("changed"))
-            .withColumn("share", F.col("n_windows") / F.col("of")).where(F.col("share") >= MIN_SHARE).drop("of"))
+            .withColumn("share", F.col("n_windows") / F.col("of"))
+            .where((F.col("share") >= MIN_SHARE) | (F.col("run") >= MIN_RUN)).drop("of", "run"))
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
