@@ -238,6 +238,16 @@ def test_excerpts_of_long_items(spark):
     assert found(spark, [(1, LONG)], docs) == {(1, 1), (4, 1), (None, 1)}
 
 
+def test_copies_in_other_case_and_lines(spark):
+    item = "we all know that old John has nine grey cats in every small house"
+    names = "then John Mary Peter Paul Ruth Anna Mark met"       # too few words that are no names
+    km = "a ride of 12 km to the old town costs 5 % more this year"
+    docs = [(1, f"so {item}."), (2, f"so {item.lower()}."), (3, f"so {item.upper()}."), (4, "so " + item.replace(" ", "\n")),
+            (5, f"so {item.title()}."), (6, names.upper()), (7, km.replace(" ", "\n")), (8, km.replace("12 km", "30\nmiles").replace("5 %", "7\n%")),
+            (9, "we all know nine grey cats")]
+    assert found(spark, [(1, item), (2, names), (3, km)], docs) == {(i, 1) for i in range(1, 6)} | {(6, 2), (7, 3), (8, 3)}
+
+
 def test_units_and_names():
     doc, code, slot, words, at = templates.canonical(["He ran 5 km in Paris. Paris is 5 km wide"])
     seen = [words[i] for i in at]

@@ -2,21 +2,25 @@
 
 Numbers, units after a number and names (capitalised words inside a sentence)
 become typed placeholders, all other words are lower-cased. Windows of
-``WINDOW`` such tokens of benchmark items and documents are hash-joined. The
+``WINDOW`` such tokens of benchmark items and documents are hash-joined, and so
+are the same windows as plain lower-cased tokens: case and line breaks decide
+what becomes a placeholder, but not whether a copy is found. The
 windows of a document that match an item at the same shift are an alignment;
 an alignment in which one value of the item stands for two different values
 of the document is dropped, as its slots aren't a re-parameterisation. An item
 counts as leaked when its remaining windows reach ``MIN_SHARE`` of its usable
 ones, or when ``MIN_RUN`` usable windows in a row remain at one shift, so that
-an excerpt of a long item counts whatever its share.
+an excerpt of a long item counts whatever its share. Both are taken of the
+windows that are usable with placeholders, and of all.
 
 Documents' windows are tested against a bit map of fixed size that the
 benchmark's hashes set, so only few leave the reading task; the join decides.
 
 Defined results: null and empty texts have no windows. An item of fewer than
 ``WINDOW`` tokens is one window of its own length; windows of fewer than
-``MIN_LITERALS`` words that aren't placeholders are unusable, and an item
-without usable windows can't be found. Repeated rows get equal results; rows
+``MIN_LITERALS`` words that aren't placeholders are unusable with placeholders,
+those of fewer that aren't numbers also as plain tokens, and an item without
+usable windows can't be found. Repeated rows get equal results; rows
 are told apart by id and text hash, so ties of ids don't mix texts. Null item
 ids are dropped, null document ids kept. Empty tables give an empty table.
 Other columns are ignored, or passed on by ``drop_contaminated``.
@@ -64,7 +68,15 @@ def _kind(t: str) -> int:
 
 
 def canonical(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str], np.ndarray]:
-    """Tokens of all texts: document, hash, is-placeholder, raw vocabulary, vocabulary index."""
+    """Tokens of all texts: document, hash, is-placeholder, raw vocabulary, vocabulary index.
+
+    Which tokens there are depends neither on case nor on white space.
+    """
+    return _canonical(texts)[:5]
+
+
+def _canonical(texts: list[str | None]) -> tuple:
+    """As :func:`canonical`, and the hash as a plain token and is-number."""
     import xxhash
 
     vocab = Vocabulary()
@@ -84,13 +96,23 @@ def canonical(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     first = np.r_[True, doc[1:] != doc[:-1]] if len(doc) else np.zeros(0, bool)
     before = np.r_[_STOP, kind[:-1]] if len(doc) else kind
     is_number = kind == _NUMBER
-    is_unit = unit[at] & (before == _NUMBER) & ~first
+    is_unit = unit[at] & _after_number(doc, kind, at == vocab.get("\n", -1))
     is_name = (kind == _WORD) & capital[at] & (before != _STOP) & ~first & ~is_unit
     keep = (kind == _WORD) | is_number | is_unit
-    code = hashes[at]
+    plain = hashes[at]
+    code = plain.copy()
     code[is_number], code[is_unit], code[is_name] = _NUM, _UNIT, _NAME
     slot = is_number | is_unit | is_name
-    return doc[keep], code[keep], slot[keep], words, at[keep]
+    return doc[keep], code[keep], slot[keep], words, at[keep], plain[keep], is_number[keep]
+
+
+def _after_number(doc: np.ndarray, kind: np.ndarray, is_break: np.ndarray) -> np.ndarray:
+    """Whether the token before, line breaks aside, is a number of the same text."""
+    if not len(doc):
+        return np.zeros(0, bool)
+    text = np.maximum.accumulate(np.where(is_break, -1, np.arange(len(doc))))
+    last = np.r_[-1, text[:-1]]
+    return (last >= 0) & (kind[last] == _NUMBER) & (doc[last] == doc)
 
 
 def windows(doc: np.ndarray, code: np.ndarray, slot: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -113,21 +135,45 @@ def _signed(h: np.ndarray) -> np.ndarray:
 
 
 def item_windows(items: DataFrame) -> DataFrame:
-    """(hash, item_id, at, nth, n_windows, size, slots) of every usable window of an item, the ``nth`` of ``n_windows``."""
+    """(hash, item_id, at, nth, n_windows, nth_typed, n_typed, size, plain, slots) of every usable window of an item.
+
+    The window is the ``nth`` of ``n_windows``, and the ``nth_typed`` of
+    ``n_typed`` that are usable with placeholders, or null. One with
+    placeholders has two rows, one of them ``plain``; one without is plain.
+    """
     kind = items.schema["item_id"].dataType.simpleString()
 
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
         ids = batch.column("item_id").to_pylist()
         for item, text in zip(ids, batch.column("text").to_pylist()):
-            doc, code, slot, words, at = canonical([text])
+            doc, code, slot, words, at, plain, number = _canonical([text])
             size = min(WINDOW, len(code))
-            start, h = windows(doc, code, slot, size) if size >= MIN_LITERALS else (np.zeros(0, np.int64),) * 2
-            if len(start):
-                yield {"hash": _signed(h), "item_id": [item] * len(h), "at": start, "nth": np.arange(len(h)),
-                       "n_windows": [len(h)] * len(h), "size": [size] * len(h), "slots": _slots(start, size, slot, words, at)}
+            if size < MIN_LITERALS:
+                continue
+            start, h = windows(doc, plain, number, size)
+            typed, typed_h = windows(doc, code, slot, size)     # all of them are in start
+            if not len(start):
+                continue
+            own = np.searchsorted(typed, start)
+            held = np.isin(start, typed)
+            nth_typed = [int(k) if x else None for k, x in zip(own, held)]
+            two = np.flatnonzero(np.isin(typed, start[_has(slot, start, size)]))
+            nth = np.searchsorted(start, typed[two])
+            n, every = len(start) + len(two), np.r_[start, typed[two]]
+            yield {"hash": _signed(np.r_[h, typed_h[two]]), "item_id": [item] * n, "at": every,
+                   "nth": np.r_[np.arange(len(start)), nth], "n_windows": [len(start)] * n,
+                   "nth_typed": nth_typed + two.tolist(), "n_typed": [len(typed)] * n, "size": [size] * n,
+                   "plain": [True] * len(start) + [False] * len(two), "slots": _slots(every, size, slot, words, at)}
 
     return map_batches(items.select("item_id", "text").where("item_id IS NOT NULL AND text IS NOT NULL"), run,
-                       f"hash long, item_id {kind}, at long, nth long, n_windows long, size int, slots array<string>")
+                       f"hash long, item_id {kind}, at long, nth long, n_windows long, nth_typed long, n_typed long, size int, "
+                       "plain boolean, slots array<string>")
+
+
+def _has(slot: np.ndarray, start: np.ndarray, size: int) -> np.ndarray:
+    """Whether the windows from ``start`` hold a placeholder."""
+    slots = np.r_[0, np.cumsum(slot)]
+    return slots[start + size] > slots[start]
 
 
 def _slots(start: np.ndarray, size: int, slot: np.ndarray, words: list[str], at: np.ndarray) -> list[list[str]]:
@@ -135,15 +181,18 @@ def _slots(start: np.ndarray, size: int, slot: np.ndarray, words: list[str], at:
 
 
 def document_windows(docs: DataFrame, sizes: list[int], bits: np.ndarray) -> DataFrame:
-    """(doc_id, text_hash, hash, at, slots) of the windows whose bit is set."""
+    """(doc_id, text_hash, hash, at, slots) of the windows, in both forms, whose bit is set."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
         for first, texts in text_chunks(batch, "text", CHUNK_BYTES):
-            doc, code, slot, words, at = canonical(texts)
+            doc, code, slot, words, at, plain, number = _canonical(texts)
             before = np.searchsorted(doc, np.arange(len(texts)))
             for size in sizes:
-                start, h = windows(doc, code, slot, size)
+                start, h = windows(doc, plain, number, size)
+                typed, typed_h = windows(doc, code, slot, size)
+                two = _has(slot, typed, size)      # without a placeholder both forms are the same
+                start, h = np.r_[start, typed[two]], np.r_[h, typed_h[two]]
                 hit = np.flatnonzero(in_bitmap(bits, _signed(h)))
                 if len(hit):
                     start, h = start[hit], h[hit]
@@ -169,13 +218,15 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     sizes = sorted(r["size"] for r in bench.select("size").distinct().collect())   # at most WINDOW of them
     bits = hash_bitmap(bench, "hash", MAP_BITS)
     d = document_windows(docs, sizes, bits)
-    b = bench.select("hash", "item_id", F.col("at").alias("item_at"), "nth", "n_windows", F.col("slots").alias("item_slots"))
+    b = bench.select("hash", "item_id", F.col("at").alias("item_at"), "nth", "n_windows", "nth_typed", "n_typed", "plain",
+                     F.col("slots").alias("item_slots"))
+    slots = F.when(F.col("plain"), F.col("item_slots")).otherwise(F.col("slots"))   # equal tokens have equal slots
     matched = materialize(
-        d.join(b, "hash").where(F.size("slots") == F.size("item_slots"))
+        d.join(b, "hash").withColumn("slots", slots).where(F.size("slots") == F.size("item_slots"))
         .select("doc_id", "text_hash", "item_id", (F.col("at") - F.col("item_at")).alias("shift"), "item_at", "nth", "n_windows",
-                F.arrays_zip("item_slots", "slots").alias("pairs")), "matched")
+                "nth_typed", "n_typed", "plain", F.arrays_zip("item_slots", "slots").alias("pairs")), "matched")
     key = ["doc_id", "text_hash", "item_id", "shift"]
-    torn = (matched.select(*key, F.explode("pairs").alias("p"))
+    torn = (matched.where("NOT plain").select(*key, F.explode("pairs").alias("p"))
             .groupBy(*key, F.col("p.item_slots").alias("value")).agg(F.min("p.slots").alias("lo"), F.max("p.slots").alias("hi"))
             .where("lo <> hi").select(*key).distinct())
     t = torn.select(*[F.col(c).alias(f"t_{c}") for c in key])
@@ -184,12 +235,16 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
         same = same & F.col(c).eqNullSafe(F.col(f"t_{c}"))
     kept = (matched.join(t, same, "left_anti")
             .withColumn("changed", F.exists("pairs", lambda p: p["item_slots"] != p["slots"]))
-            .groupBy(*key, "item_at").agg(F.max("nth").alias("nth"), F.max("n_windows").alias("of"), F.max("changed").alias("changed")))
-    return (_runs(kept, key, "nth", "run").groupBy("doc_id", "text_hash", "item_id")
-            .agg(F.countDistinct("item_at").alias("n_windows"), F.max("of").alias("of"), F.max("run").alias("run"),
+            .groupBy(*key, "item_at", "nth", "n_windows", "nth_typed", "n_typed").agg(F.max("changed").alias("changed")))
+    kept = _runs(_runs(kept, key, "nth", "run"), key, "nth_typed", "typed_run")
+    typed = F.countDistinct(F.when(F.col("nth_typed").isNotNull(), F.col("item_at")))
+    every = F.countDistinct("item_at")
+    share = F.greatest(F.try_divide(typed, F.max("n_typed")), every / F.max("n_windows"))
+    return (kept.groupBy("doc_id", "text_hash", "item_id")
+            .agg(every.alias("n_windows"), share.alias("share"), F.greatest(F.max("run"), F.max("typed_run")).alias("run"),
                  F.max("changed").alias("changed"))
-            .withColumn("share", F.col("n_windows") / F.col("of"))
-            .where((F.col("share") >= MIN_SHARE) | (F.col("run") >= MIN_RUN)).drop("of", "run"))
+            .where((F.col("share") >= MIN_SHARE) | (F.col("run") >= MIN_RUN))
+            .select("doc_id", "text_hash", "item_id", "n_windows", "changed", "share"))
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
