@@ -248,6 +248,18 @@ def test_copies_in_other_case_and_lines(spark):
     assert found(spark, [(1, item), (2, names), (3, km)], docs) == {(i, 1) for i in range(1, 6)} | {(6, 2), (7, 3), (8, 3)}
 
 
+def test_one_contradicted_value_leaves_the_other_windows(spark):
+    words = LONG.split()
+    twice = " ".join([*words[:20], "12", *words[20:50], "12", *words[50:60]])
+    often = " ".join(w if i % 7 else "12" for i, w in enumerate(words))          # every window holds 12
+    short = "they ate 2 red apples and 2 green pears on the way home"
+    one = lambda t, a, b: b.join(t.rsplit(a, 1))
+    docs = [(1, "so " + one(twice, "12", "15")), (2, "so " + one(often, "12", "15")),
+            (3, "so " + twice.replace("12", "15", 1).replace(" 12", " 16")), (4, "so " + one(short.replace("2", "3"), "3", "4")),
+            (None, "so " + one(twice, "12", "15"))]
+    assert found(spark, [(1, twice), (2, often), (3, short)], docs) == {(1, 1), (2, 2), (3, 1), (None, 1)}
+
+
 def test_units_and_names():
     doc, code, slot, words, at = templates.canonical(["He ran 5 km in Paris. Paris is 5 km wide"])
     seen = [words[i] for i in at]

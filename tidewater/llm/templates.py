@@ -5,9 +5,10 @@ become typed placeholders, all other words are lower-cased. Windows of
 ``WINDOW`` such tokens of benchmark items and documents are hash-joined, and so
 are the same windows as plain lower-cased tokens: case and line breaks decide
 what becomes a placeholder, but not whether a copy is found. The
-windows of a document that match an item at the same shift are an alignment;
-an alignment in which one value of the item stands for two different values
-of the document is dropped, as its slots aren't a re-parameterisation. An item
+windows of a document that match an item at the same shift are an alignment.
+Where one value of the item stands for two different values of the document,
+its slots aren't a re-parameterisation: the alignment loses the windows that
+hold that value, save those in runs of ``VERBATIM_RUN`` verbatim windows. An item
 counts as leaked when its remaining windows reach ``MIN_SHARE`` of its usable
 ones, or when ``MIN_RUN`` usable windows in a row remain at one shift, so that
 an excerpt of a long item counts whatever its share. Both are taken of the
@@ -42,6 +43,7 @@ WINDOW = 8
 MIN_LITERALS = 3
 MIN_SHARE = 0.5
 MIN_RUN = 6   # windows in a row at one shift: 13 tokens where all are usable
+VERBATIM_RUN = 11   # verbatim windows in a row that count although they hold a contradicted value
 CHUNK_BYTES = 1_500_000
 MAP_BITS = 1 << 22
 
@@ -228,14 +230,19 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     key = ["doc_id", "text_hash", "item_id", "shift"]
     torn = (matched.where("NOT plain").select(*key, F.explode("pairs").alias("p"))
             .groupBy(*key, F.col("p.item_slots").alias("value")).agg(F.min("p.slots").alias("lo"), F.max("p.slots").alias("hi"))
-            .where("lo <> hi").select(*key).distinct())
-    t = torn.select(*[F.col(c).alias(f"t_{c}") for c in key])
+            .where("lo <> hi").groupBy(*key).agg(F.collect_list("value").alias("torn")))   # values of one item
+    t = torn.select(*[F.col(c).alias(f"t_{c}") for c in key], "torn")
     same = F.lit(True)
     for c in key:
         same = same & F.col(c).eqNullSafe(F.col(f"t_{c}"))
-    kept = (matched.join(t, same, "left_anti")
+    held = F.coalesce(F.arrays_overlap(F.col("pairs.item_slots"), F.col("torn")), F.lit(False))
+    each = (matched.join(t, same, "left").withColumn("held", held)
             .withColumn("changed", F.exists("pairs", lambda p: p["item_slots"] != p["slots"]))
-            .groupBy(*key, "item_at", "nth", "n_windows", "nth_typed", "n_typed").agg(F.max("changed").alias("changed")))
+            .groupBy(*key, "item_at", "nth", "n_windows", "nth_typed", "n_typed")
+            .agg(F.max("changed").alias("changed"), F.max("held").alias("held"))
+            .withColumn("nth_verbatim", F.when(~F.col("changed"), F.col("nth"))))
+    kept = (_runs(each, key, "nth_verbatim", "verbatim")
+            .where(~F.col("held") | F.coalesce(F.col("verbatim") >= VERBATIM_RUN, F.lit(False))))
     kept = _runs(_runs(kept, key, "nth", "run"), key, "nth_typed", "typed_run")
     typed = F.countDistinct(F.when(F.col("nth_typed").isNotNull(), F.col("item_at")))
     every = F.countDistinct("item_at")
