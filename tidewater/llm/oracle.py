@@ -87,6 +87,33 @@ SELECT w.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(other) AS compon
 FROM w JOIN r USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY w.doc_id
 """
 
+_WORDS = r"regexp_extract_all(t, '[^\x20\x09-\x0D]+')"
+OP11_SQL = rf"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, {_WORDS} AS w, min(doc_id) OVER (PARTITION BY t) AS lo FROM d),
+f AS (SELECT doc_id, part, len(w) < 100 AS a, 100 * len(list_distinct(w)) < 80 * len(w) AS b,
+             100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) AS c,
+             regexp_matches(t, '[#$%&*|]') AS d, coalesce(doc_id > lo, false) AS e FROM w),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+n AS (SELECT part, [a, b, c, d, e] AS fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+      FROM f LEFT JOIN l USING (doc_id) GROUP BY part, [a, b, c, d, e]),
+k(k) AS (VALUES (1), (2), (3), (4), (5)),
+o AS (SELECT [p.k, q.k, r.k, s.k, 15 - p.k - q.k - r.k - s.k] AS o FROM k p, k q, k r, k s
+      WHERE len(list_distinct([p.k, q.k, r.k, s.k])) = 4),
+x AS (SELECT part, o, k AS step, fails, n, good, toxic, fails[o[k]] AS here,
+             len(list_filter(o[1:k - 1], lambda i: fails[i])) > 0 AS gone,
+             len(list_filter(fails, lambda i: i)) AS n_fails FROM n, o, k),
+r AS (SELECT part, o, step, coalesce(sum(n) FILTER (NOT here AND NOT gone), 0) AS kept, coalesce(sum(n) FILTER (here AND NOT gone), 0) AS removed,
+             coalesce(sum(n) FILTER (here AND gone), 0) AS redundant, coalesce(sum(n) FILTER (here AND n_fails = 1), 0) AS unique_fails,
+             coalesce(sum(good) FILTER (here AND NOT gone), 0) AS good_lost, coalesce(sum(toxic) FILTER (here AND NOT gone), 0) AS toxic_lost
+      FROM x GROUP BY part, o, step)
+SELECT part, array_to_string(list_transform(o, lambda i: chr(64 + i)), '') AS filter_order, step, chr(64 + o[step]) AS filter,
+       kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails,
+       good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, o[step]))::BIGINT AS shapley
+FROM r
+"""
+
 ORACLE = {
     "op2_merged_repeats": OP2_SQL,
     "op3_feistel_shards": OP3_SQL,
@@ -94,4 +121,5 @@ ORACLE = {
     "op5_license_join": OP5_SQL,
     "op9_vertical_jaccard": OP9_SQL,
     "op10_snapshot_chats": OP10_SQL,
+    "op11_filter_audit": OP11_SQL,
 }

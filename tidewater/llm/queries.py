@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidewater.llm.filter_audit import op11_filter_audit
 from tidewater.llm.licenses import op5_license_join
 from tidewater.llm.ngram_join import op9_vertical_jaccard
 from tidewater.llm.oracle import ORACLE
@@ -27,4 +28,5 @@ QUERIES = {
     "op8_pattern_packing": op8_pattern_packing,
     "op9_vertical_jaccard": op9_vertical_jaccard,
     "op10_snapshot_chats": op10_snapshot_chats,
+    "op11_filter_audit": op11_filter_audit,
 }
