@@ -114,6 +114,29 @@ SELECT part, array_to_string(list_transform(o, lambda i: chr(64 + i)), '') AS fi
 FROM r
 """
 
+# checksums of all distinct (document, run) pairs; edits meet in words with one place deleted or left open
+OP12_SQL = rf"""
+WITH RECURSIVE {_CRC.split("d AS")[0].strip().rstrip(",")},
+r AS (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents),
+g AS (SELECT doc_id, run, count(*) AS n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS h FROM r GROUP BY doc_id, run),
+c AS (SELECT run, n, xor(list_reduce(
+        list_transform(range(0, CAST(len(h) / 2 AS BIGINT)), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT)),
+        lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) AS crc FROM g, t),
+w AS (SELECT CASE WHEN crc % 97 = 0 THEN left(run, crc % length(run)) || substr(run, crc % length(run) + 2) ELSE run END AS word, n FROM c),
+v AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM w WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+e AS (SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS cut, left(word, i - 1) || '*' || substr(word, i + 1) AS open
+      FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+p AS (SELECT e.word AS a, e.n AS an, v.word AS b, v.n AS bn FROM e JOIN v ON e.cut = v.word
+      UNION SELECT x.word, x.n, y.word, y.n FROM e x JOIN e y ON x.open = y.open AND x.word < y.word),
+q AS (SELECT a AS word, an AS n, b AS other, bn AS other_n FROM p UNION ALL SELECT b, bn, a, an FROM p),
+b AS (SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS other, max(other_n) AS other_n FROM q GROUP BY word),
+f AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * n THEN other END AS form,
+             CASE WHEN other_n >= 2 * n THEN other_n END AS form_n FROM v LEFT JOIN b USING (word)),
+k AS (SELECT word, word AS at, form AS further FROM f
+      UNION ALL SELECT k.word, f.word, f.form FROM k JOIN f ON f.word = k.further)
+SELECT f.word, form, k.at AS root, n, n_near, form_n FROM f JOIN k ON k.word = f.word AND k.further IS NULL
+"""
+
 ORACLE = {
     "op2_merged_repeats": OP2_SQL,
     "op3_feistel_shards": OP3_SQL,
@@ -122,4 +145,5 @@ ORACLE = {
     "op9_vertical_jaccard": OP9_SQL,
     "op10_snapshot_chats": OP10_SQL,
     "op11_filter_audit": OP11_SQL,
+    "op12_spelling_groups": OP12_SQL,
 }

@@ -12,6 +12,7 @@ from tidewater.llm.repeats import op2_merged_repeats
 from tidewater.llm.repetition import op7_repetition_rules
 from tidewater.llm.sharding import op3_feistel_shards
 from tidewater.llm.snapshots import op10_snapshot_chats
+from tidewater.llm.spelling import op12_spelling_groups
 from tidewater.llm.templates import op6_template_leaks
 from tidewater.llm.warc import op4_splittable_warc
 
@@ -29,4 +30,5 @@ QUERIES = {
     "op9_vertical_jaccard": op9_vertical_jaccard,
     "op10_snapshot_chats": op10_snapshot_chats,
     "op11_filter_audit": op11_filter_audit,
+    "op12_spelling_groups": op12_spelling_groups,
 }
