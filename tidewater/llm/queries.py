@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidewater.llm.byte_bpe import op13_bpe_transducer
 from tidewater.llm.filter_audit import op11_filter_audit
 from tidewater.llm.licenses import op5_license_join
 from tidewater.llm.ngram_join import op9_vertical_jaccard
@@ -31,4 +32,5 @@ QUERIES = {
     "op10_snapshot_chats": op10_snapshot_chats,
     "op11_filter_audit": op11_filter_audit,
     "op12_spelling_groups": op12_spelling_groups,
+    "op13_bpe_transducer": op13_bpe_transducer,
 }
