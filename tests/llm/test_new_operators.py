@@ -193,21 +193,21 @@ def test_transducer_equals_the_library(library):
     pools = ["abcdefgh  '\n\t", "aab b", "éüß 日本語\U0001f600\U0001f44d‍", "0123,;-_ ", "the ing er tion  ", "\x00\x7f̀ a"]
     texts = ["".join(rng.choice(p) for _ in range(rng.randint(0, 80))) for p in pools * 300]
     texts += ["a" * 30_000, "日本" * 5_000, " " * 9_000, "'s" * 50]
-    for t in texts:
-        assert ours.encode(t) == packed(enc.encode_ordinary(t))
+    assert ours.encode(texts) == [packed(enc.encode_ordinary(t)) for t in texts]
+    assert ours.encode(["", None, texts[0]]) == [b"", b"", packed(enc.encode_ordinary(texts[0]))]
     tokens = list(ranks)
-    for _ in range(3000):
-        piece = b"".join(rng.choice(tokens) for _ in range(rng.randint(1, 6)))
-        assert ours._transducer.encode_piece(piece) == packed(enc._encode_single_piece(piece))
+    pieces = [b"".join(rng.choice(tokens) for _ in range(rng.randint(1, 6))) for _ in range(3000)]
+    assert ours._transducer.encode_pieces(pieces) == [packed(enc._encode_single_piece(p)) for p in pieces]
 
 
 def test_few_states_change_nothing(library):
     ranks, enc = library
-    small, rng = byte_bpe.Transducer(ranks, max_states=40), random.Random(14)
-    for _ in range(400):
-        piece = "".join(rng.choice("thenarios é日") for _ in range(rng.randint(1, 40))).encode()
-        assert small.encode_piece(piece) == packed(enc._encode_single_piece(piece))
-    assert len(small._states) <= 42
+    small, rng = byte_bpe.Encoder(ranks, byte_bpe.piece_pattern(), max_states=40), random.Random(14)
+    for _ in range(60):
+        texts = ["".join(rng.choice("thenarios é日") for _ in range(rng.randint(1, 60))) for _ in range(5)]
+        texts.append("".join(rng.choice("thenario") for _ in range(rng.choice([1, 2000]))))
+        assert small.encode(texts) == [packed(enc.encode_ordinary(t)) for t in texts]
+        assert len(small._transducer._states) <= 40
 
 
 def test_a_token_that_the_merges_dont_reach_stands_for_its_whole_piece():
@@ -215,8 +215,9 @@ def test_a_token_that_the_merges_dont_reach_stands_for_its_whole_piece():
     enc = tiktoken.Encoding("own", pat_str=r"\S+|\s", mergeable_ranks=ranks, special_tokens={})
     ours = byte_bpe.Encoder(ranks, r"\S+|\s")
     rng = random.Random(15)
-    for t in ["abc", "abcd", "abcdab", "xbc", "xabc"] + ["".join(rng.choice("abcdx ") for _ in range(rng.randint(1, 12))) for _ in range(2000)]:
-        assert ours.encode(t) == packed(enc.encode_ordinary(t)), t
+    texts = ["abc", "abcd", "abcdab", "xbc", "xabc"] + ["".join(rng.choice("abcdx ") for _ in range(rng.randint(1, 12))) for _ in range(2000)]
+    for t, ids in zip(texts, ours.encode(texts)):
+        assert ids == packed(enc.encode_ordinary(t)), t
 
 
 def test_decoding_in_any_cut(library):

@@ -34,13 +34,19 @@ from pyspark.sql import functions as F
 from tidewater.llm.common import arrow_schema, table, text_chunks
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
-MAX_STATES = 150_000       # of the determinised transducer, per worker
-MAX_PIECES = 300_000       # pieces of text whose ids a worker remembers
+MAX_STATES = 300_000       # of the determinised transducer, per worker
+MAX_PIECES = 400_000       # pieces of text whose ids a worker remembers
 MAX_PIECE_CHARS = 48       # longer pieces aren't remembered
-CHUNK_BYTES = 4 << 20      # text that a task holds beside its batch
+BATCH_PIECES = 20_000      # pieces that go through the transducer together
+LONG_PIECE = 1024          # longer pieces go by themselves
+CHUNK_BYTES = 2 << 20      # text that a task holds beside its batch
 DECODE_IDS = 1 << 16       # ids that the streaming decoder takes at a time
 NO_RANK = 1 << 60
-MAX_SHARED = 1 << 30
+BITS = 24                  # of a place in the trie
+PLACE = (1 << BITS) - 1
+GONE = -1
+LOOK = 32                  # longer tokens that are tried before one is taken to go on
+MAX_NEIGHBOURS = 1_000_000 # pairs of tokens that a worker remembers when states are dropped
 
 
 def ranks_path(name: str = RANKS) -> str:
@@ -121,163 +127,342 @@ class Merges:
 
 # -- the transducer ---------------------------------------------------------
 
+def _places(member: int) -> list[int]:
+    """The tokens of a member that are not yet put out, then its place."""
+    out = [member & PLACE]
+    while member := member >> BITS:
+        out.append(member & PLACE)
+    return out[::-1]
+
+
+class Transitions:
+    """A hash table in arrays: (state << 8 | byte) -> (next state, ids that come out), looked up for many at once."""
+
+    def __init__(self, keys: np.ndarray, to: np.ndarray, out: np.ndarray, slots: int = 1 << 12) -> None:
+        while slots < 4 * len(keys):
+            slots *= 2
+        self._keys = np.full(slots, -1, np.int64)
+        self._to, self._out = np.zeros(slots, np.int32), np.zeros(slots, np.int32)
+        self.size = 0
+        self.add(keys, to, out)
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        """The slot of every key, or the empty one where it belongs."""
+        last = len(self._keys) - 1
+        at = (keys * np.int64(0x9E3779B97F4A7C1) >> np.int64(20)) & last
+        todo = np.flatnonzero((self._keys[at] != keys) & (self._keys[at] != -1))
+        while len(todo):
+            at[todo] = (at[todo] + 1) & last
+            held = self._keys[at[todo]]
+            todo = todo[(held != keys[todo]) & (held != -1)]
+        return at
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(found, next states, numbers of the ids)"""
+        at = self._place(keys)
+        return self._keys[at] == keys, self._to[at], self._out[at]
+
+    def add(self, keys: np.ndarray, to: np.ndarray, out: np.ndarray) -> None:
+        """Add keys that are all different and not there yet."""
+        if 2 * (self.size + len(keys)) > len(self._keys):
+            old = self.all()
+            self.__init__(*old, slots=4 * len(self._keys))
+        left = np.arange(len(keys))
+        while len(left):
+            at = self._place(keys[left])
+            self._keys[at] = keys[left]            # of two for one slot the later one stays
+            won = self._keys[at] == keys[left]
+            self._to[at[won]], self._out[at[won]] = to[left[won]], out[left[won]]
+            left = left[~won]
+        self.size += len(keys)
+
+    def all(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        at = np.flatnonzero(self._keys != -1)
+        return self._keys[at], self._to[at], self._out[at]
+
+
 class Transducer:
     """Encodes pieces byte by byte; ids come out as little-endian unsigned 32-bit integers.
 
-    A state is (members, last, plain): ``members`` are (tokens not yet put out,
-    place in the trie), the member at the end of a token first; ``last`` is the
-    last token put out, and ``plain`` the place of the whole piece so far, while
-    there is one. A token is named by its place; 0 is none. States have numbers,
-    and all tables hold numbers and bytes only, which spares the garbage
-    collector.
+    A token is named by its place in the trie, 0 is none. A member is one
+    integer: the places of its tokens not yet put out and then its place in the
+    trie, ``BITS`` bits each. A state is its members, the one at the end of a
+    token first, then the last token put out and the place of the whole piece so
+    far (``GONE`` where there is none). Many pieces go through the machine
+    together, a byte of each at a time, and the transitions that they miss are
+    made once.
     """
 
     def __init__(self, ranks: dict[bytes, int], max_states: int = MAX_STATES) -> None:
         self.merges = Merges(ranks)
         self.max_states = max_states
-        # the trie: (place << 8 | byte) -> place; its places' tokens and their ids, and whether tokens go on below
+        # the trie: (place << 8 | byte) -> place; its places' tokens, ids and next bytes
         self._down: dict[int, int] = {}
         self._token: list[bytes | None] = [None]
-        self._goes_on: list[bool] = [False]
+        self._bytes: list[bytes] = [b""]
         for token in ranks:
             place = 0
             for b in token:
-                self._goes_on[place] = True
                 to = self._down.get(place << 8 | b)
                 if to is None:
                     to = self._down[place << 8 | b] = len(self._token)
                     self._token.append(None)
-                    self._goes_on.append(False)
+                    self._bytes.append(b"")
+                    self._bytes[place] += bytes([b])
                 place = to
             self._token[place] = token
+        if len(self._token) > PLACE:
+            raise ValueError(f"more than {PLACE} places in the trie of tokens")
         self._packed = [b"" if t is None else np.uint32(ranks[t]).tobytes() for t in self._token]
-        self._beside: dict[int, bool] = {}
-        self._numbers: dict[tuple, int] = {}        # state -> its number
-        self._states: dict[int, tuple] = {}         # and back
-        self._next: dict[int, int] = {}             # (state << 8 | byte) -> next state << 1 | whether ids come out
-        self._out: dict[int, bytes] = {}            # (state << 8 | byte) -> these ids
-        self._end: dict[int, bytes] = {}            # state -> ids where the piece ends
-        self._used: set[int] = set()                # states that a piece came through after the one that made them
-        self._last_number = 0
-        self.start = self._number(((((), 0),), 0, 0))
+        self._beside: dict[int, bool] = {}          # two tokens -> whether they may stand side by side
+        self._below: dict[int, list[int]] = {}      # place -> tokens below it
+        self._goes_on: dict[int, bool] = {}         # token, place below -> whether a longer token may follow it
+        self._outs: dict[bytes, int] = {b"": 0}     # ids that come out together -> their number
+        self._out_list: list[bytes] = [b""]
+        none = np.zeros(0, np.int64)
+        self._keep([(0, 0, 0)], np.zeros(1, np.int32), Transitions(none, none, none))
+
+    def _keep(self, states: list[tuple], ends: np.ndarray, transitions: Transitions) -> None:
+        """Start with these states, numbered from 0."""
+        self._states, self._numbers = states, {s: n for n, s in enumerate(states)}
+        self._used = np.zeros(len(states), bool)    # whether a piece came through after the one that made them
+        self._ends = ends                           # number of the ids where a piece ends
+        self._transitions = transitions
 
     def _number(self, state: tuple) -> int:
         n = self._numbers.get(state)
         if n is None:
-            n = self._last_number = self._last_number + 1
-            self._numbers[state], self._states[n] = n, state
-        else:
-            self._used.add(n)
+            n = self._numbers[state] = len(self._states)
+            self._states.append(state)
+        elif n < len(self._used):
+            self._used[n] = True
+        return n
+
+    def _out_number(self, ids: bytes) -> int:
+        n = self._outs.get(ids)
+        if n is None:
+            n = self._outs[ids] = len(self._out_list)
+            self._out_list.append(ids)
         return n
 
     def _may_follow(self, left: int, right: int) -> bool:
         """Whether the token at ``right`` may come after the one at ``left`` (0: at the start)."""
-        token = self._token[right]
-        ok = self.merges.reached(token) and (not left or self.merges.beside(self._token[left], token))
-        self._beside[left << 32 | right] = ok
+        ok = self._beside.get(left << BITS | right)
+        if ok is None:
+            token = self._token[right]
+            ok = self.merges.reached(token) and (not left or self.merges.beside(self._token[left], token))
+            self._beside[left << BITS | right] = ok
         return ok
 
-    def _step(self, number: int, byte: int) -> int:
-        """Make a transition: the next state, with the ids that are certain now."""
-        down, tokens, goes_on, beside = self._down.get, self._token, self._goes_on, self._beside.get
-        old, last, plain = self._states[number]
-        members, ended, shared = [], None, MAX_SHARED
-        for pending, place in old:
-            to = down(place << 8 | byte)
+    def _tokens_below(self, place: int) -> list[int]:
+        """Places of tokens below ``place``, the shorter ones first; more than ``LOOK`` are not all listed."""
+        found, todo = [], [place]
+        for at in todo:
+            for b in self._bytes[at]:
+                to = self._down[at << 8 | b]
+                todo.append(to)
+                if self._token[to] is not None:
+                    found.append(to)
+            if len(found) > LOOK:
+                break
+        self._below[place] = found
+        return found
+
+    def _may_go_on(self, left: int, place: int) -> bool:
+        """Whether some token below ``place`` may come after ``left``; yes where it has more than ``LOOK`` to try."""
+        tokens = self._below.get(place)
+        if tokens is None:
+            tokens = self._tokens_below(place)
+        ok = len(tokens) > LOOK
+        if not ok:
+            known, pair = self._beside.get, left << BITS
+            for to in tokens:
+                ok = known(pair | to)
+                if ok is None:
+                    ok = self._may_follow(left, to)
+                if ok:
+                    break
+        self._goes_on[left << BITS | place] = ok = bool(ok)
+        return ok
+
+    def _step(self, number: int, byte: int) -> tuple[int, int]:
+        """Make a transition: the next state, and the number of the ids that are certain now."""
+        down, tokens, goes_on, beside = self._down.get, self._token, self._goes_on.get, self._beside.get
+        *old, last, plain = self._states[number]
+        members, ended, differ = [0], 0, False
+        for member in old:
+            to = down((member & PLACE) << 8 | byte)
             if to is None:
                 continue
-            if ended is None and tokens[to] is not None:
-                left = pending[-1] if pending else last
-                ok = beside(left << 32 | to)
+            pending = member >> BITS
+            left = (pending & PLACE) or last
+            pair = left << BITS | to
+            if not ended and tokens[to] is not None:
+                ok = beside(pair)
                 if ok or (ok is None and self._may_follow(left, to)):
-                    ended = (*pending, to)
-            if goes_on[to]:
-                members.append((pending, to))
-                if len(pending) < shared:
-                    shared = len(pending)
-        if ended is None:
+                    ended = pending << BITS | to
+            on = goes_on(pair)
+            if on or (on is None and self._may_go_on(left, to)):
+                members.append(pending << BITS | to)
+                differ = differ or not pending
+        if not ended:
             raise ValueError("the ranks lack a byte or aren't those of byte-level BPE")
-        shared = min(shared, len(ended))
-        for pending, _ in members:
-            while pending[:shared] != ended[:shared]:
-                shared -= 1
-        members.insert(0, (ended, 0))
-        if shared:
-            last = ended[shared - 1]
-            members = [(p[shared:], place) for p, place in members]
-            self._out[number << 8 | byte] = b"".join([self._packed[t] for t in ended[:shared]])
-        if plain is not None:
-            plain = down(plain << 8 | byte)
-        step = self._next[number << 8 | byte] = self._number((tuple(members), last, plain)) << 1 | (shared > 0)
-        return step
-
-    def _ends(self, number: int) -> bytes:
-        """The ids still to come where the piece ends here."""
-        pending = self._states[number][0][0][0]
-        out = self._end[number] = b"".join([self._packed[t] for t in pending])
+        members[0] = ended << BITS
+        out = b""
+        if not differ:
+            out, members, last = self._put_out(members, last)
+        plain = down(plain << 8 | byte, GONE) if plain != GONE else GONE
+        return self._number((*members, last, plain)), self._out_number(out)
+
+    def _put_out(self, members: list[int], last: int) -> tuple[bytes, list[int], int]:
+        """The ids of the tokens that all members share, the members without them, and the last token then."""
+        out = b""
+        sizes = [(m.bit_length() - 1) // BITS * BITS for m in members]    # bits below a member's first token
+        while min(sizes) > 0:
+            first = members[0] >> sizes[0]
+            for m, k in zip(members, sizes):
+                if m >> k != first:
+                    return out, members, last
+            out, last = out + self._packed[first], first
+            # what follows a first token that went out is the next one, or the place alone
+            members = [m & (1 << k) - 1 for m, k in zip(members, sizes)]
+            sizes = [k - BITS for k in sizes]
+        return out, members, last
+
+    def _through(self, states: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the states get by one byte each, and the numbers of the ids that come out."""
+        keys = states << 8 | data
+        found, to, out = self._transitions.find(keys)
+        self._used[to[found]] = True
+        if not found.all():
+            new = np.unique(keys[~found])
+            made = np.array([self._step(k >> 8, k & 255) for k in new.tolist()], np.int32)
+            self._transitions.add(new, made[:, 0], made[:, 1])
+            grown = len(self._states) - len(self._used)
+            self._used = np.r_[self._used, np.zeros(grown, bool)]
+            self._ends = np.r_[self._ends, np.full(grown, -1, np.int32)]
+            _, to, out = self._transitions.find(keys)
+        return to.astype(np.int64), out
+
+    def _end_numbers(self, states: np.ndarray) -> np.ndarray:
+        """The numbers of the ids still to come where pieces end in these states."""
+        for n in np.unique(states[self._ends[states] < 0]).tolist():
+            self._ends[n] = self._out_number(b"".join([self._packed[t] for t in _places(self._states[n][0])[:-1]]))
+        return self._ends[states]
+
+    def encode_pieces(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of every piece, none of which may be empty."""
+        out: list[bytes] = [b""] * len(pieces)
+        short = [i for i, p in enumerate(pieces) if len(p) <= LONG_PIECE]
+        for a in range(0, len(short), BATCH_PIECES):
+            part = short[a:a + BATCH_PIECES]
+            for i, ids in zip(part, self._encode([pieces[i] for i in part])):
+                out[i] = ids
+            if len(self._states) > self.max_states:
+                self._sweep(0)
+        for i, p in enumerate(pieces):
+            if len(p) > LONG_PIECE:
+                out[i] = self._encode_long(p)
         return out
 
-    def encode_piece(self, piece: bytes) -> bytes:
-        known, used, state, out = self._next.get, self._used.add, self.start, []
+    def _encode_long(self, piece: bytes) -> bytes:
+        """One piece by itself; ``known`` are the transitions that it has gone through."""
+        state, known, outs = 0, {}, []
         for byte in piece:
-            step = known(state << 8 | byte)
+            step = known.get(state << 8 | byte)
             if step is None:
-                if len(self._states) > self.max_states:
-                    self._sweep(state)
-                    known, used = self._next.get, self._used.add
-                step = self._step(state, byte)
-            else:
-                used(step >> 1)
-            if step & 1:
-                out.append(self._out[state << 8 | byte])
-            state = step >> 1
-        # a piece that is a token is that token, also where the merges don't reach it
-        plain = self._states[state][2]
-        if plain and self._token[plain] is not None:
-            return self._packed[plain]
-        out.append(self._end.get(state) or self._ends(state))
-        return b"".join(out)
-
-    def _sweep(self, current: int) -> None:
-        """Drop the states that weren't used again, or all but two where most were; and the known neighbours."""
-        keep = self._used | {self.start, current}
-        if len(keep) > self.max_states // 4 * 3:
-            keep, self._next, self._out = {self.start, current}, {}, {}
-        self._states = {n: s for n, s in self._states.items() if n in keep}
-        self._numbers = {s: n for n, s in self._states.items()}
-        self._next = {k: to for k, to in self._next.items() if k >> 8 in keep and to >> 1 in keep}
-        self._out = {k: ids for k, ids in self._out.items() if k in self._next}
-        self._end = {n: ids for n, ids in self._end.items() if n in keep}
-        self._used = set()
-        self._beside.clear()
+                if len(self._states) > self.max_states or len(known) > self.max_states:
+                    state, known = self._sweep(state), {}
+                to, out = self._through(np.array([state]), np.array([byte]))
+                step = known[state << 8 | byte] = (int(to[0]), self._out_list[out[0]])
+            if step[1]:
+                outs.append(step[1])
+            state = step[0]
+        if (whole := self._whole(state)) is not None:
+            return whole
+        return b"".join(outs) + self._out_list[self._end_numbers(np.array([state]))[0]]
+
+    def _whole(self, state: int) -> bytes | None:
+        """The id of the whole piece where it is a token: it stands for the piece, also where the merges don't reach it."""
+        plain = self._states[state][-1]
+        return self._packed[plain] if plain != GONE and self._token[plain] is not None else None
+
+    def _encode(self, pieces: list[bytes]) -> list[bytes]:
+        sizes = np.array([len(p) for p in pieces])
+        order = np.argsort(-sizes, kind="stable")
+        ordered = sizes[order]
+        starts = (np.cumsum(sizes) - sizes)[order]
+        data = np.frombuffer(b"".join(pieces), np.uint8)
+        states = np.zeros(len(pieces), np.int64)
+        who, what = [], []
+        for at in range(int(ordered[0])):
+            m = int(np.searchsorted(-ordered, -at, "left"))    # pieces longer than ``at``
+            states[:m], out = self._through(states[:m], data[starts[:m] + at])
+            some = np.flatnonzero(out)
+            who.append(some)
+            what.append(out[some])
+        who.append(np.arange(len(pieces)))
+        what.append(self._end_numbers(states))
+        by_piece, outs = np.concatenate(who), np.concatenate(what)
+        rank = np.argsort(order[by_piece], kind="stable")
+        bounds = np.r_[0, np.cumsum(np.bincount(order[by_piece], minlength=len(pieces)))].tolist()
+        ids, known = outs[rank].tolist(), self._out_list
+        result = [b"".join([known[i] for i in ids[a:b]]) for a, b in zip(bounds, bounds[1:])]
+        for i, n in zip(order.tolist(), states.tolist()):
+            if (whole := self._whole(n)) is not None:
+                result[i] = whole
+        return result
+
+    def _sweep(self, current: int) -> int:
+        """Drop the states that weren't used again, or nearly all where most were; the new number of ``current``."""
+        self._used[[0, current]] = True
+        kept = np.flatnonzero(self._used)
+        if len(kept) > self.max_states // 4 * 3:
+            kept = np.unique([0, current])
+        number = np.full(len(self._states), -1, np.int64)
+        number[kept] = np.arange(len(kept))
+        keys, to, out = self._transitions.all()
+        stay = (number[keys >> 8] >= 0) & (number[to] >= 0)
+        keys, to, out, ends = keys[stay], to[stay], out[stay], self._ends[kept]
+        # ids that no transition gives any more go too
+        named = np.unique(np.r_[0, out, ends[ends >= 0]])
+        self._out_list = [self._out_list[n] for n in named.tolist()]
+        self._outs = {ids: n for n, ids in enumerate(self._out_list)}
+        ends = np.where(ends >= 0, np.searchsorted(named, ends), -1).astype(np.int32)
+        self._keep([self._states[n] for n in kept.tolist()], ends,
+                   Transitions(number[keys >> 8] << 8 | keys & 255, number[to], np.searchsorted(named, out)))
+        for known in (self._beside, self._goes_on):
+            if len(known) > MAX_NEIGHBOURS:
+                known.clear()
+        return int(number[current])
 
 
 class Encoder:
     """Encodes texts: cuts them into pieces and sends every new piece through the transducer."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
+    def __init__(self, ranks: dict[bytes, int], pattern: str, max_states: int = MAX_STATES) -> None:
         import regex
 
         self._pieces = regex.compile(pattern).findall
-        self._transducer = Transducer(ranks)
+        self._transducer = Transducer(ranks, max_states)
         self._known: dict[str, bytes] = {}     # the newer half; when it is full the older one goes
         self._older: dict[str, bytes] = {}
 
-    def _new(self, piece: str) -> bytes:
-        ids = self._older.get(piece) or self._transducer.encode_piece(piece.encode())
-        if len(piece) <= MAX_PIECE_CHARS:
-            if len(self._known) >= MAX_PIECES // 2:
-                self._known, self._older = {}, self._known
-            self._known[piece] = ids
-        return ids
-
-    def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        new, out = self._new, []
-        for p in self._pieces(text):
-            out.append(self._known.get(p) or new(p))
-        return b"".join(out)
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of every text."""
+        cut = [self._pieces(t) if t else [] for t in texts]
+        known, older = self._known, self._older
+        new = list(set().union(*cut).difference(known))
+        known.update((p, older[p]) for p in new if p in older)
+        new = [p for p in new if p not in known]
+        known.update(zip(new, self._transducer.encode_pieces([p.encode() for p in new])))
+        out = [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
+        for p in new:
+            if len(p) > MAX_PIECE_CHARS:
+                del known[p]
+        if len(known) > MAX_PIECES // 2:
+            self._known, self._older = {}, known
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -415,7 +600,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", out: str
         enc = encoder(path, pattern)
         whole = pa.RecordBatch.from_arrays([column], ["text"])
         for _, texts in text_chunks(whole, "text", CHUNK_BYTES):
-            yield [enc.encode(t) for t in texts]
+            yield enc.encode(texts)
 
     return _with_column(df, text, out, "binary", run)
 
