@@ -8,8 +8,8 @@ import pytest
 
 from __spark_entry__ import entry
 from conftest import SF_SMALL
-from tidewater.plans.catalog import QUERIES
 from tidewater.plans.oracle import ORACLE
+from tidewater.plans.queries import QUERIES
 
 TABLES = ("region nation customer supplier part orders lineitem events").split()
 

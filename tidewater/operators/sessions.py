@@ -115,6 +115,29 @@ def sessionize(df: DataFrame, keys: Sequence[str], ts: str = "event_ts",
     return merged.withColumn(duration_col, duration_minutes(start_col, end_col))
 
 
+def merge_sessions(sessions: DataFrame, keys: Sequence[str], gap: str = SESSION_GAP,
+                   start_col: str = "session_start", end_col: str = "session_end",
+                   count_col: str = "events_in_session",
+                   duration_col: str = "session_duration_minutes") -> DataFrame:
+    """Join the sessions of a key that overlap or lie within ``gap`` of one another.
+
+    A session is (start, end, events), so sessions of parts of the events merge
+    into those of all events, whatever the parts. A key's sessions meet in one
+    task: they are sessions, not events, and at most one per gap of time.
+    """
+    keys = list(keys)
+    ntz = dict(sessions.dtypes)[start_col] == "timestamp_ntz"
+    w = Window.partitionBy(*keys).orderBy("_s", "_e")
+    so_far = F.max("_e").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    return (sessions.select(*keys, start_col, end_col, count_col)
+            .withColumns({"_s": _micros(start_col, ntz), "_e": _micros(end_col, ntz)})
+            .withColumn("_new", F.when(F.col("_s") - so_far <= F.lit(interval_micros(gap)), 0).otherwise(1))
+            .withColumn("_sid", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+            .groupBy(*keys, "_sid")
+            .agg(F.min(start_col).alias(start_col), F.max(end_col).alias(end_col), F.sum(count_col).alias(count_col))
+            .drop("_sid").withColumn(duration_col, duration_minutes(start_col, end_col)))
+
+
 def average_session_by(sessions: DataFrame, members: DataFrame, member_key: str,
                        group_keys: Sequence[str], duration_col: str = "session_duration_minutes",
                        scale: int = 2) -> DataFrame:

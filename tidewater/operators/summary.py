@@ -108,6 +108,27 @@ def team_measures(events: DataFrame, keys: Sequence[str] = TEAM_KEYS,
     return _finish(_merge(mapped, [*keys, *extra_names]), [*keys, *extra_names])
 
 
+PARTIALS = ("_n", "_ai", "_cost", "_rt_sum", "_rt_n", "_t0", "_t1")
+
+
+def measure_partials(events: DataFrame, keys: Sequence[str], is_ai: Column | None = None,
+                     cost: str = "cost_estimate_usd", response_time: str = "response_time_ms",
+                     ts: str = "event_ts") -> DataFrame:
+    """The measures of :func:`team_measures` in a form that merges exactly: counts, decimal and
+    integer sums, min and max per ``keys`` (a day and a member, say). Keep these in a table, and a
+    correction of a day replaces that day's rows only."""
+    return _partials(events, keys, is_ai if is_ai is not None else F.col("is_ai_event"), F.col(cost),
+                     F.col(response_time), F.col(ts))
+
+
+def measures_of_partials(partials: DataFrame, members: DataFrame, member_key: str,
+                         keys: Sequence[str] = TEAM_KEYS) -> DataFrame:
+    """:func:`team_measures` from stored partials: merged per member, mapped to groups, merged again."""
+    per_member = _merge(partials, [member_key])
+    mapped = per_member.join(unique_members(members, member_key, keys), member_key, "left")
+    return _finish(_merge(mapped, keys), keys)
+
+
 def join_teams(measures: DataFrame, teams: DataFrame, key: str = "team_id",
                keep: str = "events", name_col: str = "team_name",
                dim_columns: Sequence[str] = DIM_COLUMNS) -> DataFrame:

@@ -40,7 +40,7 @@ from tidewater.sinks import overwrite_table, write_report
 from tidewater.sources.lake import read_table
 from tidewater.sources.stream import read_file_stream
 from tidewater.streaming.ingest import await_all, bronze_stream, start_append
-from tidewater.streaming.silver import silver_streams, stream_sessions
+from tidewater.streaming.silver import silver_streams
 
 # ---------------------------------------------------------------------------
 # Fixed values of the adapters.
@@ -515,9 +515,6 @@ def q_staged_dimensions(spark, sf_dir):
 # Streaming queries: run to completion with an availableNow trigger into
 # checkpointed sinks below the shared root, then read the sink back.
 # ---------------------------------------------------------------------------
-STREAM_WATERMARK = "10 minutes"
-
-
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "events").schema
     return read_file_stream(spark, f"{sf_dir.rstrip('/')}/events*.parquet", schema)
@@ -571,6 +568,7 @@ def q_stream_silver(spark, sf_dir):
 
 
 STREAM_FILES = 6
+FILES_PER_STEP = 4   # a trigger takes one step's files
 
 
 def landed_events(spark: SparkSession, sf_dir: str) -> str:
@@ -581,7 +579,7 @@ def landed_events(spark: SparkSession, sf_dir: str) -> str:
     turn, again = F.pmod("event_id", F.lit(STREAM_FILES)), _fault_key() == 9
     for i in range(STREAM_FILES):
         here = (turn == i) | (again & (turn == i - 1))
-        e.filter(here).coalesce(1).write.mode("append").parquet(path)
+        e.filter(here).repartition(FILES_PER_STEP).write.mode("append").parquet(path)
     return path
 
 
@@ -589,7 +587,7 @@ def q_stream_silver_batches(spark, sf_dir):
     """Streaming Silver over six micro-batches in shuffled time order: no valid
     row may be lost behind a watermark."""
     path = landed_events(spark, sf_dir)
-    src = read_file_stream(spark, path, table(spark, sf_dir, "events").schema, max_files_per_trigger=1)
+    src = read_file_stream(spark, path, table(spark, sf_dir, "events").schema, max_files_per_trigger=FILES_PER_STEP)
     return _stream_silver(spark, sf_dir, "stream_silver_batches", src)
 
 
@@ -601,13 +599,6 @@ def q_stream_quarantine(spark, sf_dir):
     return spark.read.parquet(paths["quarantine"]).drop("ingested_at", "quarantined_at")
 
 
-def q_stream_sessions(spark, sf_dir):
-    sessions = stream_sessions(events_stream(spark, sf_dir), ["user_id"], ts="ts",
-                               watermark=STREAM_WATERMARK)
-    paths = _drain(spark, "stream_sessions", {"sessions": sessions})
-    return spark.read.parquet(paths["sessions"])
-
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "team_cost_summary": q_team_cost_summary,
     "team_cost_summary_all_teams": q_team_cost_summary_all_teams,
@@ -645,5 +636,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_silver": q_stream_silver,
     "stream_silver_batches": q_stream_silver_batches,
     "stream_quarantine": q_stream_quarantine,
-    "stream_sessions": q_stream_sessions,
 }

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -21,14 +21,15 @@ from tidewater.functions.rules import JIRA_RULES, RuleSet
 from tidewater.operators.decode import parse_event_time, stamp, tag_source
 from tidewater.operators.dedup import latest_per_key
 from tidewater.operators.enrich import enrich_cost
-from tidewater.operators.expectations import (Expectation, enforce, quality_report, run_suite,
-                                              silver_suite)
+from tidewater.operators.expectations import (Expectation, QualityGateError, enforce,
+                                              quality_report, run_suite, silver_suite)
 from tidewater.operators.sessions import sessionize
 from tidewater.operators.summary import team_cost_summary
 from tidewater.operators.validate import split_valid
 from tidewater.schemas import (AI_COST_PER_CALL_USD, AI_EVENT_TYPE, JIRA_EVENT_TYPES,
                                REPORT)
-from tidewater.sinks import overwrite_table, write_report
+from tidewater.session import remove_path, scratch_path
+from tidewater.sinks import Lake, overwrite_table, write_report
 from tidewater.sources.lake import read_table
 
 
@@ -145,3 +146,28 @@ def run_medallion(spark: SparkSession, bronze: DataFrame, teams: DataFrame, root
     run_gold(spark, out, teams, fmt=fmt, **(gold_options or {}))
     return {"audit": audit, "gate": checks, "silver": out.silver, "quarantine": out.quarantine,
             "sessions": out.sessions, "audit_table": out.audit, "gold": out.gold, "reports": out.quality_reports}
+
+
+def publish_gated(spark: SparkSession, lake: Lake, silver: DataFrame, summarize: Callable[[DataFrame], DataFrame],
+                  suite: Sequence[Expectation]) -> None:
+    """Write, audit, publish: Silver is written beside the live version and checked there.
+
+    Where all checks pass, Silver, Gold (``summarize`` of the written Silver) and
+    the report become visible in one commit. Else only the report does, readers
+    keep the former Silver and Gold, and the gate's error is raised.
+    """
+    change = lake.change()
+    change.replace("silver", silver)
+    staged = change.read("silver")
+    path = scratch_path(spark, "gate")
+    quality_report(run_suite(staged, suite, stamp=True)).write.parquet(path)   # the one scan of Silver
+    report = spark.read.parquet(path)
+    try:
+        enforce(report.select(F.inline("results")))
+    except QualityGateError:
+        lake.append("quality_reports", report)
+        raise
+    change.replace("gold", summarize(staged))
+    change.append("quality_reports", report)
+    change.commit()
+    remove_path(spark, path)

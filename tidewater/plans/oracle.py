@@ -142,6 +142,10 @@ _TYPED_COLS = _DECODED_COLS.replace("event_ts,", "CAST(strptime(event_ts, '%Y-%m
 DECODE = f"""{_FEED}
 SELECT {_DECODED_COLS} FROM d"""
 
+# a second delivery's response time is one more
+DECODE_CHANGED = f"""{_FEED}
+SELECT {_DECODED_COLS.replace("response_time_ms,", "response_time_ms + delivery - 1 AS response_time_ms,")} FROM d"""
+
 _REASON = """CASE WHEN k = 0 THEN 'missing event_id'
        WHEN k IN (1, 6) THEN 'invalid timestamp'
        WHEN k = 2 OR team_id IS NULL THEN 'missing team_id'
@@ -331,14 +335,6 @@ MEDALLION_QUALITY = f"""WITH {_RUN_SILVER}, {_suite("s", "response_time_ms", _TY
 SELECT "check", description, CASE WHEN ok THEN 'PASSED' ELSE 'FAILED' END AS status, details
 FROM r"""
 
-# Append-mode sessions closed by the final watermark: max event time (at
-# millisecond precision) minus the 10-minute delay; a session is emitted once
-# its end plus the 30-minute gap is at or before it.
-STREAM_SESSIONS = f"""WITH s AS ({_sessions("user_id")})
-SELECT * FROM s
-WHERE session_end + INTERVAL 30 MINUTE
-      <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE FROM events)"""
-
 SILVER_SESSIONS = f"""WITH silver AS ({VALID}), """ + _sessions_body("user_id, team_id, team_name", "silver", "event_ts")
 
 MEDALLION_AUDIT = f"""WITH a AS ({_FEED}
@@ -416,6 +412,29 @@ STAGED = " UNION ALL ".join(
     for t, k, n in (("customer", "c_custkey", "c_name"), ("nation", "n_nationkey", "n_name"),
                     ("region", "r_regionkey", "r_name")))
 
+# A delivery's arrival minute in the stepped feed; the copy that arrived last stays.
+_STEP = "CAST((CAST({id} AS BIGINT) + delivery - 1) % 6 AS INTEGER)"
+_LAST = f"[0, 60, 120, 5, 30, 121][{_STEP.format(id='event_id')} + 1]"
+SILVER_REPLAYED = _valid(True).replace("ORDER BY delivery DESC", f"ORDER BY {_LAST} DESC")
+STREAM_TWO_SINKS = f"""WITH s AS ({SILVER_REPLAYED}), q AS ({QUARANTINE}), a AS ({AUDIT_EVENTS})
+SELECT 'silver' AS sink, event_id, CAST(response_time_ms AS VARCHAR) AS detail, CAST(1 AS BIGINT) AS n FROM s
+UNION ALL SELECT 'quarantine', event_id, quarantine_reason, 1 FROM q
+UNION ALL SELECT 'audit', NULL, detail, n FROM (
+  SELECT unnest(['rows_in', 'rows_quarantined', 'rows_valid', 'rows_new', 'duplicates_removed']) AS detail,
+         unnest([rows_in, rows_quarantined, rows_valid, rows_out, duplicates_removed]) AS n FROM a)"""
+
+ID_INDEX = f"""{_FEED},
+i AS (SELECT d.event_id AS id, count(*) AS n, max(delivery) - min(delivery) AS spread FROM d WHERE k <> 0 GROUP BY 1
+      UNION ALL SELECT NULL, count(*), 1 FROM d WHERE k = 0 HAVING count(*) > 0)
+SELECT CAST(sum(n) AS BIGINT) AS rows, CAST(count(*) AS BIGINT) AS distinct_ids, CAST(sum(n - 1) AS BIGINT) AS duplicate_rows,
+       CAST(count(*) FILTER (spread > 0) AS BIGINT) AS ids_on_several_days FROM i"""
+
+SCHEMA_EVOLUTION = """SELECT CAST(c_custkey + CASE WHEN c_custkey % 3 = 1 THEN 1099511627776 ELSE 0 END AS BIGINT) AS id, c_name AS name,
+       CASE WHEN c_custkey % 3 = 1 THEN c_nationkey + 0.1::DOUBLE ELSE c_nationkey::DOUBLE END AS score,
+       CASE WHEN c_custkey % 3 = 1 THEN c_mktsegment END AS segment,
+       CASE WHEN c_custkey % 3 < 2 THEN 'standard' WHEN c_acctbal > 0 THEN 'gold' END AS tier
+FROM customer"""
+
 ORACLE: dict[str, str] = {
     "team_cost_unknown_members": UNKNOWN_MEMBERS,
     "team_cost_rounding_ties": ROUNDING_TIES,
@@ -453,5 +472,15 @@ ORACLE: dict[str, str] = {
     "stream_ingest_both": STREAM_INGEST_BOTH,
     "stream_silver": VALID_FIRST,
     "stream_quarantine": QUARANTINE,
-    "stream_sessions": STREAM_SESSIONS,
+    "stream_sessions": _sessions("user_id"),
+    "stream_two_sinks": STREAM_TWO_SINKS,
+    "stream_silver_replayed": SILVER_REPLAYED,
+    "stream_supervised": DECODE_CHANGED,
+    "replace_after_failure": "SELECT * FROM orders",
+    "gate_blocks": GOLD,
+    "dimension_increments": "SELECT *, '2024-03-10 00:00:00' AS mark FROM customer",
+    "session_increments": _sessions("user_id, event_type"),
+    "gold_increments": GOLD,
+    "id_index": ID_INDEX,
+    "schema_evolution": SCHEMA_EVOLUTION,
 }

@@ -1,4 +1,4 @@
-"""Writers: table overwrite / append, relational republish, quality reports."""
+"""Writers: table overwrite / append, versioned tables, keyed merges, relational republish, quality reports."""
 
 from __future__ import annotations
 
@@ -7,15 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.sinks.lake import TABLE, Lake
+from tidewater.sinks.upsert import merge_changes, replace_touched, upsert
+
 
 def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet",
                     partition_by: Sequence[str] = (), overwrite_schema: bool = True) -> None:
     """Replace the table and its schema (full recompute of a layer).
 
-    Every task writes its own files and the commit is atomic per job, so a
-    lost executor only re-runs its tasks."""
+    The rows go into a new version of a :class:`~tidewater.sinks.lake.Lake` at
+    ``path``, which becomes visible when it is whole: a job that fails leaves
+    the former table. Read it with :func:`tidewater.sources.lake.read_table`.
+    A format with versions of its own (delta) is written as it is."""
+    if fmt != "delta":
+        Lake(df.sparkSession, path).replace(TABLE, df, fmt=fmt, partition_by=partition_by)
+        return
     w = df.write.format(fmt).mode("overwrite")
-    if overwrite_schema and fmt == "delta":
+    if overwrite_schema:
         w = w.option("overwriteSchema", "true")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -24,7 +32,13 @@ def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet",
 
 def append_table(df: DataFrame, path: str, fmt: str = "parquet",
                  partition_by: Sequence[str] = (), merge_schema: bool = True) -> None:
-    """Append; new columns are allowed (for parquet they are merged on read)."""
+    """Append; new columns are allowed.
+
+    A table written by :func:`overwrite_table` gets another version; elsewhere
+    files are added, and columns are merged on read."""
+    if fmt != "delta" and Lake.at(df.sparkSession, path):
+        Lake(df.sparkSession, path).append(TABLE, df, fmt=fmt, partition_by=partition_by)
+        return
     w = df.write.format(fmt).mode("append")
     if merge_schema:
         w = w.option("mergeSchema", "true")
@@ -54,4 +68,5 @@ def write_report(report: DataFrame, path: str) -> None:
      .write.mode("append").partitionBy("run_date").json(path))
 
 
-__all__ = ["overwrite_table", "append_table", "write_jdbc", "write_report"]
+__all__ = ["Lake", "append_table", "merge_changes", "overwrite_table", "replace_touched", "upsert",
+            "write_jdbc", "write_report"]
