@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm.bwt import merge, transform
-from tidewater.llm.common import arrow_schema, map_batches, materialize, shuffle_tasks, table, text_chunks
+from tidewater.llm.common import arrow_schema, free_name, map_batches, materialize, shuffle_tasks, table, text_chunks
 
 LENGTH = 50
 GRAM = 18
@@ -49,6 +49,7 @@ FLUSH_BYTES = 8_000_000   # text whose hashes a task deals at once
 MERGE_BYTES = 1 << 18     # fragments merged at once, unless one hash has more
 SHARDS = 4
 NULL_ID = -(1 << 63)
+NODE, SLICE = "_dd_node", "_dd_slice"   # an input's columns of these names are renamed meanwhile
 
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 _LOW = np.uint64(0xFFFFFFFF)
@@ -123,7 +124,7 @@ def _keys(owner: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
 def sliced(docs: DataFrame, slices: int) -> DataFrame:
     """``docs`` with the hash that orders rows in a slice, and their slice."""
     node = F.xxhash64("doc_id", "text")
-    return docs.withColumns({"_dd_node": node, "_dd_slice": F.pmod(node, F.lit(slices)).cast("int")})
+    return docs.withColumns({NODE: node, SLICE: F.pmod(node, F.lit(slices)).cast("int")})
 
 
 def owner_blocks(docs: DataFrame, parts: int) -> DataFrame:
@@ -131,7 +132,7 @@ def owner_blocks(docs: DataFrame, parts: int) -> DataFrame:
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
         for first, texts in text_chunks(batch, "text", FLUSH_BYTES):
             raw = [(t or "").encode() for t in texts]
-            where = batch.column("_dd_slice").slice(first, len(texts)).to_numpy(zero_copy_only=False).astype(np.int64)
+            where = batch.column(SLICE).slice(first, len(texts)).to_numpy(zero_copy_only=False).astype(np.int64)
             rows, owners = [], []
             for at, data, start, _, owner in fragments(raw):
                 ends = np.cumsum([len(t) for t in raw[at:at + _texts_in(raw, at, len(data))]])
@@ -141,25 +142,21 @@ def owner_blocks(docs: DataFrame, parts: int) -> DataFrame:
                 continue
             row, owner = np.concatenate(rows), np.concatenate(owners)
             bucket, key = _keys(owner, parts)
-            name = (bucket * parts + where[row]) << 32 | key
-            by = np.argsort(name, kind="stable")
-            name, row = name[by], row[by]
-            same = np.r_[False, name[1:] == name[:-1]]
+            to = where[row]
+            by = np.lexsort((key, to, bucket))               # three keys: packed, they don't fit into 64 bits
+            bucket, to, key, row = bucket[by], to[by], key[by], row[by]
+            same = np.r_[False, (bucket[1:] == bucket[:-1]) & (to[1:] == to[:-1]) & (key[1:] == key[:-1])]
             other = np.r_[False, row[1:] != row[:-1]]
             again = np.flatnonzero(same & other)             # a second document
             keep = ~same
-            starts = np.maximum.accumulate(np.where(keep, np.arange(len(name)), 0))
+            starts = np.maximum.accumulate(np.where(keep, np.arange(len(key)), 0))
             second = np.unique(starts[again], return_index=True)[1] if len(again) else again
             keep[again[second]] = True
-            name = name[keep]
-            place = name >> 32
-            bucket = place // parts
+            bucket, to, key = bucket[keep], to[keep], key[keep].astype("<u4")
             cut = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-            packed = (name & 0xFFFFFFFF).astype("<u4")
-            yield {"bucket": bucket[cut], "block": [_pack_keys((place % parts)[i:j], packed[i:j])
-                                                    for i, j in zip(cut, [*cut[1:], len(packed)])]}
+            yield {"bucket": bucket[cut], "block": [_pack_keys(to[i:j], key[i:j]) for i, j in zip(cut, [*cut[1:], len(key)])]}
 
-    slim = docs.select("_dd_slice", F.col("text").cast("string").alias("text"))
+    slim = docs.select(SLICE, F.col("text").cast("string").alias("text"))
     return map_batches(slim, run, "bucket int, block binary")
 
 
@@ -204,7 +201,7 @@ class _Slice:
     """A slice's documents in canonical order, and its distinct fragments of shared hashes."""
 
     def __init__(self, docs: pa.Table, shared: pa.Table, parts: int) -> None:
-        node = docs.column("_dd_node").to_numpy()
+        node = docs.column(NODE).to_numpy()
         self.order = np.argsort(node, kind="stable")
         column = docs.column("text")
         self.texts = [(column[i].as_py() or "").encode() for i in self.order.tolist()]
@@ -376,9 +373,9 @@ def _marked(s: _Slice, marks: pa.Table) -> list[np.ndarray]:
     return np.split(np.cumsum(change[:-1]) > 0, begin[1:])
 
 
-def _with_spans(docs: DataFrame, finish, kind: str) -> DataFrame:
+def _with_spans(docs: DataFrame, finish, kind: str, parts: int | None = None) -> DataFrame:
     """``finish(documents, slice, marks)`` for every slice of ``docs``, to rows of ``kind``."""
-    parts = shuffle_tasks(docs.sparkSession)
+    parts = parts or shuffle_tasks(docs.sparkSession)
     docs = sliced(docs, parts)
     shared = materialize(shared_owners(owner_blocks(docs, parts)), "owners").select("slice", F.lit(0).alias("kind"), "bucket", "block")
     schema = arrow_schema(BLOCKS)
@@ -402,13 +399,15 @@ def _with_spans(docs: DataFrame, finish, kind: str) -> DataFrame:
         s = _Slice(left, side(right, 0), parts)
         return finish(left, s, _marked(s, side(right, 1)))
 
-    by_slice = docs.groupBy("_dd_slice")
+    by_slice = docs.groupBy(SLICE)
     dealt = by_slice.cogroup(shared.groupBy("slice")).applyInArrow(deal, BLOCKS)
     return by_slice.cogroup(shared.union(repeated_strings(dealt)).groupBy("slice")).applyInArrow(cut_out, kind)
 
 
-def repeat_report(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
+def repeat_report(docs: DataFrame, parts: int | None = None) -> DataFrame:
+    """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
+
+    ``parts`` slices and buckets; as many as shuffle partitions if not given."""
     kind = (f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, "
             "kept_sha256 string")
     schema = arrow_schema(kind)
@@ -420,12 +419,14 @@ def repeat_report(docs: DataFrame) -> DataFrame:
             left.column("doc_id").take(pa.array(s.order)), pa.array([len(t) for t in s.texts], pa.int64()),
             pa.array([int(g.sum()) for g in gone], pa.int64()), pa.array(spans, pa.int64()), pa.array(kept)], schema=schema)
 
-    return _with_spans(docs.select("doc_id", F.col("text").cast("string").alias("text")), finish, kind)
+    return _with_spans(docs.select("doc_id", F.col("text").cast("string").alias("text")), finish, kind, parts)
 
 
 def drop_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeated spans cut out of the texts, whole characters only."""
     whole = docs.schema["n_chars"].dataType.simpleString() in ("bigint", "int") if "n_chars" in docs.columns else False
+    given = docs.columns
+    docs = docs.toDF(*[c if c.lower() not in (NODE, SLICE) else free_name(docs, c) for c in given])
     names = docs.columns
 
     def finish(left: pa.Table, s: _Slice, gone: list[np.ndarray]) -> pa.Table:
@@ -440,7 +441,7 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
             rows = rows.set_column(names.index(c), rows.schema.field(c), v)
         return rows
 
-    return _with_spans(docs, finish, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields))
+    return _with_spans(docs, finish, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)).toDF(*given)
 
 
 def _kept_text(raw: bytes, gone: np.ndarray) -> str:

@@ -20,11 +20,12 @@ ignored by ``quality_metrics`` and passed on untouched by ``quality_filter``.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewater.llm.common import Vocabulary, map_batches, table, text_chunks
 
@@ -35,6 +36,7 @@ MIN_REPEAT = 8            # words: shorter repeats don't count as covered
 MAX_COVERED = 0.2         # covered fraction
 MAX_LONGEST = 64          # words in the longest repeat
 CHUNK_BYTES = 6_000_000   # bytes of text whose suffixes are sorted at once
+FILTER_BYTES = 1 << 20   # text that the filter measures at a time
 
 _SPACE = b" \t\n\x0b\x0c\r"
 _SYMBOLS = b"#*$%&|<>"
@@ -153,15 +155,17 @@ def quality_metrics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def quality_filter(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with all their columns."""
+    """The rows of ``docs`` that the rules keep, with all their columns.
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            kept = [measure(texts)["kept"] for _, texts in text_chunks(b, text_col, CHUNK_BYTES)]
-            if kept:
-                yield b.filter(pa.array(np.concatenate(kept)))
+    Only the text goes to Python; the rows stay where they are."""
 
-    return docs.mapInArrow(run, docs.schema)
+    @F.arrow_udf("boolean")
+    def keeps(text: pa.Array) -> pa.Array:
+        batch = pa.RecordBatch.from_arrays([text], ["text"])
+        kept = [measure(texts)["kept"] for _, texts in text_chunks(batch, "text", FILTER_BYTES)]
+        return pa.array(np.concatenate(kept) if kept else np.zeros(0, bool))
+
+    return docs.where(keeps(docs[text_col].cast("string")))
 
 
 def op7_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
