@@ -94,12 +94,50 @@ def test_license_places_and_blocks(spark):
     assert got == Counter([
         (1, 7, 3, 0, 5, "apache,mit", "apache,mit", 0.0), (2, 0, 0, None, None, "", "", 0.0), (3, 0, 0, None, None, "", "", 0.0),
         (4, 6, 1, 3, 3, "cc-by", "cc-by", 0.0), (5, 16, 0, None, None, "", "mit-grant", round(14 / 15, 3)),
-        (6, 6, 0, None, None, "", "", 0.0), (7, 8, 1, 3, 3, "apache", "apache", 0.0),
+        (6, 6, 0, None, None, "", "", 0.0), (7, 8, 1, 3, 3, "apache", "apache,apache-2.0", 1.0),
         (8, 8, 1, 4, 4, "gpl", "gpl", 0.0), (9, 2, 1, 0, 0, "mit", "mit", 0.0),
         (9, 2, 1, 0, 0, "cc-by", "cc-by", 0.0), (9, 2, 1, 0, 0, "cc-by", "cc-by", 0.0),
         (None, 2, 1, 0, 0, "cc-by", "cc-by", 0.0), (10, 20_002, 1, 20_000, 20_000, "mit", "mit", 0.0)])
 
 
+WRAPPED = [
+    ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that", "bsd"),
+    ("Permission is hereby granted, free of charge, to any\nperson obtaining a copy of\nthis software and", "mit-grant"),
+    ("# Licensed under the Apache License,\n# Version 2.0 (the", "apache-2.0"),
+]
+
+
+def test_wrapped_notices_carry_their_labels(spark):
+    docs = [(i, "code here\n" + t + "\nmore code") for i, (t, _) in enumerate(WRAPPED)]
+    docs += [(9, WRAPPED[0][0].replace("\n", "\n\n\nx\n"))]      # too far apart
+    got = {r["doc_id"]: r["labels"].split(",") for r in licenses.license_labels(frame(spark, docs)).collect()}
+    assert all(label in got[i] for i, (_, label) in enumerate(WRAPPED)) and got[9] == [""]
+
+
+def test_filters_lose_no_run_of_lines(spark):
+    import random
+    rng = random.Random(7)
+    lines = []
+    for t in [*licenses.TEMPLATES] * 6:
+        left = [w for w in t.split() if rng.random() > 0.1]
+        while left:
+            n = rng.randint(2, 8)
+            lines.append(" ".join(left[:n] + rng.choices(["x", "y"], k=rng.randint(0, 2))))
+            left = left[n:]
+        lines += [""] * rng.randint(0, 1)
+    blocks = licenses.template_blocks(frame(spark, [(1, "\n".join(lines))]))
+    got = {(r["block"], r["label"]): r["containment"] for r in licenses.containment_join(blocks).orderBy("containment").collect()}
+    want = {}
+    for i in range(len(lines)):
+        held = set(" ".join(lines[i:i + licenses.MAX_LINES]).split())
+        for t, label in licenses.TEMPLATES.items():
+            t = set(t.split())
+            if len(t & held) >= licenses.MIN_CONTAINMENT * len(t):
+                want[i, label] = len(t & held) / len(t)
+    # the longest run from a line has the most words; shorter ones of the same words stand for it
+    assert got == want and len(want) > 15
+
+
 def test_filters_lose_no_block(spark):
     import random
     rng = random.Random(4)
@@ -110,7 +148,7 @@ def test_filters_lose_no_block(spark):
             words = [w for w in t.split() if rng.random() > 0.15] + rng.sample(vocab, rng.randint(0, 4))
             rng.shuffle(words)
             lines.append(" ".join(words))
-    blocks = licenses.template_blocks(frame(spark, [(1, "\n".join(lines))]))
+    blocks = licenses.template_blocks(frame(spark, [(1, "\n".join(lines))]), 1)
     got = {(r["block"], r["label"]) for r in licenses.containment_join(blocks).collect()}
     want = {(i, label) for i, x in enumerate(lines) for t, label in licenses.TEMPLATES.items()
             if len(set(t.split()) & set(x.split())) >= licenses.MIN_CONTAINMENT * len(set(t.split()))}

@@ -196,7 +196,7 @@ def leak_docs():
     return [
         (1, filler + ITEMS[0][1] + ". and more"),                                                     # verbatim
         (2, filler + ITEMS[0][1].replace("Alice", "Robert").replace("12", "48").replace("30", "7") + "."),   # new names and numbers
-        (3, filler + ITEMS[0][1].replace("12 apples for", "48 apples for") + "."),                    # 12 stands for 48 and 12
+        (3, filler + ITEMS[0][1].replace("12 apples for", "48 apples for") + "."),                    # 12 stands for 48 and 12, the rest is verbatim
         (4, "THE quick brown fox, jumps over the lazy dog while nobody is watching; the garden gate"),
         (5, "the quick brown fox jumps over the lazy dog"),                                            # a small part only
         (6, "12 13 14 15 16 17 18 19 20 21 22"), (7, None), (8, ""), (9, "so only four words here again"),
@@ -208,10 +208,10 @@ def test_leaks_and_slots(spark):
     items = spark.createDataFrame([(i, t, 1) for i, t in ITEMS], "item_id long, text string, doc_id int")
     docs = frame(spark, leak_docs())
     got = {(r["doc_id"], r["item_id"]): r["changed"] for r in templates.leaks(docs, items).collect()}
-    assert got == {(1, 1): False, (2, 1): True, (4, 2): False, (None, 2): False, (9, 6): False}
+    assert got == {(1, 1): False, (2, 1): True, (3, 1): False, (4, 2): False, (None, 2): False, (9, 6): False}
     left = templates.drop_contaminated(docs, items)
     assert left.columns == docs.columns
-    assert sorted(str(r["doc_id"]) for r in left.collect()) == sorted(["3", "5", "6", "7", "8", "4", "10"])
+    assert sorted(str(r["doc_id"]) for r in left.collect()) == sorted(["5", "6", "7", "8", "4", "10"])
 
 
 def test_leaks_of_empty_tables(spark):

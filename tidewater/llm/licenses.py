@@ -1,6 +1,7 @@
 """License scans: phrases, and an exact set-similarity join with templates.
 
-Blocks are the lines of a text. Blocks and templates are sets of words; a
+Blocks are the runs of up to ``MAX_LINES`` consecutive lines of a text, so that
+a wrapped notice is one block, too. Blocks and templates are sets of words; a
 block carries a template's label when it holds at least ``MIN_CONTAINMENT`` of
 the template's words. Words are ordered by their frequency over all blocks,
 rarest first. A qualifying block and the template share a word of both their
@@ -48,6 +49,7 @@ TEMPLATES = {
     "this source code form is subject to the terms of the mozilla public license": "mpl",
 }
 MIN_CONTAINMENT = 0.8
+MAX_LINES = 3   # the longest template, wrapped at 40 characters
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _RAW_SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _RAW_WORDS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -94,17 +96,31 @@ def phrase_places(docs: DataFrame) -> DataFrame:
                       F.array_sort(F.array_distinct(found)).alias("base"))
 
 
-def template_blocks(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, block, words): the template words of every block that has some."""
+def template_blocks(docs: DataFrame, max_lines: int = MAX_LINES) -> DataFrame:
+    """(doc_id, text_hash, block, lines, words): the template words of every run of ``lines`` lines from ``block`` on.
+
+    Runs without such words, and longer runs that add none in their last line to
+    those of the run before it, are left out: no template fits them better."""
     vocab = F.array(*[F.lit(w) for w in sorted({w for t in TEMPLATES for w in t.split()})])
-    lines = F.split(_lower(_text()), "\n")
-    sets = F.transform(lines, lambda x: F.array_intersect(F.split(x, SEPARATORS), vocab))
-    return (docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(sets).alias("block", "words"))
-            .where(F.size("words") > 0))
+    split = F.split(_lower(_text()), "\n")
+    held = docs.select("doc_id", F.xxhash64("text").alias("text_hash"),
+                       F.transform(split, lambda x: F.array_intersect(F.split(x, SEPARATORS), vocab)).alias("sets"))
+
+    def runs(words: Column, i: Column) -> Column:
+        out, so_far = [], words
+        for n in range(1, max_lines + 1):
+            more = so_far if n == 1 else F.array_union(so_far, F.coalesce(F.get("sets", i + n - 1), F.array().cast("array<string>")))
+            # a run of one line, or one with a new word
+            new = F.size(words) > 0 if n == 1 else F.size(more) > F.size(so_far)
+            out.append(F.when(new, F.struct(i.alias("block"), F.lit(n).alias("lines"), more.alias("words"))))
+            so_far = more
+        return F.array_compact(F.array(*out))
+
+    return held.select("doc_id", "text_hash", F.inline(F.flatten(F.transform("sets", runs)))).where(F.size("words") > 0)
 
 
 def containment_join(blocks: DataFrame, least: float = MIN_CONTAINMENT) -> DataFrame:
-    """(doc_id, text_hash, block, label, containment) of every qualifying pair."""
+    """(doc_id, text_hash, block, lines, label, containment) of every qualifying pair."""
     spark = blocks.sparkSession
     counts = blocks.select(F.explode("words").alias("w")).groupBy("w").count().collect()   # template words at most
     freq = {r["w"]: r["count"] for r in counts}
@@ -120,16 +136,16 @@ def containment_join(blocks: DataFrame, least: float = MIN_CONTAINMENT) -> DataF
     ordered = F.array_intersect(F.array(*[F.lit(w) for w in order]), F.col("words"))
     short = min(needs)
     b = (blocks.where(F.size("words") >= short).withColumn("words", ordered)
-         .select("doc_id", "text_hash", "block", "words",
+         .select("doc_id", "text_hash", "block", "lines", "words",
                  F.posexplode(F.slice("words", 1, F.size("words") - short + 1)).alias("j", "w")))
     size, t_size = F.size("words"), F.size("t_words")
     after = F.least(t_size - F.col("i"), size - F.col("j"))   # the shared word and those behind it
     pairs = (b.join(F.broadcast(prefixes), "w")               # bounded by the template list
              .where((size >= F.col("need")) & (F.col("j") <= size - F.col("need")) & (after >= F.col("need")))
-             .select("doc_id", "text_hash", "block", "words", "label", "t_words", "need").distinct())
+             .select("doc_id", "text_hash", "block", "lines", "words", "label", "t_words", "need").distinct())
     overlap = F.size(F.array_intersect("words", "t_words"))
     return (pairs.where(overlap >= F.col("need"))
-            .select("doc_id", "text_hash", "block", "label", (overlap / t_size).alias("containment")))
+            .select("doc_id", "text_hash", "block", "lines", "label", (overlap / t_size).alias("containment")))
 
 
 def license_labels(docs: DataFrame) -> DataFrame:
@@ -159,7 +175,9 @@ def _sql() -> str:
 WITH t AS (SELECT label, list_distinct(words) AS words FROM (VALUES {templates}) v(label, words)),
 p AS (SELECT label, words FROM (VALUES {phrases}) v(label, words)),
 d AS (SELECT doc_id, {low} AS low, regexp_extract_all({low}, '{words}') AS words FROM documents),
-l AS (SELECT doc_id, unnest(string_split(low, chr(10))) AS line FROM d),
+l AS (SELECT doc_id, array_to_string(x[i:i + k], chr(10)) AS line
+      FROM (SELECT doc_id, x, k, unnest(range(1, len(x) - k + 1)) AS i
+            FROM (SELECT doc_id, string_split(low, chr(10)) AS x, unnest(range(0, {MAX_LINES})) AS k FROM d))),
 m AS (SELECT doc_id, label, len(list_intersect(list_distinct(regexp_extract_all(line, '{words}')), t.words)) / len(t.words) AS part
       FROM l, t),
 q AS (SELECT doc_id, label, part FROM m WHERE part >= {MIN_CONTAINMENT}),

@@ -8,7 +8,7 @@ what becomes a placeholder, but not whether a copy is found. The
 windows of a document that match an item at the same shift are an alignment.
 Where one value of the item stands for two different values of the document,
 its slots aren't a re-parameterisation: the alignment loses the windows that
-hold that value, save those in runs of ``VERBATIM_RUN`` verbatim windows. An item
+hold that value, save those in runs of ``MIN_RUN`` verbatim windows. An item
 counts as leaked when its remaining windows reach ``MIN_SHARE`` of its usable
 ones, or when ``MIN_RUN`` usable windows in a row remain at one shift, so that
 an excerpt of a long item counts whatever its share. Both are taken of the
@@ -37,13 +37,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import Vocabulary, hash_bitmap, in_bitmap, map_batches, materialize, table, text_chunks
+from tidewater.llm.common import Vocabulary, free_name, hash_bitmap, in_bitmap, map_batches, materialize, table, text_chunks
 
 WINDOW = 8
 MIN_LITERALS = 3
 MIN_SHARE = 0.5
-MIN_RUN = 6   # windows in a row at one shift: 13 tokens where all are usable
-VERBATIM_RUN = 11   # verbatim windows in a row that count although they hold a contradicted value
+MIN_RUN = 6   # windows in a row at one shift: 13 tokens where all are usable; verbatim ones always count
 CHUNK_BYTES = 1_500_000
 MAP_BITS = 1 << 22
 
@@ -242,7 +241,7 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
             .agg(F.max("changed").alias("changed"), F.max("held").alias("held"))
             .withColumn("nth_verbatim", F.when(~F.col("changed"), F.col("nth"))))
     kept = (_runs(each, key, "nth_verbatim", "verbatim")
-            .where(~F.col("held") | F.coalesce(F.col("verbatim") >= VERBATIM_RUN, F.lit(False))))
+            .where(~F.col("held") | F.coalesce(F.col("verbatim") >= MIN_RUN, F.lit(False))))
     kept = _runs(_runs(kept, key, "nth", "run"), key, "nth_typed", "typed_run")
     typed = F.countDistinct(F.when(F.col("nth_typed").isNotNull(), F.col("item_at")))
     every = F.countDistinct("item_at")
@@ -256,10 +255,9 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` without the rows whose text holds a leaked item."""
-    found = materialize(leaks(docs, items).select(F.col("doc_id").alias("_leak_id"), F.col("text_hash").alias("_leak_hash"))
-                        .distinct(), "leaks")
-    return docs.join(found, docs["doc_id"].eqNullSafe(F.col("_leak_id")) & (F.xxhash64(docs["text"]) == F.col("_leak_hash")),
-                     "left_anti")
+    one, two = free_name(docs, "leak_id"), free_name(docs, "leak_hash")
+    found = materialize(leaks(docs, items).select(F.col("doc_id").alias(one), F.col("text_hash").alias(two)).distinct(), "leaks")
+    return docs.join(found, docs["doc_id"].eqNullSafe(F.col(one)) & (F.xxhash64(docs["text"]) == F.col(two)), "left_anti")
 
 
 def op6_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
