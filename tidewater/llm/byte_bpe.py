@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import arrow_schema, table, text_chunks
+from tidewater.llm.common import arrow_schema, table, text_chunks, worker_cache
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 MAX_STATES = 300_000       # of the determinised transducer, per worker
@@ -465,6 +465,7 @@ class Encoder:
         return out
 
 
+@worker_cache
 @lru_cache(maxsize=2)
 def encoder(path: str, pattern: str) -> Encoder:
     """This worker's encoder; it outlives a task."""
@@ -563,6 +564,7 @@ class Decoder:
             yield text
 
 
+@worker_cache
 @lru_cache(maxsize=2)
 def decoder(path: str) -> Decoder:
     return Decoder(read_ranks(path))

@@ -64,6 +64,31 @@ class Vocabulary(dict):
         return n
 
 
+_CACHES: list = []
+
+
+def worker_cache(cached):
+    """Register a cached function whose results outlive a task (an encoder); :func:`tidy_worker` empties it."""
+    _CACHES.append(cached)
+    return cached
+
+
+def tidy_worker(keep: bool = False) -> None:
+    """Give a Python worker's unused memory back; unless ``keep``, drop what other operators have cached in it.
+
+    Workers serve one operator after another, and their memory counts as the executor's."""
+    import ctypes
+
+    if not keep:
+        for cached in _CACHES:
+            cached.cache_clear()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):   # another C library keeps what it likes
+        pass
+
+
 def map_batches(df: DataFrame, fn, schema: str) -> DataFrame:
     """``mapInArrow`` for a function from one record batch to dicts of columns."""
     arrow = arrow_schema(schema)
@@ -73,6 +98,7 @@ def map_batches(df: DataFrame, fn, schema: str) -> DataFrame:
             if b.num_rows:
                 for cols in fn(b):
                     yield pa.RecordBatch.from_pydict(cols, schema=arrow)
+        tidy_worker(keep=True)
 
     return df.mapInArrow(run, schema)
 

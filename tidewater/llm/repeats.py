@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm.bwt import merge, transform
-from tidewater.llm.common import arrow_schema, free_name, map_batches, materialize, shuffle_tasks, table, text_chunks
+from tidewater.llm.common import arrow_schema, free_name, map_batches, materialize, shuffle_tasks, table, text_chunks, tidy_worker
 
 LENGTH = 50
 GRAM = 18
@@ -397,7 +397,10 @@ def _with_spans(docs: DataFrame, finish, kind: str, parts: int | None = None) ->
         if not left.num_rows:
             return out_schema.empty_table()
         s = _Slice(left, side(right, 0), parts)
-        return finish(left, s, _marked(s, side(right, 1)))
+        out = finish(left, s, _marked(s, side(right, 1)))
+        del s
+        tidy_worker()
+        return out
 
     by_slice = docs.groupBy(SLICE)
     dealt = by_slice.cogroup(shared.groupBy("slice")).applyInArrow(deal, BLOCKS)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import Vocabulary, map_batches, table, text_chunks
+from tidewater.llm.common import Vocabulary, map_batches, table, text_chunks, tidy_worker
 
 MIN_WORDS = 10            # fewer words: rejected by the base rule
 WINDOW = 5                # words in a window of the base repetition rule
@@ -161,6 +161,7 @@ def quality_filter(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     @F.arrow_udf("boolean")
     def keeps(text: pa.Array) -> pa.Array:
+        tidy_worker()
         batch = pa.RecordBatch.from_arrays([text], ["text"])
         kept = [measure(texts)["kept"] for _, texts in text_chunks(batch, "text", FILTER_BYTES)]
         return pa.array(np.concatenate(kept) if kept else np.zeros(0, bool))

@@ -14,6 +14,8 @@ from functools import lru_cache
 
 import numpy as np
 
+from tidewater.llm.common import worker_cache
+
 VOCABULARY = "word_bpe_49k.json"
 MAX_CHUNKS = 600_000      # known chunks per worker
 MAX_PIECES = 700_000      # known words per worker
@@ -109,6 +111,7 @@ class WordEncoder:
         return b"".join([known[c] for c in text.split()])
 
 
+@worker_cache
 @lru_cache(maxsize=2)
 def encoder(path: str) -> WordEncoder:
     """This worker's encoder; it outlives a task."""
