@@ -1,8 +1,8 @@
 """Packing of tokenised documents into sequences by length patterns.
 
 The histogram of piece lengths (at most one bin per token of a sequence) is
-fitted by non-negative least squares with patterns of up to three lengths that
-fill a sequence exactly; the fitted repeat counts are rounded and cut to what
+fitted by non-negative least squares with all patterns of up to three lengths that
+fill a sequence exactly, priced into the fit round by round; the fitted repeat counts are rounded and cut to what
 the histogram holds, and the pieces that are left over are packed best fit,
 longest first, on the histogram. Both give patterns with repeat counts, so the
 plan is bounded by the sequence length, whatever the corpus holds.
@@ -33,8 +33,9 @@ from tidewater.llm.tokens import encode_batch, vocabulary_path
 
 SEQUENCE = 2048
 END_ID = 0
-MAX_PATTERNS = 24_000     # patterns that are fitted
-STEPS = 600               # of the projected gradient
+ROUNDS = 60               # in which priced patterns join the fit
+STEPS = 100               # of the projected gradient in a round
+MIN_PRICE = 1e-6          # of the largest bin
 CHUNK_BYTES = 1_500_000
 PIECES = ("doc_id {id}, piece int, start long, length long, ids_crc32 long, part int, nth long")
 
@@ -71,53 +72,39 @@ def pieces_of(docs: DataFrame, vocabulary: str, size: int = SEQUENCE, end_id: in
     return docs.select("doc_id", "text").mapInArrow(run, kind)
 
 
-def enumerate_patterns(hist: np.ndarray, most: int = MAX_PATTERNS) -> np.ndarray:
-    """Rows ``a >= b >= c`` of present lengths that sum to the sequence size (0: unused)."""
+def enumerate_patterns(hist: np.ndarray) -> np.ndarray:
+    """All rows ``a >= b >= c`` of present lengths that sum to the sequence size (0: unused), by ``a``.
+
+    At most a twelfth of the squared sequence size, whatever the corpus holds.
+    """
     size = len(hist) - 1
     present = np.flatnonzero(hist > 0)
     has = hist > 0
-    out = [np.array([[size, 0, 0]])] if has[size] else []
-    rest = size - present
-    pair = (rest > 0) & (rest <= present)
-    pair[pair] = has[rest[pair]]
-    out.append(np.c_[present[pair], rest[pair], np.zeros(pair.sum(), np.int64)])
-    triples = []
-    for a in present[(present < size - 1) & (3 * present >= size)].tolist():
-        b = present[(present <= a) & (2 * present >= size - a) & (present < size - a)]
+    has[0] = True                 # a pattern of fewer lengths
+    out = [np.zeros((0, 3), np.int64)]
+    for a in present[3 * present >= size].tolist():
+        b = np.flatnonzero(has[:a + 1])
         c = size - a - b
+        b, c = b[(c >= 0) & (c <= b)], c[(c >= 0) & (c <= b)]
         ok = has[c]
-        triples.append(np.c_[np.full(ok.sum(), a), b[ok], c[ok]])
-    found = np.concatenate(triples) if triples else np.zeros((0, 3), np.int64)
-    step = -(-len(found) // most) if len(found) else 1
-    return np.concatenate([*out, found[::step]]).astype(np.int64)
+        out.append(np.c_[np.full(ok.sum(), a), b[ok], c[ok]])
+    return np.concatenate(out).astype(np.int64)
 
 
-def fit_counts(hist: np.ndarray, patterns: np.ndarray, steps: int = STEPS) -> np.ndarray:
-    """Non-negative repeat counts with least squared error against the histogram.
-
-    Accelerated projected gradient; the patterns' matrix has three entries a
-    row and is never built.
-    """
-    target = hist.astype(np.float64).copy()
-    target[0] = 0
-
-    def use(x: np.ndarray) -> np.ndarray:
-        got = np.bincount(patterns.ravel(), np.repeat(x, 3), len(hist))
-        got[0] = 0
-        return got
+def _descend(patterns: np.ndarray, target: np.ndarray, weight: np.ndarray, x: np.ndarray, steps: int) -> np.ndarray:
+    """Accelerated projected gradient from ``x``; the patterns' matrix has three entries a row and is never built."""
+    def use(v: np.ndarray) -> np.ndarray:
+        return np.bincount(patterns.ravel(), np.repeat(v, 3), len(target))
 
     def back(r: np.ndarray) -> np.ndarray:
-        return r[patterns].sum(axis=1)
+        return (weight * r)[patterns].sum(axis=1)
 
-    if not len(patterns):
-        return np.zeros(0)
     v = np.ones(len(patterns))
     for _ in range(30):
         v = back(use(v))
         v /= np.linalg.norm(v)
     step = 1 / (1.05 * np.linalg.norm(back(use(v))))
-    x = y = np.zeros(len(patterns))
-    t = 1.0
+    y, t = x, 1.0
     for _ in range(steps):
         new = np.maximum(0, y - step * back(use(y) - target))
         t_new = (1 + np.sqrt(1 + 4 * t * t)) / 2
@@ -126,6 +113,41 @@ def fit_counts(hist: np.ndarray, patterns: np.ndarray, steps: int = STEPS) -> np
     return x
 
 
+def fit_counts(hist: np.ndarray, patterns: np.ndarray, rounds: int = ROUNDS, steps: int = STEPS) -> np.ndarray:
+    """Non-negative repeat counts with least squared error against the histogram; a bin's error counts by its
+    length, as long pieces are hard to place later.
+
+    Every pattern is priced by what it would take off the error. In each round the best one of
+    each largest length joins the fit and those fitted to nothing leave it, until none has a price.
+    """
+    target = hist.astype(np.float64)
+    target[0] = 0
+    out = np.zeros(len(patterns))
+    if not len(patterns):
+        return out
+    weight = np.arange(len(target)) / (len(target) - 1)
+    same = patterns[:, :, None] == patterns[:, None, :]
+    norm = np.sqrt((same * weight[patterns][:, :, None]).sum(axis=(1, 2)))
+    group = np.flatnonzero(np.r_[True, np.diff(patterns[:, 0]) != 0])     # patterns come by their largest length
+    size = np.diff(np.r_[group, len(patterns)])
+    least = MIN_PRICE * target.max()
+    active = np.zeros(0, np.int64)
+    for _ in range(rounds):
+        left = target - np.bincount(patterns[active].ravel(), np.repeat(out[active], 3), len(target))
+        price = (weight * left)[patterns].sum(axis=1) / norm
+        price[active] = 0
+        top = np.flatnonzero(price == np.repeat(np.maximum.reduceat(price, group), size))
+        best = top[np.r_[True, np.diff(patterns[top, 0]) != 0]]
+        best = best[price[best] > least]
+        if not len(best):
+            break
+        active = np.concatenate([active, best])
+        x = _descend(patterns[active], target, weight, out[active], steps)
+        out[active] = x
+        active = active[x > 0]
+    return out
+
+
 def plan_patterns(hist: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
     """(lengths, repeat count) that use up the histogram exactly."""
     size = len(hist) - 1
