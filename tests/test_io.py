@@ -33,6 +33,14 @@ def test_conform_types_native_and_legacy(spark):
     assert r["note"] is None and r["created_at"].startswith("2024-01-01 08:00:00")
 
 
+def test_a_snapshot_by_one_task_has_to_be_asked_for(spark):
+    with pytest.raises(ValueError, match="single_task"):
+        read_snapshot(spark, "jdbc:none://", "teams")
+    with pytest.raises(ValueError, match="single_task"):
+        read_snapshot(spark, "jdbc:none://", "teams", partition_column="team_id", lower_bound=0, upper_bound=9,
+                      num_partitions=4, single_task=True)
+
+
 def test_partitioned_snapshot_needs_all_bounds(spark):
     with pytest.raises(ValueError):
         read_snapshot(spark, "jdbc:none://", "teams", partition_column="team_id", num_partitions=4)

@@ -18,8 +18,14 @@ from tidewater.sinks import append_table
 def read_snapshot(spark: SparkSession, url: str, table: str,
                   properties: dict[str, str] | None = None,
                   partition_column: str | None = None, lower_bound=None, upper_bound=None,
-                  num_partitions: int | None = None, fetch_size: int = 10_000) -> DataFrame:
-    """Full snapshot (``SELECT *``) of ``table``."""
+                  num_partitions: int | None = None, fetch_size: int = 10_000,
+                  single_task: bool = False) -> DataFrame:
+    """Full snapshot (``SELECT *``) of ``table``.
+
+    Without a partition column one task fetches the whole table, which a caller has to ask for
+    by ``single_task``: it suits small dimensions only."""
+    if bool(partition_column) == single_task:
+        raise ValueError("name a partition_column, or say single_task=True for a table that one task can fetch")
     r = (spark.read.format("jdbc").option("url", url).option("dbtable", table)
          .option("fetchsize", str(fetch_size)))
     for k, v in (properties or {}).items():
