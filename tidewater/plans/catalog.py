@@ -48,6 +48,7 @@ from tidewater.streaming.silver import silver_streams
 EVENT_TYPES = ("signup", "error", "click", "view", "purchase")
 AI_TYPE = "purchase"
 BUDGET_PER_NATIONKEY = 200
+PLANNED_TEAM_BASE = 100   # ids of planned teams, beyond every nation's
 ENTERPRISE_BELOW_NATIONKEY = 10
 FLAGSHIP_COST_TIERS = (5000.0, 3000.0)
 MONTHLY_COST_TIERS = (500000.0, 250000.0)
@@ -117,8 +118,17 @@ def timed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return priced_events(spark, sf_dir).withColumn("response_time_ms", response_ms())
 
 
-def _gold(spark: SparkSession, sf_dir: str, keep: str = "events") -> DataFrame:
-    return team_cost_summary(timed_events(spark, sf_dir), teams(spark, sf_dir), keep=keep,
+def planned_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A team per region that has no members yet, shaped like :func:`teams`."""
+    key = F.col("r_regionkey")
+    return table(spark, sf_dir, "region").select(
+        (key + PLANNED_TEAM_BASE).alias("team_id"), F.concat(F.lit("PLANNED_"), "r_name").alias("team_name"),
+        F.concat(F.lit("DEPT_"), key.cast("string")).alias("department"), F.lit("Business").alias("plan_tier"),
+        (key * BUDGET_PER_NATIONKEY).cast("decimal(10,2)").alias("monthly_budget"), F.col("r_name").alias("region"))
+
+
+def _gold(spark: SparkSession, sf_dir: str, keep: str = "events", dimension: DataFrame | None = None) -> DataFrame:
+    return team_cost_summary(timed_events(spark, sf_dir), teams(spark, sf_dir) if dimension is None else dimension, keep=keep,
                              members=members(spark, sf_dir), member_key="user_id",
                              response_time="response_time_ms", ts="ts",
                              cost_tiers=FLAGSHIP_COST_TIERS, stamp=False)
@@ -273,6 +283,12 @@ def q_team_cost_summary_all_teams(spark, sf_dir):
     return _gold(spark, sf_dir, keep="teams")
 
 
+def q_team_cost_quiet_teams(spark, sf_dir):
+    """All teams, of which those without members have no events: their measures are zero."""
+    every = teams(spark, sf_dir).unionByName(planned_teams(spark, sf_dir))
+    return _gold(spark, sf_dir, keep="teams", dimension=every)
+
+
 def q_team_cost_monthly(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("user_id"), F.col("o_orderdate").alias("ts"),
@@ -602,6 +618,7 @@ def q_stream_quarantine(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "team_cost_summary": q_team_cost_summary,
     "team_cost_summary_all_teams": q_team_cost_summary_all_teams,
+    "team_cost_quiet_teams": q_team_cost_quiet_teams,
     "team_cost_monthly": q_team_cost_monthly,
     "team_cost_unknown_members": q_team_cost_unknown_members,
     "team_cost_rounding_ties": q_team_cost_rounding_ties,

@@ -67,6 +67,12 @@ g AS (
 p AS (SELECT *, {_PCT} FROM g)
 SELECT {_GOLD_COLS.format(hi=5000, mid=3000)} FROM p"""
 
+GOLD_QUIET_TEAMS = GOLD_ALL_TEAMS.replace("FROM tm t", """FROM (
+    SELECT * FROM tm UNION ALL
+    SELECT r_regionkey + 100, 'PLANNED_' || r_name, 'DEPT_' || CAST(r_regionkey AS VARCHAR), 'Business',
+           CAST(r_regionkey * 200 AS DOUBLE), r_name
+    FROM region) t""")
+
 MONTHLY = f"""WITH {_MEM}, {_TEAMS},
 agg AS (
   SELECT m.team_id, m.team_name, CAST(date_trunc('month', o.o_orderdate) AS DATE) AS month,
@@ -444,6 +450,7 @@ ORACLE: dict[str, str] = {
     "stream_silver_batches": VALID_FIRST,
     "team_cost_summary": GOLD,
     "team_cost_summary_all_teams": GOLD_ALL_TEAMS,
+    "team_cost_quiet_teams": GOLD_QUIET_TEAMS,
     "team_cost_monthly": MONTHLY,
     "team_cost_top": TOP,
     "panel_totals": PANEL_TOTALS,
