@@ -1,5 +1,6 @@
 """Versioned tables, keyed merges, exact streams, gated publishing and supervision."""
 
+import datetime
 import os
 import random
 
@@ -9,11 +10,12 @@ from pyspark.sql.types import LongType, StringType
 
 from tidewater.functions.rules import JIRA_RULES
 from tidewater.operators.dedup import latest_per_key
-from tidewater.operators.expectations import QualityGateError, expect_not_null
+from tidewater.operators.expectations import QualityGateError, expect_not_null, run_suite
 from tidewater.operators.sessions import merge_sessions, sessionize
 from tidewater.operators.uniqueness import index_counts, index_ids
 from tidewater.operators.validate import split_valid
-from tidewater.plans.increments import Planned, once
+from tidewater.plans.catalog import clean_suite, q_team_cost_summary, timed_events
+from tidewater.plans.increments import Planned, once, q_gate_blocks
 from tidewater.plans.medallion import publish_gated
 from tidewater.sinks import Lake, merge_changes, overwrite_table, upsert
 from tidewater.sinks.lake import CommitConflict
@@ -235,6 +237,26 @@ def test_gate_publishes_all_or_only_the_report(spark, tmp_path):
     assert lake.read("quality_reports").count() == 2
 
 
+def test_gate_blocks_keeps_gold_of_events_with_a_free_call(spark, tmp_path):
+    """One purchase costs nothing, so the first run's report has a failed check; its Gold stays."""
+    events = [(i, datetime.datetime(2024, 1, 1 + i % 9, i % 24), i % 4, ("purchase", "view")[i % 2], 0.0 if i == 2 else 1.5 + i, f'{{"k": {i}}}')
+              for i in range(60)]
+    tables = {
+        "events": (events, "event_id long, ts timestamp, user_id long, event_type string, value double, props string"),
+        "customer": ([(i, f"c{i}", i % 2, "BUILDING", 1.0) for i in range(4)],
+                     "c_custkey long, c_name string, c_nationkey int, c_mktsegment string, c_acctbal double"),
+        "nation": ([(0, "ALGERIA", 0), (1, "BRAZIL", 0)], "n_nationkey int, n_name string, n_regionkey int"),
+        "region": ([(0, "AFRICA")], "r_regionkey int, r_name string")}
+    for name, (data, kind) in tables.items():
+        spark.createDataFrame(data, kind).write.parquet(str(tmp_path / f"{name}.parquet"))
+    failed = run_suite(timed_events(spark, str(tmp_path)), clean_suite()).where("check = 'ai_cost_consistency'").first()
+    assert failed["status"] == "FAILED"
+    columns = ("team_id", "total_events", "ai_api_calls", "total_cost_usd")
+    got = values(q_gate_blocks(spark, str(tmp_path)), *columns)
+    assert got == values(q_team_cost_summary(spark, str(tmp_path)), *columns)
+    assert sum(r[1] for r in got) == 60 and sum(r[2] for r in got) == 30
+
+
 def test_id_index_reads_no_older_rows(spark, tmp_path):
     lake = Lake(spark, str(tmp_path / "lake"))
     rows = spark.createDataFrame([("a", 1), ("a", 1), ("b", 1), ("a", 2), (None, 2), (None, 3), ("c", 3), ("c", 3)], "id string, day int")
