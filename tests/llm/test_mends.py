@@ -1,12 +1,15 @@
 """Cases that earlier versions of the operators got wrong."""
 
+import hashlib
 import random
 
+import numpy as np
 import pytest
 from helpers_llm import corpus, frame, repeats, sentence
 from pyspark.sql import functions as F
 
-from tidewater.llm import ngram_join
+from tidewater.llm import byte_bpe, ngram_join, tokens
+from tidewater.llm.common import tidy_worker
 from tidewater.llm.ngram_join import drop_near_copies, near_copies
 from tidewater.llm.repeats import drop_repeats, repeat_report
 from tidewater.llm.repetition import measure, quality_filter
@@ -69,3 +72,12 @@ def test_a_family_that_shares_a_template_gives_no_quadratic_tables(spark, monkey
         found[k] = dict(sizes)
     for name, n in found[600].items():
         assert n <= 2.5 * max(found[300].get(name, 0), 600), (name, found)
+
+
+def test_encoding_and_decoding_share_a_worker(spark, tmp_path):
+    rows = [(1, "naïve text"), (2, None), (3, ""), (4, "naïve text " * 50)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    out = byte_bpe.op13_bpe_transducer(spark, str(tmp_path))
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow ") == 1
+    sha = {r["doc_id"]: r["decoded_sha256"] for r in out.collect()}
+    assert sha == {i: hashlib.sha256((t or "").encode()).hexdigest() for i, t in rows}

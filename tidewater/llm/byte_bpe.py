@@ -23,7 +23,8 @@ sequence in :func:`decode_stream` and stay as they are in :func:`decode`.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import arrow_schema, table, text_chunks, worker_cache
+from tidewater.llm.common import arrow_schema, table, text_chunks, tidy_worker, worker_cache
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 MAX_STATES = 300_000       # of the determinised transducer, per worker
@@ -41,6 +42,7 @@ BATCH_PIECES = 20_000      # pieces that go through the transducer together
 LONG_PIECE = 1024          # longer pieces go by themselves
 CHUNK_BYTES = 2 << 20      # text that a task holds beside its batch
 DECODE_IDS = 1 << 16       # ids that the streaming decoder takes at a time
+DECODE_ROWS_IDS = 1 << 20  # ids of rows that are decoded together
 NO_RANK = 1 << 60
 BITS = 24                  # of a place in the trie
 PLACE = (1 << BITS) - 1
@@ -577,52 +579,94 @@ def decode_stream(path: str, chunks: Iterable[np.ndarray]) -> Iterator[str]:
 
 # -- columns ----------------------------------------------------------------
 
-def _with_column(df: DataFrame, column: str, out: str, kind: str, fn) -> DataFrame:
-    """``df`` with ``out`` made from ``column`` by ``fn``, one record batch of rows at a time."""
-    if out in df.columns:
-        raise ValueError(f"column {out} is there already")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + f", `{out}` {kind}"
-    arrow = arrow_schema(schema)
+@dataclass(frozen=True)
+class Step:
+    """``out`` (of type ``kind``) made from ``column`` by ``fn``, which gives the values of some rows at a time."""
+
+    column: str
+    out: str
+    kind: str
+    fn: Callable[[pa.Array], Iterator[list]]
+
+
+def with_steps(df: DataFrame, steps: list[Step], drop: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` with the columns that the steps make one after another, and without those in ``drop``.
+
+    One worker takes a row through all steps, a few rows at a time: each further
+    ``mapInArrow`` of a stage would have workers of its own, which keep encoders of their own.
+    """
+    fields = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    for s in steps:
+        if s.out in fields:
+            raise ValueError(f"column {s.out} is there already")
+        fields[s.out] = s.kind
+    arrow = arrow_schema(", ".join(f"`{n}` {k}" for n, k in fields.items()))
+    schema = ", ".join(f"`{n}` {k}" for n, k in fields.items() if n not in drop)
+
+    def through(cols: dict[str, pa.Array], steps: list[Step]) -> Iterator[dict[str, pa.Array]]:
+        if not steps:
+            yield cols
+            return
+        step, first = steps[0], 0
+        for made in step.fn(cols[step.column]):
+            part = {n: c.slice(first, len(made)) for n, c in cols.items()}
+            part[step.out] = pa.array(made, arrow.field(step.out).type)
+            first += len(made)
+            yield from through(part, steps[1:])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy_worker(keep=True)
         for b in batches:
-            first = 0
-            for made in fn(b.column(column)):
-                part = b.slice(first, len(made))
-                cols = [c.cast(t.type) for c, t in zip(part.columns, arrow)]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(made, arrow.field(out).type)], schema=arrow)
-                first += len(made)
+            for cols in through(dict(zip(b.schema.names, b.columns)), steps):
+                yield pa.RecordBatch.from_pydict({n: c.cast(arrow.field(n).type) for n, c in cols.items() if n not in drop})
+        tidy_worker(keep=True)
 
     return df.mapInArrow(run, schema)
 
 
-def encode(df: DataFrame, path: str, pattern: str, text: str = "text", out: str = "ids") -> DataFrame:
-    """``df`` with the ids of ``text`` as binary, four little-endian bytes each."""
+def encoding(path: str, pattern: str, text: str = "text", out: str = "ids") -> Step:
+    """The ids of ``text`` as binary, four little-endian bytes each."""
     def run(column: pa.Array) -> Iterator[list[bytes]]:
         enc = encoder(path, pattern)
         whole = pa.RecordBatch.from_arrays([column], ["text"])
         for _, texts in text_chunks(whole, "text", CHUNK_BYTES):
             yield enc.encode(texts)
 
-    return _with_column(df, text, out, "binary", run)
+    return Step(text, out, "binary", run)
 
 
-def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
-    """``df`` with the text of ``ids`` (binary, as :func:`encode` writes them), streamed through the machine."""
+def decoding(path: str, ids: str = "ids", out: str = "decoded") -> Step:
+    """The text of ``ids`` (binary, as :func:`encoding` makes them), streamed through the machine."""
     def run(column: pa.Array) -> Iterator[list[str]]:
         dec = decoder(path)
+        texts, held = [], 0
         for i in range(len(column)):
             data = np.frombuffer(column[i].as_py() or b"", "<u4")
             chunks = (data[k:k + DECODE_IDS] for k in range(0, len(data), DECODE_IDS))
-            yield ["".join(dec.stream(chunks))]
+            texts.append("".join(dec.stream(chunks)))
+            held += len(data)
+            if held >= DECODE_ROWS_IDS:
+                yield texts
+                texts, held = [], 0
+        if texts:
+            yield texts
 
-    return _with_column(df, ids, out, "string", run)
+    return Step(ids, out, "string", run)
+
+
+def encode(df: DataFrame, path: str, pattern: str, text: str = "text", out: str = "ids") -> DataFrame:
+    """``df`` with the ids of ``text`` as binary, four little-endian bytes each."""
+    return with_steps(df, [encoding(path, pattern, text, out)])
+
+
+def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
+    """``df`` with the text of ``ids`` (binary, as :func:`encode` writes them), streamed through the machine."""
+    return with_steps(df, [decoding(path, ids, out)])
 
 
 def op13_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = ranks_path()
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = encode(docs, path, piece_pattern()).drop("text")
-    both = decode(ids, path)
+    both = with_steps(docs, [encoding(path, piece_pattern()), decoding(path)], drop=("text",))
     return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
