@@ -74,6 +74,22 @@ def test_a_family_that_shares_a_template_gives_no_quadratic_tables(spark, monkey
         assert n <= 2.5 * max(found[300].get(name, 0), 600), (name, found)
 
 
+def test_dropped_encoder_gives_its_memory_back():
+    """Its tables refer to it, so it went only at some later collection."""
+    import gc
+    import weakref
+
+    gc.disable()
+    try:
+        enc = weakref.ref(tokens.encoder(tokens.vocabulary_path()))
+        tidy_worker(keep=True)
+        assert enc() is not None and enc() is tokens.encoder(tokens.vocabulary_path())
+        tidy_worker()
+        assert enc() is None
+    finally:
+        gc.enable()
+
+
 def test_encoding_and_decoding_share_a_worker(spark, tmp_path):
     rows = [(1, "naïve text"), (2, None), (3, ""), (4, "naïve text " * 50)]
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
