@@ -90,6 +90,19 @@ def test_dropped_encoder_gives_its_memory_back():
         gc.enable()
 
 
+def test_latin_texts_are_looked_up_by_word():
+    """Case and neighbouring symbols make no entries of their own; other texts go by chunk."""
+    enc = tokens.WordEncoder(tokens.vocabulary_path())
+    library = enc._tokenizer
+    texts = ["The the THE (the) the, the-the", "Été été, ÉTÉ! naïve-été 1été2 Œuf\tſ ŉ\nŸ", "x" * 90 + " " + "-" * 90]
+    for t in texts:
+        assert enc.encode(t) == np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+    assert not enc._chunks
+    for t in ["don't stop", "aİb", "naïvé <|x|> 中文 ǄªŸ", "½ a\xa0b²"]:
+        assert enc.encode(t) == np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+    assert enc._chunks
+
+
 def test_encoding_and_decoding_share_a_worker(spark, tmp_path):
     rows = [(1, "naïve text"), (2, None), (3, ""), (4, "naïve text " * 50)]
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))

@@ -1,15 +1,17 @@
 """Token ids of whole texts by a public tokenizer, word by word.
 
 The vocabulary's normaliser and pre-tokeniser never look across white space,
-so a text's ids are the ids of its white-space chunks one after another. Each
-chunk is encoded by the tokenizers library once per worker and then looked up;
-that is what makes a corpus of repeating words cheap. The tables of known
+so a text's ids are the ids of its white-space chunks one after another, and
+those of a text of ASCII and Latin letters without apostrophes the ids of its
+words, digits and runs of symbols. Each is encoded by the tokenizers library once per worker and
+then looked up; that is what makes a corpus of repeating words cheap. The tables of known
 chunks and words are bounded and only a matter of speed.
 """
 
 from __future__ import annotations
 
 import re
+import struct
 from functools import lru_cache
 
 import numpy as np
@@ -27,6 +29,10 @@ _TRAILING = ".,;:!?"
 # letters below are their own NFC form, and a simple lower case away from the normaliser's
 _BEYOND_LATIN = "\u0180"
 _TWO_LOWER = "\u0130"
+# letters from 128 to there, and what isn't one of them or ASCII
+_LETTERS = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f"
+_OTHER = re.compile(rf"[^\x00-\x7f{_LETTERS}]")
+_LATIN_PIECES = re.compile(rf"[a-z{_LETTERS}]+|[0-9]|[^\sa-z0-9{_LETTERS}]+")
 # control characters that Python, but not the tokenizer, takes for white space
 _NOT_SPACE = "\x1c\x1d\x1e\x1f"
 
@@ -82,10 +88,11 @@ class WordEncoder:
 
     def _piece(self, piece: str) -> bytes:
         """A lower-case word of Latin letters goes straight to the model, as the bytes' symbols."""
-        if piece.isalpha() and max(piece) < _BEYOND_LATIN:
+        if piece.isalpha() and (piece.isascii() or max(piece) < _BEYOND_LATIN):
             if not piece.isascii():
                 piece = "".join([_SYMBOLS[b] for b in piece.encode()])
-            return np.array([t.id for t in self._model.tokenize(piece)], "<u4").tobytes()
+            ids = [t.id for t in self._model.tokenize(piece)]
+            return struct.pack(f"<{len(ids)}I", *ids)
         return self._library(piece)
 
     def _chunk(self, chunk: str) -> bytes:
@@ -107,8 +114,10 @@ class WordEncoder:
             return b""
         if any(c in text for c in _NOT_SPACE):
             return self._library(text)
-        known = self._chunks
-        return b"".join([known[c] for c in text.split()])
+        if "'" not in text and "<|" not in text and (text.isascii() or not _OTHER.search(text)):
+            # fewer than chunks, which differ by case and by what stands beside a word
+            return b"".join(map(self._pieces.__getitem__, _LATIN_PIECES.findall(text.lower())))
+        return b"".join(map(self._chunks.__getitem__, text.split()))
 
 
 @worker_cache
