@@ -47,6 +47,8 @@ MAX_WINDOWS = 200         # strings in a fragment; longer runs make several
 CHUNK_BYTES = 1 << 17     # text hashed at once
 FLUSH_BYTES = 8_000_000   # text whose hashes a task deals at once
 MERGE_BYTES = 1 << 18     # fragments merged at once, unless one hash has more
+ROUND_BYTES = 1 << 22     # packed fragments of a bucket unpacked at once, dealt to rounds by their hashes
+MARK_FRAGMENTS = 1 << 14  # fragments whose strings are marked at once
 SHARDS = 4
 NULL_ID = -(1 << 63)
 NODE, SLICE = "_dd_node", "_dd_slice"   # an input's columns of these names are renamed meanwhile
@@ -272,11 +274,11 @@ def _pack(s: _Slice, at: np.ndarray) -> bytes:
     return np.array([len(at)], "<u4").tobytes() + item.tobytes() + b"".join(pieces)
 
 
-def _unpack(block: bytes) -> tuple[np.ndarray, list[bytes]]:
+def _unpack(block: memoryview) -> tuple[np.ndarray, np.ndarray]:
+    """A block's items, and where their fragments end in it."""
     n = int(np.frombuffer(block, "<u4", 1)[0])
     item = np.frombuffer(block, _ITEM, n, 4)
-    ends = np.cumsum(item["size"].astype(np.int64)) + 4 + n * _ITEM.itemsize
-    return item, [block[e - k:e] for e, k in zip(ends.tolist(), item["size"].tolist())]
+    return item, np.cumsum(item["size"].astype(np.int64)) + 4 + n * _ITEM.itemsize
 
 
 def interval_minima(pieces: list[bytes], least: np.ndarray) -> list[np.ndarray]:
@@ -303,48 +305,75 @@ def interval_minima(pieces: list[bytes], least: np.ndarray) -> list[np.ndarray]:
     return np.split(out, start[1:])
 
 
+def repeat_bits(blocks: list[memoryview]) -> list[bytes]:
+    """For each of a bucket's blocks a bit per string of its fragments: held under a smaller id elsewhere.
+
+    Fragments of different hashes share no string, so those of some hashes are unpacked and
+    merged at a time, and memory beside the packed blocks doesn't grow with the bucket.
+    """
+    unpacked = [_unpack(x) for x in blocks]
+    windows = [item["size"].astype(np.int64) - LENGTH + 1 for item, _ in unpacked]
+    out = [np.zeros(int(n.sum()), bool) for n in windows]
+    rounds = max(1, -(-sum(len(x) for x in blocks) // ROUND_BYTES))
+    for r in range(rounds):
+        taken = [np.flatnonzero(item["key"] % np.uint32(rounds) == r) for item, _ in unpacked]
+        index: dict[bytes, int] = {}
+        which = []
+        for x, (item, end), at in zip(blocks, unpacked, taken):
+            size = item["size"][at].tolist()
+            which.append(np.array([index.setdefault(bytes(x[e - k:e]), len(index)) for e, k in zip(end[at].tolist(), size)], np.int64))
+        least = np.full(len(index), np.iinfo(np.int64).max)
+        key = np.zeros(len(index), np.int64)
+        for (item, _), at, names in zip(unpacked, taken, which):
+            np.minimum.at(least, names, item["least"][at])
+            key[names] = item["key"][at]
+        low = _least_holders(list(index), least, key)
+        for (item, _), n, hit, at, names in zip(unpacked, windows, out, taken, which):
+            if len(at):
+                begin = (np.cumsum(n) - n)[at]
+                n = n[at]
+                flat = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                held = np.concatenate([low[k] for k in names.tolist()])
+                hit[np.repeat(begin, n) + flat] = held < np.repeat(item["least"][at], n)
+    return [np.packbits(hit).tobytes() for hit in out]
+
+
+def _least_holders(pieces: list[bytes], least: np.ndarray, key: np.ndarray) -> list[np.ndarray]:
+    """For each of distinct fragments with their smallest ids and hashes what :func:`interval_minima` tells."""
+    by = np.argsort(key, kind="stable")
+    size = np.array([len(pieces[i]) + 1 for i in by.tolist()], np.int64)
+    # fragments of different hashes share no string: they needn't be merged together,
+    # and one that is alone under its hash has nothing to be merged with
+    new_key = np.r_[True, np.diff(key[by]) != 0] if len(by) else np.zeros(0, bool)
+    low: list[np.ndarray | None] = [None] * len(pieces)
+    alone = new_key & np.r_[new_key[1:], True][:len(by)]
+    for k in by[alone].tolist():
+        low[k] = np.full(len(pieces[k]) - LENGTH + 1, least[k])
+    by, size = by[~alone], size[~alone]
+    new_key = np.r_[True, np.diff(key[by]) != 0]
+    begin, held = 0, 0
+    for i in range(len(by) + 1):
+        if i > begin and (i == len(by) or (new_key[i] and held >= MERGE_BYTES)):
+            some = by[begin:i]
+            for k, v in zip(some.tolist(), interval_minima([pieces[k] for k in some.tolist()], least[some])):
+                low[k] = v
+            begin, held = i, 0
+        if i < len(by):
+            held += size[i]
+    return low
+
+
 def repeated_strings(dealt: DataFrame) -> DataFrame:
     """Per slice and bucket a bit for each string of its fragments: held under a smaller id elsewhere."""
     schema = arrow_schema(BLOCKS)
 
     def run(group: pa.Table) -> pa.Table:
         slices = group.column("slice").to_pylist()
-        blocks = [_unpack(x) for x in group.column("block").to_pylist()]
-        index: dict[bytes, int] = {}
-        which = [np.array([index.setdefault(p, len(index)) for p in pieces], np.int64) for _, pieces in blocks]
-        least = np.full(len(index), np.iinfo(np.int64).max)
-        key = np.zeros(len(index), np.int64)
-        for (item, _), at in zip(blocks, which):
-            np.minimum.at(least, at, item["least"])
-            key[at] = item["key"]
-        pieces = list(index)
-        by = np.argsort(key, kind="stable")
-        size = np.array([len(pieces[i]) + 1 for i in by.tolist()], np.int64)
-        # fragments of different hashes share no string: they needn't be merged together,
-        # and one that is alone under its hash has nothing to be merged with
-        new_key = np.r_[True, np.diff(key[by]) != 0]
-        low: list[np.ndarray | None] = [None] * len(pieces)
-        alone = new_key & np.r_[new_key[1:], True]
-        for k in by[alone].tolist():
-            low[k] = np.full(len(pieces[k]) - LENGTH + 1, least[k])
-        by, size = by[~alone], size[~alone]
-        new_key = np.r_[True, np.diff(key[by]) != 0]
-        begin, held = 0, 0
-        for i in range(len(by) + 1):
-            if i > begin and (i == len(by) or (new_key[i] and held >= MERGE_BYTES)):
-                some = by[begin:i]
-                for k, v in zip(some.tolist(), interval_minima([pieces[k] for k in some.tolist()], least[some])):
-                    low[k] = v
-                begin, held = i, 0
-            if i < len(by):
-                held += size[i]
-        bits = []
-        for (item, _), at in zip(blocks, which):
-            flat = np.concatenate([low[k] for k in at.tolist()])
-            own = np.repeat(item["least"], item["size"].astype(np.int64) - LENGTH + 1)
-            bits.append(np.packbits(flat < own).tobytes())
-        return pa.Table.from_arrays([pa.array(slices, pa.int32()), pa.array([1] * len(slices), pa.int32()),
-                                     group.column("bucket").combine_chunks(), pa.array(bits, pa.binary())], schema=schema)
+        bits = repeat_bits([memoryview(x.as_buffer()) for x in group.column("block")])
+        out = pa.Table.from_arrays([pa.array(slices, pa.int32()), pa.array([1] * len(slices), pa.int32()),
+                                    group.column("bucket").combine_chunks(), pa.array(bits, pa.binary())], schema=schema)
+        tidy_worker(keep=True)
+        return out
 
     return dealt.groupBy("bucket").applyInArrow(run, BLOCKS)
 
@@ -361,16 +390,19 @@ def _marked(s: _Slice, marks: pa.Table) -> list[np.ndarray]:
         n = windows[at]
         flat = np.unpackbits(np.frombuffer(bits[s.bucket[at[0]]], np.uint8), count=int(n.sum())).astype(bool)
         hit[np.repeat(start[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())] = flat
+    del bits
     sizes = np.array([len(t) for t in s.texts], np.int64)
     begin = np.cumsum(sizes) - sizes
     change = np.zeros(int(sizes.sum()) + 1, np.int32)
-    n = s.count
-    flat = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    gone = np.repeat(s.ids[s.row] > s.least[s.which], n) | hit[np.repeat(start[s.which], n) + flat]
-    at = (np.repeat(begin[s.row] + s.start, n) + flat)[gone]
-    np.add.at(change, at, 1)
-    np.add.at(change, at + LENGTH, -1)
-    return np.split(np.cumsum(change[:-1]) > 0, begin[1:])
+    for k in range(0, len(s.row), MARK_FRAGMENTS):
+        row, which, n = (x[k:k + MARK_FRAGMENTS] for x in (s.row, s.which, s.count))
+        flat = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        gone = np.repeat(s.ids[row] > s.least[which], n) | hit[np.repeat(start[which], n) + flat]
+        at = (np.repeat(begin[row] + s.start[k:k + MARK_FRAGMENTS], n) + flat)[gone]
+        np.add.at(change, at, 1)
+        np.add.at(change, at + LENGTH, -1)
+    np.cumsum(change, out=change)
+    return np.split(change[:-1] > 0, begin[1:])
 
 
 def _with_spans(docs: DataFrame, finish, kind: str, parts: int | None = None) -> DataFrame:
@@ -391,7 +423,10 @@ def _with_spans(docs: DataFrame, finish, kind: str, parts: int | None = None) ->
         by, cut = s.dealt()
         here = right.column("slice")[0].as_py()
         rows = [(here, 2, s.bucket[by[i]], _pack(s, by[i:j])) for i, j in zip(cut.tolist(), [*cut[1:].tolist(), len(by)])]
-        return pa.Table.from_pylist([dict(zip(schema.names, r)) for r in rows], schema=schema)
+        out = pa.Table.from_pylist([dict(zip(schema.names, r)) for r in rows], schema=schema)
+        del s, rows
+        tidy_worker(keep=True)
+        return out
 
     def cut_out(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
