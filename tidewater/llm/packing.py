@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import arrow_schema, crc32_rows, materialize, table, text_chunks
+from tidewater.llm.common import arrow_schema, crc32_rows, materialize, small_batches, table, text_chunks, tidy_worker
 from tidewater.llm.tokens import encode_batch, vocabulary_path
 
 SEQUENCE = 2048
@@ -46,6 +46,7 @@ def pieces_of(docs: DataFrame, vocabulary: str, size: int = SEQUENCE, end_id: in
     schema = arrow_schema(kind)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy_worker(keep=True)      # what earlier operators left; the encoder outlives a task
         part, seen = TaskContext.get().partitionId(), np.zeros(size + 1, np.int64)
         for b in batches:
             for first, texts in text_chunks(b, "text", CHUNK_BYTES):
@@ -68,6 +69,7 @@ def pieces_of(docs: DataFrame, vocabulary: str, size: int = SEQUENCE, end_id: in
                     pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()),
                     pa.array(crc32_rows(ids, np.r_[at, len(ids)]), pa.int64()),
                     pa.array(np.full(len(doc), part), pa.int32()), pa.array(nth)], schema=schema)
+        tidy_worker(keep=True)
 
     return docs.select("doc_id", "text").mapInArrow(run, kind)
 
@@ -222,7 +224,8 @@ def place_table(plan: list[tuple[tuple[int, ...], int]]) -> tuple[np.ndarray, np
 
 def pack(docs: DataFrame, vocabulary: str, size: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
     """Pieces of ``docs`` with ``sequence_id`` and ``offset``."""
-    pieces = materialize(pieces_of(docs, vocabulary, size, end_id), "pieces")
+    with small_batches(docs.sparkSession):
+        pieces = materialize(pieces_of(docs, vocabulary, size, end_id), "pieces")
     by_part = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
     hist = np.zeros(size + 1, np.int64)
     for r in by_part.groupBy("length").agg(F.sum("n").alias("n")).collect():   # a row per length
@@ -235,6 +238,7 @@ def pack(docs: DataFrame, vocabulary: str, size: int = SEQUENCE, end_id: int = E
     shared = docs.sparkSession.sparkContext.broadcast(places)   # bounded by the sequence size
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy_worker()               # the encoder isn't needed any more
         keys, seqs, offsets = shared.value
         for b in batches:
             if b.num_rows:
