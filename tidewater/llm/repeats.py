@@ -39,7 +39,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm.bwt import merge, transform
-from tidewater.llm.common import arrow_schema, free_name, map_batches, materialize, shuffle_tasks, table, text_chunks, tidy_worker
+from tidewater.llm.common import (BATCH_ROWS, arrow_schema, free_name, map_batches, materialize, shuffle_tasks, small_batches, table,
+                                  text_chunks, tidy_worker)
 
 LENGTH = 50
 GRAM = 18
@@ -49,6 +50,9 @@ FLUSH_BYTES = 8_000_000   # text whose hashes a task deals at once
 MERGE_BYTES = 1 << 18     # fragments merged at once, unless one hash has more
 ROUND_BYTES = 1 << 22     # packed fragments of a bucket unpacked at once, dealt to rounds by their hashes
 MARK_FRAGMENTS = 1 << 14  # fragments whose strings are marked at once
+SLICE_FRAGMENTS = 1 << 16 # fragments of a slice told apart at once
+DEAL_BYTES = 1 << 22      # packed fragments that leave a slice at once
+DEAL_ROWS = 2500          # texts that go to Python at once where their hashes are dealt; a deal of more names its slices less often
 SHARDS = 4
 NULL_ID = -(1 << 63)
 NODE, SLICE = "_dd_node", "_dd_slice"   # an input's columns of these names are renamed meanwhile
@@ -199,57 +203,86 @@ def shared_owners(blocks: DataFrame) -> DataFrame:
     return blocks.groupBy("bucket").applyInArrow(run, kind)
 
 
+class _Pieces:
+    """Distinct fragments of a slice's bytes, cut out when they are asked for."""
+
+    def __init__(self, raw: bytes, start: np.ndarray, size: np.ndarray) -> None:
+        self.raw, self.start, self.size = raw, start, size
+
+    def __len__(self) -> int:
+        return len(self.start)
+
+    def __getitem__(self, k: int) -> bytes:
+        if not 0 <= k < len(self.start):
+            raise IndexError(k)
+        return self.raw[self.start[k]:self.start[k] + self.size[k]]
+
+
 class _Slice:
-    """A slice's documents in canonical order, and its distinct fragments of shared hashes."""
+    """A slice's documents in canonical order, and its distinct fragments of shared hashes.
+
+    Texts and fragments are places in the slice's bytes, and fragments are told apart some hashes at a time: where every
+    hash is shared, a Python object for each fragment would take many times the text."""
 
     def __init__(self, docs: pa.Table, shared: pa.Table, parts: int) -> None:
         node = docs.column(NODE).to_numpy()
         self.order = np.argsort(node, kind="stable")
         column = docs.column("text")
-        self.texts = [(column[i].as_py() or "").encode() for i in self.order.tolist()]
+        texts = [(column[i].as_py() or "").encode() for i in self.order.tolist()]
+        lengths = np.array([len(t) for t in texts], np.int64)
+        ends = np.cumsum(lengths)
+        raw = b"".join(texts)
+        del texts
+        view = memoryview(raw)
+        self.texts = [view[j - n:j] for n, j in zip(lengths.tolist(), ends.tolist())]
         ids = docs.column("doc_id").to_pylist()
         self.ids = np.array([NULL_ID if ids[i] is None else ids[i] for i in self.order.tolist()], np.int64)
         known = [np.frombuffer(b, "<u4").astype(np.int64) | k << 32 for k, b in
                  zip(shared.column("bucket").to_pylist(), shared.column("block").to_pylist())]
         known = np.sort(np.concatenate(known)) if known else np.zeros(0, np.int64)
-        index: dict[bytes, int] = {}
-        self.bucket, self.key, least = [], [], []
-        rows, starts, counts, which = [], [], [], []
-        for first, data, start, count, owner in fragments(self.texts):
+        names, starts, counts = [], [], []
+        for first, _, start, count, owner in fragments(self.texts):
             bucket, key = _keys(owner, parts)
             name = bucket << 32 | key.astype(np.int64)
             hit = np.zeros(len(name), bool)
             if len(known):
                 hit = known[np.minimum(np.searchsorted(known, name), len(known) - 1)] == name
-            start, count, bucket, key = start[hit], count[hit], bucket[hit], key[hit]
-            ends = np.cumsum([len(t) for t in self.texts[first:first + _texts_in(self.texts, first, len(data))]])
-            row = first + np.searchsorted(ends, start, "right")
-            base = np.r_[0, ends][row - first]
-            ids_here = self.ids[row].tolist()
-            for i, (s, c) in enumerate(zip(start.tolist(), count.tolist())):
-                piece = data[s:s + c + LENGTH - 1]
-                at = index.setdefault(piece, len(index))
-                if at == len(least):
-                    self.bucket.append(int(bucket[i]))
-                    self.key.append(int(key[i]))
-                    least.append(ids_here[i])
-                elif ids_here[i] < least[at]:
-                    least[at] = ids_here[i]
-                which.append(at)
-            rows.append(row)
-            starts.append(start - base)
-            counts.append(count)
-        self.pieces = list(index)
-        self.least = np.array(least, np.int64)
+            names.append(name[hit])
+            starts.append(start[hit] + (ends[first] - lengths[first]))
+            counts.append(count[hit].astype(np.int32))
+        del known
         none = np.zeros(0, np.int64)
-        self.row, self.start, self.count = (np.concatenate(x) if x else none for x in (rows, starts, counts))
-        self.which = np.array(which, np.int64)
+        name, begin, self.count = (np.concatenate(x) if x else none for x in (names, starts, counts))
+        del names, starts, counts
+        self.row = np.searchsorted(ends, begin, "right").astype(np.int32)
+        self.start = (begin - (ends - lengths)[self.row]).astype(np.int32) if len(begin) else none
+        self.which = np.zeros(len(begin), np.int32)
+        found = [none]                 # the first of equal fragments
+        rounds = max(1, -(-len(begin) // SLICE_FRAGMENTS))
+        turn = (name & _LOW.astype(np.int64)) % rounds        # equal fragments have equal hashes
+        base = 0
+        for r in range(rounds):
+            at = np.flatnonzero(turn == r)
+            index: dict[bytes, int] = {}
+            which = np.fromiter((index.setdefault(raw[i:i + n + LENGTH - 1], len(index)) for i, n in
+                                 zip(begin[at].tolist(), self.count[at].tolist())), np.int64, len(at))
+            new = np.zeros(len(index), np.int64)
+            new[which[::-1]] = at[::-1]
+            self.which[at] = base + which
+            found.append(new)
+            base += len(index)
+            del index, which
+        one = np.concatenate(found)
+        self.bucket, self.key = name[one] >> 32, (name[one] & _LOW.astype(np.int64)).astype(np.uint32)
+        self.least = np.full(len(one), np.iinfo(np.int64).max)
+        for k in range(0, len(begin), SLICE_FRAGMENTS):
+            np.minimum.at(self.least, self.which[k:k + SLICE_FRAGMENTS], self.ids[self.row[k:k + SLICE_FRAGMENTS]])
+        self.pieces = _Pieces(raw, begin[one], self.count[one].astype(np.int64) + LENGTH - 1)
 
     def dealt(self) -> tuple[np.ndarray, np.ndarray]:
         """Fragment numbers by bucket, in canonical order, and the first of each bucket."""
-        bucket = np.array(self.bucket, np.int64)
-        by = np.argsort(bucket, kind="stable")
-        cut = np.flatnonzero(np.r_[True, np.diff(bucket[by]) != 0]) if len(by) else np.zeros(0, np.int64)
+        by = np.argsort(self.bucket, kind="stable")
+        cut = np.flatnonzero(np.r_[True, np.diff(self.bucket[by]) != 0]) if len(by) else np.zeros(0, np.int64)
         return by, cut
 
 
@@ -267,11 +300,20 @@ BLOCKS = "slice int, kind int, bucket int, block binary"
 
 def _pack(s: _Slice, at: np.ndarray) -> bytes:
     item = np.zeros(len(at), _ITEM)
-    item["key"] = [s.key[i] for i in at.tolist()]
-    pieces = [s.pieces[i] for i in at.tolist()]
-    item["size"] = [len(p) for p in pieces]
-    item["least"] = s.least[at]
-    return np.array([len(at)], "<u4").tobytes() + item.tobytes() + b"".join(pieces)
+    item["key"], item["size"], item["least"] = s.key[at], s.pieces.size[at], s.least[at]
+    return np.array([len(at)], "<u4").tobytes() + item.tobytes() + b"".join([s.pieces[i] for i in at.tolist()])
+
+
+def _dealt_blocks(s: _Slice, by: np.ndarray, cut: np.ndarray, here: int, schema: pa.Schema) -> Iterator[pa.Table]:
+    """The slice's rows of :data:`BLOCKS`, some bytes at a time."""
+    ends, packed, first = [*cut[1:].tolist(), len(by)], [], 0
+    for k, (i, j) in enumerate(zip(cut.tolist(), ends)):
+        packed.append(_pack(s, by[i:j]))
+        if k + 1 == len(ends) or sum(map(len, packed)) > DEAL_BYTES:
+            n = len(packed)
+            yield pa.Table.from_arrays([pa.array(np.full(n, here), pa.int32()), pa.array(np.full(n, 2), pa.int32()),
+                                        pa.array(s.bucket[by[cut[first:k + 1]]], pa.int32()), pa.array(packed, pa.binary())], schema=schema)
+            packed, first = [], k + 1
 
 
 def _unpack(block: memoryview) -> tuple[np.ndarray, np.ndarray]:
@@ -381,7 +423,7 @@ def repeated_strings(dealt: DataFrame) -> DataFrame:
 def _marked(s: _Slice, marks: pa.Table) -> list[np.ndarray]:
     """Per document, in canonical order, which bytes go."""
     by, cut = s.dealt()
-    windows = np.array([len(p) - LENGTH + 1 for p in s.pieces], np.int64)
+    windows = s.pieces.size - LENGTH + 1
     bits = dict(zip(marks.column("bucket").to_pylist(), marks.column("block").to_pylist()))
     start = np.cumsum(windows) - windows
     hit = np.zeros(int(windows.sum()), bool)
@@ -405,11 +447,18 @@ def _marked(s: _Slice, marks: pa.Table) -> list[np.ndarray]:
     return np.split(change[:-1] > 0, begin[1:])
 
 
+def _in_pieces(rows: pa.Table) -> pa.Table:
+    """``rows`` that the executor gets, and holds, some at a time."""
+    return pa.concat_tables([rows.slice(k, BATCH_ROWS) for k in range(0, max(1, rows.num_rows), BATCH_ROWS)])
+
+
 def _with_spans(docs: DataFrame, finish, kind: str, parts: int | None = None) -> DataFrame:
     """``finish(documents, slice, marks)`` for every slice of ``docs``, to rows of ``kind``."""
     parts = parts or shuffle_tasks(docs.sparkSession)
     docs = sliced(docs, parts)
-    shared = materialize(shared_owners(owner_blocks(docs, parts)), "owners").select("slice", F.lit(0).alias("kind"), "bucket", "block")
+    with small_batches(docs.sparkSession, DEAL_ROWS):
+        shared = materialize(shared_owners(owner_blocks(docs, parts)), "owners")
+    shared = shared.select("slice", F.lit(0).alias("kind"), "bucket", "block")
     schema = arrow_schema(BLOCKS)
     out_schema = arrow_schema(kind)
 
@@ -422,9 +471,8 @@ def _with_spans(docs: DataFrame, finish, kind: str, parts: int | None = None) ->
         s = _Slice(left, right, parts)
         by, cut = s.dealt()
         here = right.column("slice")[0].as_py()
-        rows = [(here, 2, s.bucket[by[i]], _pack(s, by[i:j])) for i, j in zip(cut.tolist(), [*cut[1:].tolist(), len(by)])]
-        out = pa.Table.from_pylist([dict(zip(schema.names, r)) for r in rows], schema=schema)
-        del s, rows
+        out = pa.concat_tables([schema.empty_table(), *_dealt_blocks(s, by, cut, here, schema)])
+        del s, by
         tidy_worker(keep=True)
         return out
 
@@ -432,7 +480,7 @@ def _with_spans(docs: DataFrame, finish, kind: str, parts: int | None = None) ->
         if not left.num_rows:
             return out_schema.empty_table()
         s = _Slice(left, side(right, 0), parts)
-        out = finish(left, s, _marked(s, side(right, 1)))
+        out = _in_pieces(finish(left, s, _marked(s, side(right, 1))))
         del s
         tidy_worker()
         return out

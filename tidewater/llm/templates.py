@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import Vocabulary, free_name, hash_bitmap, in_bitmap, map_batches, materialize, table, text_chunks
+from tidewater.llm.common import Vocabulary, free_name, hash_bitmap, in_bitmap, map_batches, materialize, small_batches, table, text_chunks
 
 WINDOW = 8
 MIN_LITERALS = 3
@@ -222,10 +222,11 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     b = bench.select("hash", "item_id", F.col("at").alias("item_at"), "nth", "n_windows", "nth_typed", "n_typed", "plain",
                      F.col("slots").alias("item_slots"))
     slots = F.when(F.col("plain"), F.col("item_slots")).otherwise(F.col("slots"))   # equal tokens have equal slots
-    matched = materialize(
-        d.join(b, "hash").withColumn("slots", slots).where(F.size("slots") == F.size("item_slots"))
-        .select("doc_id", "text_hash", "item_id", (F.col("at") - F.col("item_at")).alias("shift"), "item_at", "nth", "n_windows",
-                "nth_typed", "n_typed", "plain", F.arrays_zip("item_slots", "slots").alias("pairs")), "matched")
+    found = (d.join(b, "hash").withColumn("slots", slots).where(F.size("slots") == F.size("item_slots"))
+             .select("doc_id", "text_hash", "item_id", (F.col("at") - F.col("item_at")).alias("shift"), "item_at", "nth", "n_windows",
+                     "nth_typed", "n_typed", "plain", F.arrays_zip("item_slots", "slots").alias("pairs")))
+    with small_batches(docs.sparkSession):      # whole texts go to Python
+        matched = materialize(found, "matched")
     key = ["doc_id", "text_hash", "item_id", "shift"]
     torn = (matched.where("NOT plain").select(*key, F.explode("pairs").alias("p"))
             .groupBy(*key, F.col("p.item_slots").alias("value")).agg(F.min("p.slots").alias("lo"), F.max("p.slots").alias("hi"))

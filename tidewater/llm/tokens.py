@@ -19,8 +19,8 @@ import numpy as np
 from tidewater.llm.common import worker_cache
 
 VOCABULARY = "word_bpe_49k.json"
-MAX_CHUNKS = 600_000      # known chunks per worker
-MAX_PIECES = 700_000      # known words per worker
+MAX_CHUNKS = 150_000      # known chunks per worker
+MAX_PIECES = 250_000      # known words per worker
 MAX_CHUNK_CHARS = 64      # longer chunks aren't remembered
 
 # what the pre-tokeniser makes of lower-case ASCII without apostrophes
